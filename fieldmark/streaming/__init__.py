@@ -1,0 +1 @@
+"""Nothing here: every job in scope is a batch job recomputed as a whole."""
