@@ -29,13 +29,13 @@ def box_distance_km(a: dict[str, Column], b: dict[str, Column]) -> tuple[Column,
 
     A box is ``south, north, west, east`` in degrees; neither may span a
     hemisphere.  The lower bound takes the gap between the boxes and the
-    smallest cosine of latitude, the upper bound their outer span and the largest.
+    smallest cosine of latitude, the upper bound the widest span and the largest.
     """
     zero = F.lit(0.0)
     gap_lat = F.greatest(zero, a["south"] - b["north"], b["south"] - a["north"])
     gap_lon = F.greatest(zero, a["west"] - b["east"], b["west"] - a["east"])
-    span_lat = F.greatest(a["north"], b["north"]) - F.least(a["south"], b["south"])
-    span_lon = F.greatest(a["east"], b["east"]) - F.least(a["west"], b["west"])
+    span_lat = F.greatest(a["north"] - b["south"], b["north"] - a["south"])
+    span_lon = F.greatest(a["east"] - b["west"], b["east"] - a["west"])
     south, north = F.least(a["south"], b["south"]), F.greatest(a["north"], b["north"])
     far = F.greatest(F.abs(south), F.abs(north))
     near = F.when((south <= 0) & (north >= 0), zero).otherwise(F.least(F.abs(south), F.abs(north)))

@@ -36,9 +36,3 @@ def floor_bucket(value: Column, width: int) -> Column:
     """Lower edge of the bucket of ``width`` that holds a non-negative integer."""
     return value - F.pmod(value, F.lit(width))
 
-
-def truthy_sum(*values: Column) -> Column:
-    out = F.lit(0.0)
-    for value in values:
-        out = out + value
-    return out
