@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.lookup import relabel
 from ..functions.text import contains_any_case, january_first, year_of_text
 from ..operators.cumulate import cumulate
-from ..operators.gapfill import gap_fill
+from ..operators.gapfill import FIRST_YEAR, LAST_PREVIOUS_YEAR, gap_fill
 from ..operators.lookups import attach
 from ..operators.override import override
 from ..operators.rollup import rollup
@@ -28,6 +29,22 @@ class Projects:
     current: str = "current"
 
 
+def history_facts(raw: DataFrame, project: str) -> DataFrame:
+    """Values of the previous project: ``Code, année, Pays, valeur`` to facts.
+
+    Values of the codes that are percentages become shares.
+    """
+    value = F.col("valeur").cast("double")
+    return raw.select(
+        F.col("Code").alias("indicator_code"),
+        january_first(F.col("année")).alias("date"),
+        F.when(F.col("Pays") == "REGIONAL", 1).otherwise(2).alias("level"),
+        relabel(F.col("Pays"), fixed.COUNTRY_OF_CODE).alias("country"),
+        F.lit(project).alias("project"),
+        F.when(F.col("Code").isin(*fixed.HISTORY_PERCENT_CODES), value / 100).otherwise(value).alias("value"),
+    )
+
+
 def combine_indicators(
     tables: dict[str, DataFrame],
     history: DataFrame | None,
@@ -93,6 +110,27 @@ def publish_projection(df: DataFrame, current_suffix: str) -> DataFrame:
     )
 
 
+def complete_values(
+    rolled: DataFrame,
+    official: DataFrame,
+    projects: Projects,
+    first_year: int = FIRST_YEAR,
+    last_previous_year: int = LAST_PREVIOUS_YEAR,
+) -> DataFrame:
+    """Rolled-up values without gaps, under the official figures, cumulated and published.
+
+    Official figures come after the gap fill, so they are never rolled up.
+    ``rolled`` is read several times for the dimensions of the gap fill.
+    """
+    complete = gap_fill(
+        rolled, projects.previous, projects.current, first_year, last_previous_year, fixed.TOP_PLACE
+    )
+    figures = align(official.drop("date").withColumnRenamed("year", "date"), VALUE)
+    merged = settle(override(complete, figures))
+    cumulated = cumulate(merged, projects.previous, projects.current)
+    return publish_projection(cumulated, projects.current)
+
+
 def indicator_table(
     tables: dict[str, DataFrame],
     history: DataFrame | None,
@@ -100,9 +138,8 @@ def indicator_table(
     official: DataFrame,
     projects: Projects = Projects(),
     definitions: tuple[Indicator, ...] = DEFINITIONS,
-    ordered: bool = True,
 ) -> DataFrame:
-    """The whole job.
+    """The whole job, in the published order.
 
     Facts are stored once before the rollup, which reads them per level, and the
     rolled-up table once before the gap fill, which reads it for its dimensions.
@@ -111,10 +148,12 @@ def indicator_table(
     valued = join_metadata(facts, metadata_projection(metadata))
     stored = settle(valued.select(*VALUE.names, "src_rank"))
     rolled = settle(rollup(stored, top_place=fixed.TOP_PLACE))
-    complete = gap_fill(rolled, projects.previous, projects.current, top_place=fixed.TOP_PLACE)
-    figures = align(official.drop("date").withColumnRenamed("year", "date"), VALUE)
-    merged = override(complete, figures)
-    cumulated = cumulate(settle(merged), projects.previous, projects.current)
-    if ordered:
-        cumulated = cumulated.orderBy("indicator_code", "country", "region", "date")
-    return publish_projection(cumulated, projects.current)
+    published = complete_values(rolled, official, projects)
+    return published.orderBy("indicator_code", "country", "region", "year")
+
+
+def table_counts(df: DataFrame) -> DataFrame:
+    """Number of rows and of different codes, for the log of a run."""
+    return df.agg(
+        F.count(F.lit(1)).alias("n_rows"), F.countDistinct("indicator_code").alias("n_codes")
+    )

@@ -7,11 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.lookup import relabel
 from ..functions.nested import last_segment
-from ..functions.text import january_first
 from ..operators.lookups import any_of
 from ..plans import fixed_values as fixed
+from ..plans.indicators import history_facts
 from ..schema import null_empty_structs
 
 
@@ -36,20 +35,8 @@ def csv_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def history(spark: SparkSession, path: str, project: str) -> DataFrame:
-    """Values of the previous project: ``Code, année, Pays, valeur`` to facts.
-
-    Values of the codes that are percentages become shares.
-    """
-    raw = csv_text(spark, path)
-    value = F.col("valeur").cast("double")
-    return raw.select(
-        F.col("Code").alias("indicator_code"),
-        january_first(F.col("année")).alias("date"),
-        F.when(F.col("Pays") == "REGIONAL", 1).otherwise(2).alias("level"),
-        relabel(F.col("Pays"), fixed.COUNTRY_OF_CODE).alias("country"),
-        F.lit(project).alias("project"),
-        F.when(F.col("Code").isin(*fixed.HISTORY_PERCENT_CODES), value / 100).otherwise(value).alias("value"),
-    )
+    """The history file, as facts of the previous project."""
+    return history_facts(csv_text(spark, path), project)
 
 
 def indicator_metadata(spark: SparkSession, path: str) -> DataFrame:
