@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("rollups", "flow")
+_MODULES = ("rollups", "flow", "catalogue")
 
 
 def load():
