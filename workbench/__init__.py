@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("rollups", "flow", "catalogue")
+_MODULES = ("rollups", "flow", "catalogue", "order", "texts")
 
 
 def load():
