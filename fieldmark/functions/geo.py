@@ -15,7 +15,9 @@ def _chord(dlat: Column, dlon: Column, cosines: Column) -> Column:
 
 
 def _arc_km(chord: Column) -> Column:
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(chord, F.lit(1.0))))
+    # rounding may carry the chord past 1; a null stays null, which least() would not keep
+    bounded = F.when(chord > 1, F.lit(1.0)).otherwise(chord)
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(bounded))
 
 
 def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:

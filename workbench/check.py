@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import sys
+import tempfile
 import time
 from collections import Counter
 
@@ -64,6 +65,9 @@ def main(argv):
     spark = session("fieldmark-check", 8)
     spark.sparkContext.setLogLevel("ERROR")
     con = duckdb.connect()
+    con.execute(f"SET temp_directory = '{tempfile.mkdtemp(prefix='fieldmark-sql-')}'")
+    con.execute("SET memory_limit = '10GB'")
+    con.execute("SET max_temp_directory_size = '4GB'")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf_dir}/{t}.parquet'")
     bad = 0
