@@ -64,14 +64,15 @@ def normalise_label(label: Column) -> Column:
 
     Lower case, no accents, singular words (``aux`` to ``al``, else a final s
     and a final x go, protected words aside), no linking words, no punctuation,
-    single blanks.  Each word is looked at on its own, so one pass per rule does.
+    single blanks and none at the ends.  Patterns look at the end of a word and
+    then back, so a text is read once per rule.
     """
-    text = F.translate(F.lower(strip(label)), ACCENTED, PLAIN)
+    text = F.translate(F.lower(label), ACCENTED, PLAIN)
     kept = "|".join(PROTECTED_WORDS)
-    text = F.regexp_replace(text, r"(?U)\b(?!taux\b)(\w*)aux\b", "$1al")
-    text = F.regexp_replace(text, rf"(?U)\b(?!(?:{kept})\b)(\w*?)(?:xs|s|x)\b", "$1")
+    text = F.regexp_replace(text, r"(?U)aux\b(?<!\btaux)", "al")
+    text = F.regexp_replace(text, rf"(?U)(?:xs|[sx])(?!\w)(?<!\b(?:{kept}))", "")
     text = F.regexp_replace(text, rf"(?U)\b(?:{'|'.join(LINK_WORDS)})\b", " ")
-    text = F.regexp_replace(text, r"(?U)[^\w\s]", "")
+    text = F.regexp_replace(text, r"(?U)[^\w\s]+", "")
     return F.trim(squeeze(text))
 
 

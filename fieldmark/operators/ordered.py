@@ -88,24 +88,48 @@ def row_index(
     return counted.withColumn(out, F.col(out) - 1)
 
 
-def forward_fill(
+def carry(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    columns: Sequence[str],
     block: Sequence[Column],
+    fill: Sequence[str] = (),
+    previous: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Nulls take the last non-null value before them within the key."""
-    rows = _with_block(df, block)
+    """What rows take over from the rows before them within the key, in one pass.
+
+    Nulls in the ``fill`` columns become the last non-null value so far;
+    ``previous`` adds columns with a value of the row just before (result: source).
+    """
+    previous = previous or {}
+    rows = _with_block(df, block).withColumns({f"__{out}": F.col(src) for out, src in previous.items()})
     position = F.struct(*order)
-    tails = rows.groupBy(*keys, _BLOCK).agg(
-        *[F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in columns]
+    last_seen = [F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in fill]
+    last_row = [F.max_by(F.struct(f"__{out}"), position)[f"__{out}"].alias(f"__{out}") for out in previous]
+    tails = rows.groupBy(*keys, _BLOCK).agg(*last_seen, *last_row)
+    before = Window.partitionBy(*keys).orderBy(_BLOCK)
+    seeds = tails.withColumns(
+        {c: F.last(c, ignorenulls=True).over(_earlier(keys)) for c in fill}
+        | {f"__{out}": F.lag(f"__{out}").over(before) for out in previous}
     )
-    seeds = tails.withColumns({c: F.last(c, ignorenulls=True).over(_earlier(keys)) for c in columns})
     both, window = _seeded(rows, seeds, keys, order)
     frame = window.rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({c: F.last(c, ignorenulls=True).over(frame) for c in columns})
-    return _finish(both, df.columns, list(columns)).select(*df.columns)
+    both = both.withColumns(
+        {c: F.last(c, ignorenulls=True).over(frame) for c in fill}
+        | {out: F.lag(f"__{out}").over(window) for out in previous}
+    )
+    return both.filter(F.col(_SEED) == 1).select(*df.columns, *[c for c in previous if c not in df.columns])
+
+
+def forward_fill(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    columns: Sequence[str],
+    block: Sequence[Column],
+) -> DataFrame:
+    """Nulls take the last non-null value before them within the key."""
+    return carry(df, keys, order, block, fill=columns)
 
 
 def previous_value(
@@ -116,19 +140,7 @@ def previous_value(
     block: Sequence[Column],
 ) -> DataFrame:
     """The value of the row just before, within the key; ``columns`` maps result to source."""
-    rows = _with_block(df, block)
-    position = F.struct(*order)
-    tails = rows.groupBy(*keys, _BLOCK).agg(
-        F.max_by(F.struct(*[F.col(src).alias(f"s{i}") for i, src in enumerate(columns.values())]), position).alias("__tail")
-    )
-    before = Window.partitionBy(*keys).orderBy(_BLOCK)
-    seeds = tails.withColumn("__tail", F.lag("__tail").over(before)).select(
-        *keys, _BLOCK, *[F.col(f"__tail.s{i}").alias(f"__{out}") for i, out in enumerate(columns)]
-    )
-    rows = rows.withColumns({f"__{out}": F.col(src) for out, src in columns.items()})
-    both, window = _seeded(rows, seeds, keys, order)
-    both = both.withColumns({out: F.lag(f"__{out}").over(window) for out in columns})
-    return _finish(both, df.columns, list(columns))
+    return carry(df, keys, order, block, previous=columns)
 
 
 def change_counter(
@@ -147,10 +159,25 @@ def change_counter(
     whole sequence (the first row has none before it and does not count) and
     ``counts`` holds.  The numbers run per sequence and parent.
     """
-    stepped = previous_value(df, sequence, order, {"__prev": value}, block)
-    changed = F.col(value) != F.col("__prev")
+    stepped = previous_value(df, sequence, order, {"__before": value}, block)
+    return count_changes(stepped, sequence, parent, order, value, "__before", out, block, counts).drop("__before")
+
+
+def count_changes(
+    df: DataFrame,
+    sequence: Sequence[str],
+    parent: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    before: str,
+    out: str,
+    block: Sequence[Column],
+    counts: Column | None = None,
+) -> DataFrame:
+    """The counter of :func:`change_counter` where the value of the row before is a column already."""
+    changed = F.col(value) != F.col(before)
     if counts is not None:
         changed = counts & changed
-    stepped = stepped.withColumn("__new", F.coalesce(changed, F.lit(False)).cast("int"))
+    changed = F.coalesce(changed, F.lit(False)).cast("int")
     keys = [*sequence, *[p for p in parent if p not in sequence]]
-    return running_sum(stepped, keys, order, {out: F.col("__new")}, block).drop("__prev", "__new")
+    return running_sum(df, keys, order, {out: changed}, block)

@@ -11,7 +11,7 @@ from ..functions.lookup import lookup
 from ..functions.text import normalise_label
 from ..session import settle
 from .lookups import attach
-from .ordered import blocks_of, change_counter, forward_fill
+from .ordered import blocks_of, carry, count_changes, forward_fill
 
 # Fixed value: how a normalised name begins if it is a part of the item above it.
 SUB_ITEM = "dont "
@@ -73,11 +73,12 @@ def number_sub_items(
     block = [blocks_of(F.col(position))]
     is_sub = F.col("clean").startswith(SUB_ITEM)
     flagged = names.withColumn("parent", F.when(~is_sub, F.col(ref)))
-    # read several times by the steps below
-    filled = settle(forward_fill(flagged, sequence, order, ["parent"], block))
-    counted = change_counter(filled, sequence, ["parent"], order, "clean", "suffix", block, counts=is_sub)
+    carried = carry(flagged, sequence, order, block, fill=["parent"], previous={"__before": "clean"})
+    counted = count_changes(
+        carried, sequence, ["parent"], order, "clean", "__before", "suffix", block, counts=is_sub
+    )
     part = F.concat("parent", F.col("suffix").cast("string"))
-    return counted.withColumn(out, F.when(~is_sub, F.col(ref)).otherwise(part)).drop("parent", "suffix")
+    return counted.withColumn(out, F.when(~is_sub, F.col(ref)).otherwise(part)).drop("parent", "suffix", "__before")
 
 
 def resolve_codes(
@@ -100,11 +101,13 @@ def resolve_codes(
         match_names(rows.select(*key).distinct(), items, "indicator_name_original", overrides)
     )
     numbered = number_sub_items(names, ["sheet_id"], "original_order")
-    resolved = attach(
-        numbered,
-        items,
-        {"code_final": "code_ref"},
-        {"indicator_name": "name_ref_new", "unit_found": "unit_ref"},
+    resolved = settle(
+        attach(
+            numbered,
+            items,
+            {"code_final": "code_ref"},
+            {"indicator_name": "name_ref_new", "unit_found": "unit_ref"},
+        )
     )
     joined = attach(
         rows,
@@ -120,7 +123,7 @@ def resolve_codes(
     )
     # a sub-item has no unit of its own: it takes that of the row before it
     filled = forward_fill(
-        settle(joined),
+        joined,
         ["sheet_id"],
         ["var_pos", "row_idx", "indicator_code"],
         ["unit_ref"],

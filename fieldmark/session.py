@@ -1,11 +1,14 @@
-"""Session settings and the one way this package cuts lineage."""
+"""Session settings, and storing a result between steps."""
 
 from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -40,26 +43,29 @@ def session(app: str = "fieldmark", local_cpus: int | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def _shared_folder(spark: SparkSession) -> str:
+    """Where results are stored between steps: the folder the cluster names for checkpoints."""
     context = spark.sparkContext
-    if context.getCheckpointDir():
-        return
-    shared = context.getConf().get("spark.checkpoint.dir", None) or spark.conf.get(
-        "spark.checkpoint.dir", None
-    )
+    shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldmark-checkpoint-"))
-    else:
+        return shared
+    if not context.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+    context.setCheckpointDir(tempfile.mkdtemp(prefix="fieldmark-"))
+    return context.getCheckpointDir()
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Write ``df`` once to the shared checkpoint folder and read it from there.
+    """Write ``df`` once as a table in the shared checkpoint folder and read it from there.
 
     For a result that several branches of a plan read and that is dear to
-    compute.  The copy is on shared storage, so losing an executor loses nothing.
+    compute.  The table outlives its executors, later steps read only the columns
+    they need, and its size on disk tells Spark how to join it.  Tables stay until
+    the folder is cleaned, as checkpoints do.
     """
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType == T.NullType()}
+    stored = df.withColumns(untyped) if untyped else df
+    path = f"{_shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    stored.write.parquet(path)
+    return spark.read.schema(stored.schema).parquet(path)
