@@ -70,10 +70,20 @@ def cell_grid(spark: SparkSession, path: str, file_format: str = "parquet") -> D
     return raw.select(F.col(raw.columns[0]).cast("long").alias("row_idx"), *cells)
 
 
+#: columns every exported submission has, though perhaps always empty
+_ALWAYS = ("_validation_status", "_geolocation", "_attachments")
+
+
 def submissions(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """Exported submissions, one JSON object per line; empty objects become null text."""
+    """Exported submissions, one JSON object per line; empty objects become null text.
+
+    Without a schema Spark reads the file once more to find the questions, and
+    leaves out a column that only ever holds empty objects: it is put back.
+    """
     reader = spark.read.schema(schema) if schema else spark.read
-    return null_empty_structs(reader.json(path))
+    df = null_empty_structs(reader.json(path))
+    absent = [c for c in _ALWAYS if c not in df.columns]
+    return df.withColumns({c: F.lit(None).cast("string") for c in absent}) if absent else df
 
 
 _FORM = "content struct<survey:array<struct<name:string,type:string,label:array<string>>>>"
