@@ -28,15 +28,7 @@ def squeeze(text: Column) -> Column:
 
 def replace_first(text: Column, old: str, new: str) -> Column:
     """Replace the first occurrence of a literal, and only that one."""
-    at = F.instr(text, old)
-    return F.when(
-        at > 0,
-        F.concat(
-            F.substring(text, F.lit(1), at - 1),
-            F.lit(new),
-            F.substring(text, at + len(old), F.length(text)),
-        ),
-    ).otherwise(text)
+    return F.regexp_replace(text, rf"(?s)^(.*?)\Q{old}\E", f"$1{new}")
 
 
 def extract(text: Column, pattern: str, group: int = 1) -> Column:

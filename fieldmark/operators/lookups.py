@@ -99,13 +99,19 @@ def all_of(conditions: Sequence[Column]) -> Column:
 
 
 def join_hot(
-    left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner", salts: int = 16
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    how: str = "inner",
+    salts: int = 16,
 ) -> DataFrame:
-    """Equi-join for a left side whose keys may be hot and a right side with unique keys.
+    """Equi-join for a left side whose keys may be hot and a right side with few rows per key.
 
-    Left rows of one key are spread over ``salts`` tasks; the right side, one row
-    per key, is repeated as often.
+    Left rows of one key are spread over ``salts`` tasks by the hash of
+    ``spread_by``, columns that differ within a key; the right side is repeated
+    as often.
     """
-    spread = left.withColumn("__salt", F.pmod(F.xxhash64(*left.columns), F.lit(salts)).cast("int"))
+    spread = left.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
     repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return spread.join(repeated, [*on, "__salt"], how).drop("__salt")

@@ -37,6 +37,7 @@ from ..session import settle
 from .lookups import join_hot
 
 _CELL = ["cell_lat", "cell_lon"]
+_POINT = ["lat", "lon"]
 _MARGIN = 1e-9
 
 #: how many parts per axis each finer grid cuts a square into
@@ -167,11 +168,14 @@ def _fold(
         .groupBy(*_CELL, "level", F.col("a").alias("square"))
         .agg(*merge)
     )
-    from_squares = join_hot(placed.drop(*values), handed, key).select(*_CELL, "lat", "lon", *values)
+    from_squares = join_hot(placed.drop(*values), handed, key, _POINT).select(*_CELL, "lat", "lon", *values)
 
+    # squares too full to compare are in no such pair: their points go before the joins
     compared = pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
-    here = placed.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon")
-    there = placed.select(
+    taking_part = compared.select(*_CELL, "level", F.col("a").alias("square")).distinct()
+    comparable = join_hot(placed, taking_part, key, _POINT, "left_semi")
+    here = comparable.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon")
+    there = comparable.select(
         *_CELL,
         "level",
         F.col("square").alias("b"),
@@ -197,11 +201,11 @@ def _prepared(
     return points, settle(_square_pairs(points, max_km, splits, few_pairs))
 
 
-def _on_rows(df: DataFrame, per_point: DataFrame, lat: str, lon: str) -> DataFrame:
+def _on_rows(df: DataFrame, per_point: DataFrame, row_id: str, lat: str, lon: str) -> DataFrame:
     """The columns computed per point, on the rows of the table."""
     keyed = df.withColumns({"lat__": F.col(lat).cast("double"), "lon__": F.col(lon).cast("double")})
     side = per_point.withColumnsRenamed({"lat": "lat__", "lon": "lon__"}).drop(*_CELL)
-    return join_hot(keyed, side, ["lat__", "lon__"], "left").drop("lat__", "lon__")
+    return join_hot(keyed, side, ["lat__", "lon__"], [row_id], "left").drop("lat__", "lon__")
 
 
 def neighbour_counts(
@@ -218,7 +222,7 @@ def neighbour_counts(
     """How many other rows of its cell lie within ``max_km`` of each row."""
     points, pairs = _prepared(df, row_id, lat, lon, max_km, digits, splits, few_pairs)
     counted = _fold(points, pairs, {"n_rows": F.sum("n_rows")}, max_km, splits)
-    joined = _on_rows(df, counted, lat, lon)
+    joined = _on_rows(df, counted, row_id, lat, lon)
     return joined.withColumn(out, F.coalesce(F.col("n_rows") - 1, F.lit(0))).select(*df.columns, out)
 
 
@@ -262,11 +266,11 @@ def near_duplicate_ids(
     pos = hoods.groupBy(*same_set).agg(F.min("first_id").alias("pos"))
 
     # fold 2: the member whose neighbourhood comes last decides
-    decided = join_hot(hoods, pos, same_set).withColumn("last", F.struct("pos", "lowest"))
+    decided = join_hot(hoods, pos, same_set, _POINT).withColumn("last", F.struct("pos", "lowest"))
     last = _fold(decided, pairs, {"last": F.max("last")}, max_km, splits)
     ids = last.select(*_CELL, "lat", "lon", F.col("last.lowest").alias("__common"))
 
-    joined = _on_rows(df, ids, lat, lon).withColumn(out, F.coalesce("__common", F.col(row_id)))
+    joined = _on_rows(df, ids, row_id, lat, lon).withColumn(out, F.coalesce("__common", F.col(row_id)))
     if cell:
         joined = joined.withColumn(cell, cell_label(F.col(lat), F.col(lon), digits))
     return joined.drop("__common").select(*df.columns, out, *([cell] if cell else []))

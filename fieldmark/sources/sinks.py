@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,8 +17,9 @@ from .readers import _exists
 log = logging.getLogger(__name__)
 
 
-def write_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
+def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    """Replace a Parquet table; partition a large one by what it is read by, such as the year."""
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
 def replace_table(df: DataFrame, table: str, jdbc: dict[str, str] | None = None) -> None:

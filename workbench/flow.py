@@ -27,21 +27,20 @@ _PROJECT_SQL = f"CASE WHEN date <= {LAST_OLD} THEN '{OLD}' ELSE '{NEW}' END"
 # --- gap fill ------------------------------------------------------------------
 
 
-def large_orders(spark, sf):
-    """Level-6 facts of large orders per customer, priority and year: few enough to leave gaps."""
-    orders = table(spark, sf, "orders").filter(F.col("o_totalprice") > 490000)
-    per_customer = orders.groupBy(
-        "o_custkey", "o_orderpriority", F.year("o_orderdate").alias("date")
+def order_facts(spark, sf):
+    """Level-6 facts of every customer and year; codes fine enough to leave gaps."""
+    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    per_customer = table(spark, sf, "orders").groupBy(
+        "o_custkey", "o_orderpriority", "o_orderstatus", F.year("o_orderdate").alias("date")
     ).agg(F.count(F.lit(1)).cast("double").alias("value"))
-    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
     where = places(spark, sf)
     facts = (
         per_customer.join(customer, per_customer["o_custkey"] == customer["c_custkey"])
         .join(where, F.col("c_nationkey") == where["n_nationkey"])
+        .withColumn("indicator_code", F.concat_ws("/", "o_orderpriority", "o_orderstatus", "c_mktsegment"))
         .withColumns(
             {
-                "indicator_code": F.col("o_orderpriority"),
-                "indicator_name": F.concat(F.lit("name of "), "o_orderpriority"),
+                "indicator_name": F.concat(F.lit("name of "), "indicator_code"),
                 "unit": F.lit("count"),
                 "project": F.when(F.col("date") <= LAST_OLD, OLD).otherwise(NEW),
                 "level": F.lit(6),
@@ -52,13 +51,14 @@ def large_orders(spark, sf):
     return align(facts, VALUE)
 
 
-LARGE_SQL = """
+ORDER_FACTS_SQL = """
 facts AS (
-  SELECT o_orderpriority AS code, 'count' AS unit, CAST(year(o_orderdate) AS INTEGER) AS date, r_name AS country, n_name AS region,
+  SELECT o_orderpriority || '/' || o_orderstatus || '/' || c_mktsegment AS code, 'count' AS unit,
+         CAST(year(o_orderdate) AS INTEGER) AS date, r_name AS country, n_name AS region,
          CAST(NULL AS DOUBLE) AS num, CAST(NULL AS DOUBLE) AS den, CAST(count(*) AS DOUBLE) AS value
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
        JOIN region ON n_regionkey = r_regionkey
-  WHERE o_totalprice > 490000 GROUP BY ALL)
+  GROUP BY ALL)
 """
 
 GAPS_SQL = f"""
@@ -83,12 +83,12 @@ filled AS (
 
 @query(
     "gap_fill_spine",
-    f"""WITH {LARGE_SQL}, {rollup_sql()}, {GAPS_SQL}
+    f"""WITH {ORDER_FACTS_SQL}, {rollup_sql()}, {GAPS_SQL}
     SELECT indicator_code, 'name of ' || indicator_code AS indicator_name, unit, date, {_PROJECT_SQL} AS project,
            level, country, region, value FROM filled""",
 )
 def gap_fill_spine(spark, sf):
-    rolled = settle(rollup(large_orders(spark, sf)))
+    rolled = settle(rollup(order_facts(spark, sf)))
     return gap_fill(rolled, OLD, NEW, FIRST, LAST_OLD).drop("numerator", "denominator", "indicator_changed")
 
 
@@ -123,8 +123,9 @@ def by_place(spark, sf, condition):
     )
 
 
-#: official figures: large urgent and high orders of the later years
-OFFICIAL = "o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_totalprice > 495000 AND o_orderdate >= DATE '1999-01-01'"
+#: official figures: urgent orders from one year on, high ones from the year before
+OFFICIAL = """(o_orderpriority = '1-URGENT' AND o_orderdate >= DATE '2000-01-01')
+    OR (o_orderpriority = '2-HIGH' AND o_orderdate >= DATE '1999-01-01')"""
 
 
 def _by_place_sql(condition: str) -> str:
@@ -244,7 +245,7 @@ def cumulate_flags_by_place(spark, sf):
 def period_split_running_sum(spark, sf):
     """Running sums per customer over all orders and over those of the current project.
 
-    Blocks are months, so a customer with any share of the orders is spread.
+    Blocks are days, so a customer with any share of the orders is spread.
     """
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate", cents.alias("cents"))
@@ -252,8 +253,7 @@ def period_split_running_sum(spark, sf):
         "all_cents": F.col("cents"),
         "new_cents": F.when(F.year("o_orderdate") > LAST_OLD, F.col("cents")),
     }
-    month = F.year("o_orderdate") * 12 + F.month("o_orderdate")
-    summed = running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums, [month])
+    summed = running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums, [F.to_date("o_orderdate")])
     return summed.select("o_orderkey", "o_custkey", "all_cents", "new_cents")
 
 

@@ -39,7 +39,7 @@ gappy AS (SELECT event_id, user_id, ts, CASE WHEN event_type = 'purchase' THEN v
 )
 def forward_fill_per_user(spark, sf):
     filled = forward_fill(
-        _gappy(spark, sf), ["user_id"], ["ts", "event_id"], ["value", "kind"], [F.to_date("ts")]
+        _gappy(spark, sf), ["user_id"], ["ts", "event_id"], ["value", "kind"], [F.date_trunc("hour", "ts")]
     )
     return filled.select("event_id", "user_id", "value", "kind")
 
@@ -50,8 +50,8 @@ def forward_fill_per_user(spark, sf):
         WINDOW w AS (ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 )
 def forward_fill_whole(spark, sf):
-    """No key at all: the hours of the table are filled side by side."""
-    filled = forward_fill(_gappy(spark, sf), [], ["ts", "event_id"], ["value"], [F.date_trunc("hour", "ts")])
+    """No key at all: the minutes of the table are filled side by side."""
+    filled = forward_fill(_gappy(spark, sf), [], ["ts", "event_id"], ["value"], [F.date_trunc("minute", "ts")])
     return filled.select("event_id", "value")
 
 
@@ -61,7 +61,7 @@ def forward_fill_whole(spark, sf):
 )
 def position_in_user(spark, sf):
     rows = events(spark, sf).select("event_id", "user_id", "ts")
-    return row_index(rows, ["user_id"], ["ts", "event_id"], "pos", [F.to_date("ts")]).drop("ts")
+    return row_index(rows, ["user_id"], ["ts", "event_id"], "pos", [F.date_trunc("hour", "ts")]).drop("ts")
 
 
 @query(
@@ -70,7 +70,7 @@ def position_in_user(spark, sf):
 )
 def previous_row(spark, sf):
     rows = events(spark, sf).select("event_id", "ts", "event_type")
-    stepped = previous_value(rows, [], ["ts", "event_id"], {"before": "event_type"}, [F.date_trunc("hour", "ts")])
+    stepped = previous_value(rows, [], ["ts", "event_id"], {"before": "event_type"}, [F.date_trunc("minute", "ts")])
     return stepped.select("event_id", "before")
 
 
@@ -96,7 +96,7 @@ def changes_per_user(spark, sf):
         "event_id", "user_id", "ts", "event_type", (F.col("value") > 20).cast("int").alias("big")
     )
     counted = change_counter(
-        rows, ["user_id"], ["big"], ["ts", "event_id"], "event_type", "n_changes", [F.to_date("ts")]
+        rows, ["user_id"], ["big"], ["ts", "event_id"], "event_type", "n_changes", [F.date_trunc("hour", "ts")]
     )
     return counted.select("event_id", "n_changes")
 
