@@ -32,22 +32,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.geo import box_distance_km, cell_label, haversine_km
+from ..functions.geo import BOX, box_of, boxes_within_km, cell_label, unit_vector, within_km
 from ..session import settle
 from .lookups import join_hot
 
 _CELL = ["cell_lat", "cell_lon"]
 _POINT = ["lat", "lon"]
-_MARGIN = 1e-9
 
 #: how many parts per axis each finer grid cuts a square into
-SPLITS = (8, 8)
+SPLITS = (8, 8, 4)
 
 #: pairs of squares with at most this many pairs of points are compared at once
 FEW_PAIRS = 4096
 
-_BOX = ("south", "north", "west", "east")
-
 
 def _points(df: DataFrame, row_id: str, lat: str, lon: str, digits: int, splits: Sequence[int]) -> DataFrame:
     """Distinct points with their cell and their position in the finest grid."""
@@ -86,54 +83,56 @@ def _squares(points: DataFrame, level: int, splits: Sequence[int]) -> DataFrame:
     """Squares of one level with their parent, outermost points and number of points."""
     parent = _square(max(level - 1, 0), splits)
     return points.groupBy(*_CELL, parent.alias("parent"), _square(level, splits).alias("square")).agg(
-        F.min("lat").alias("south"),
-        F.max("lat").alias("north"),
-        F.min("lon").alias("west"),
-        F.max("lon").alias("east"),
+        *[side.alias(name) for name, side in box_of(F.col("lat"), F.col("lon")).items()],
         F.count(F.lit(1)).alias("n"),
     )
 
 
-def _side(squares: DataFrame, mark: str, parent: str) -> DataFrame:
-    return squares.select(
-        *_CELL,
-        F.col("parent").alias(parent),
-        F.col("square").alias(mark),
-        F.struct(*_BOX, "n").alias(f"{mark}_box"),
-    )
-
-
 def _judged(pairs: DataFrame, max_km: float, level: int, finest: bool, few_pairs: int) -> DataFrame:
-    box_a = {side: F.col(f"a_box.{side}") for side in _BOX}
-    box_b = {side: F.col(f"b_box.{side}") for side in _BOX}
-    nearest, farthest = box_distance_km(box_a, box_b)
-    few = F.lit(True) if finest else (F.col("a_box.n") * F.col("b_box.n") <= few_pairs)
-    verdict = (
-        F.when(farthest <= max_km * (1 - _MARGIN), "whole")
-        .when(nearest > max_km * (1 + _MARGIN), "none")
-        .when(few, "points")
-        .otherwise("cut")
+    """What to do with each pair of squares ``a`` and ``b``."""
+    whole, any_near = boxes_within_km(
+        {side: F.col(f"a.{side}") for side in BOX}, {side: F.col(f"b.{side}") for side in BOX}, max_km
     )
+    few = F.lit(True) if finest else (F.col("a.n") * F.col("b.n") <= few_pairs)
+    verdict = F.when(whole, "whole").when(~any_near, "none").when(few, "points").otherwise("cut")
     return pairs.select(
-        *_CELL, F.lit(level).alias("level"), "a", "b", verdict.alias("verdict")
+        *_CELL,
+        F.lit(level).alias("level"),
+        F.col("a.square").alias("a"),
+        F.col("b.square").alias("b"),
+        verdict.alias("verdict"),
     ).filter(F.col("verdict") != "none")
 
 
+def _tasks(df: DataFrame) -> int:
+    """As many tasks as a shuffle has.
+
+    Asked for by number where few bytes become many rows: left to itself Spark
+    would take the bytes as a sign that one task is enough.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _square_pairs(points: DataFrame, max_km: float, splits: Sequence[int], few_pairs: int) -> DataFrame:
-    """Ordered pairs of squares within reach (``whole``) or to compare (``points``)."""
+    """Ordered pairs of squares within reach (``whole``) or to compare (``points``).
+
+    The parts of a square are at most the square of its split, so they travel as
+    a list, and the pairs of parts of a pair come out where the pair is.
+    """
+    box = F.struct("square", *BOX, "n")
     cells = _squares(points, 0, splits)
-    pairs = _side(cells, "a", "pa").join(_side(cells, "b", "pb"), _CELL).drop("pa", "pb")
-    judged = _judged(pairs, max_km, 0, not splits, few_pairs)
+    judged = _judged(cells.select(*_CELL, box.alias("a"), box.alias("b")), max_km, 0, not splits, few_pairs)
     done = judged.filter("verdict != 'cut'")
     for level in range(1, len(splits) + 1):
-        squares = _squares(points, level, splits)
-        cut = judged.filter("verdict = 'cut'").select(
-            *_CELL, F.col("a").alias("pa"), F.col("b").alias("pb")
+        parts = _squares(points, level, splits).groupBy(*_CELL, "parent").agg(F.collect_list(box).alias("parts"))
+        cut = (
+            judged.filter("verdict = 'cut'")
+            .join(parts.withColumnsRenamed({"parent": "a", "parts": "parts_a"}), [*_CELL, "a"])
+            .join(parts.withColumnsRenamed({"parent": "b", "parts": "parts_b"}), [*_CELL, "b"])
+            .repartition(_tasks(points), *_CELL, "a", "b")
         )
-        pairs = (
-            cut.join(_side(squares, "a", "pa"), [*_CELL, "pa"])
-            .join(_side(squares, "b", "pb"), [*_CELL, "pb"])
-            .drop("pa", "pb")
+        pairs = cut.select(*_CELL, F.explode("parts_a").alias("a"), "parts_b").select(
+            *_CELL, "a", F.explode("parts_b").alias("b")
         )
         judged = _judged(pairs, max_km, level, level == len(splits), few_pairs)
         done = done.unionByName(judged.filter("verdict != 'cut'"))
@@ -174,19 +173,26 @@ def _fold(
     compared = pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
     taking_part = compared.select(*_CELL, "level", F.col("a").alias("square")).distinct()
     comparable = join_hot(placed, taking_part, key, _POINT, "left_semi")
-    here = comparable.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon")
+    at = unit_vector(F.col("lat"), F.col("lon"))
+    here = comparable.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon", at.alias("at"))
     there = comparable.select(
         *_CELL,
         "level",
         F.col("square").alias("b"),
         F.col("lat").alias("lat_b"),
         F.col("lon").alias("lon_b"),
+        at.alias("at_b"),
         *values,
     )
-    near = haversine_km(F.col("lat"), F.col("lon"), F.col("lat_b"), F.col("lon_b")) <= max_km
+    near = within_km(
+        {c: F.col(c) for c in ("lat", "lon", "at")}, {c: F.col(f"{c}_b") for c in ("lat", "lon", "at")}, max_km
+    )
     itself = (F.col("lat") == F.col("lat_b")) & (F.col("lon") == F.col("lon_b"))
+    meet = [*_CELL, "level", "a"]
+    tasks = _tasks(points)
     from_points = (
-        compared.join(here, [*_CELL, "level", "a"])
+        compared.repartition(tasks, *meet)
+        .join(here.repartition(tasks, *meet), meet)
         .join(there, [*_CELL, "level", "b"])
         .filter(near | itself)
         .select(*_CELL, "lat", "lon", *values)
@@ -265,10 +271,11 @@ def near_duplicate_ids(
     hoods = settle(hoods.join(points, [*_CELL, "lat", "lon"]))
     pos = hoods.groupBy(*same_set).agg(F.min("first_id").alias("pos"))
 
-    # fold 2: the member whose neighbourhood comes last decides
-    decided = join_hot(hoods, pos, same_set, _POINT).withColumn("last", F.struct("pos", "lowest"))
-    last = _fold(decided, pairs, {"last": F.max("last")}, max_km, splits)
-    ids = last.select(*_CELL, "lat", "lon", F.col("last.lowest").alias("__common"))
+    # fold 2: the member whose neighbourhood comes last decides; pos names its neighbourhood
+    placed = join_hot(hoods, pos, same_set, _POINT).select(*_CELL, "lat", "lon", "ix", "iy", "pos")
+    last = _fold(placed, pairs, {"pos": F.max("pos")}, max_km, splits)
+    lowest = pos.select("pos", F.col("lowest").alias("__common"))
+    ids = join_hot(last, lowest, ["pos"], _POINT).select(*_CELL, "lat", "lon", "__common")
 
     joined = _on_rows(df, ids, row_id, lat, lon).withColumn(out, F.coalesce("__common", F.col(row_id)))
     if cell:
