@@ -103,7 +103,7 @@ def carry(
     """
     previous = previous or {}
     rows = _with_block(df, block).withColumns({f"__{out}": F.col(src) for out, src in previous.items()})
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
     last_seen = [F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in fill]
     last_row = [F.max_by(F.struct(f"__{out}"), position)[f"__{out}"].alias(f"__{out}") for out in previous]
     tails = rows.groupBy(*keys, _BLOCK).agg(*last_seen, *last_row)

@@ -152,7 +152,9 @@ merged AS (
 
 
 def _merged(spark, sf, match="independent"):
-    return override(by_place(spark, sf, "true"), by_place(spark, sf, OFFICIAL), match)
+    # read once for its rows and once for each of its sets
+    official = settle(by_place(spark, sf, OFFICIAL))
+    return override(by_place(spark, sf, "true"), official, match)
 
 
 _OVERRIDE_OUT = ["indicator_code", "date", "country", "value", "data_source"]
@@ -276,7 +278,7 @@ def flow(spark, sf):
             "indicator_changed": F.lit(False),
         }
     )
-    return complete_values(rolled, figures, PROJECTS, FIRST, LAST_OLD)
+    return complete_values(rolled, settle(figures), PROJECTS, FIRST, LAST_OLD)
 
 
 FLOW_SQL = f"""
