@@ -113,46 +113,56 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _square_pairs(points: DataFrame, max_km: float, splits: Sequence[int], few_pairs: int) -> DataFrame:
-    """Ordered pairs of squares within reach (``whole``) or to compare (``points``).
+def _square_pairs(
+    points: DataFrame, max_km: float, splits: Sequence[int], few_pairs: int
+) -> tuple[DataFrame, int]:
+    """Ordered pairs of squares within reach (``whole``) or to compare (``points``), and the finest grid used.
 
     The parts of a square are at most the square of its split, so they travel as
-    a list, and the pairs of parts of a pair come out where the pair is.
+    a list, and the pairs of parts of a pair come out where the pair is.  Each
+    grid's pairs are stored, and a finer grid is laid only if some pair needs it.
     """
     box = F.struct("square", *BOX, "n")
-    cells = _squares(points, 0, splits)
-    judged = _judged(cells.select(*_CELL, box.alias("a"), box.alias("b")), max_km, 0, not splits, few_pairs)
-    done = judged.filter("verdict != 'cut'")
+    cells = _squares(points, 0, splits).select(*_CELL, box.alias("a"), box.alias("b"))
+    judged = settle(_judged(cells, max_km, 0, not splits, few_pairs))
+    done, deepest = judged, 0
     for level in range(1, len(splits) + 1):
+        cut = judged.filter("verdict = 'cut'")
+        if cut.isEmpty():
+            break
         parts = _squares(points, level, splits).groupBy(*_CELL, "parent").agg(F.collect_list(box).alias("parts"))
         cut = (
-            judged.filter("verdict = 'cut'")
-            .join(parts.withColumnsRenamed({"parent": "a", "parts": "parts_a"}), [*_CELL, "a"])
+            cut.join(parts.withColumnsRenamed({"parent": "a", "parts": "parts_a"}), [*_CELL, "a"])
             .join(parts.withColumnsRenamed({"parent": "b", "parts": "parts_b"}), [*_CELL, "b"])
             .repartition(_tasks(points), *_CELL, "a", "b")
         )
         pairs = cut.select(*_CELL, F.explode("parts_a").alias("a"), "parts_b").select(
             *_CELL, "a", F.explode("parts_b").alias("b")
         )
-        judged = _judged(pairs, max_km, level, level == len(splits), few_pairs)
-        done = done.unionByName(judged.filter("verdict != 'cut'"))
-    return done
+        judged = settle(_judged(pairs, max_km, level, level == len(splits), few_pairs))
+        done, deepest = done.unionByName(judged), level
+    return done.filter("verdict != 'cut'"), deepest
 
 
 def _fold(
-    points: DataFrame, pairs: DataFrame, merges: dict[str, Column], max_km: float, splits: Sequence[int]
+    points: DataFrame,
+    pairs: tuple[DataFrame, int],
+    merges: dict[str, Column],
+    max_km: float,
+    splits: Sequence[int],
 ) -> DataFrame:
     """For every point, ``merges`` over the points of its neighbourhood (itself included).
 
     ``merges`` are aggregations over the column of their own name, such that
     merging merged values is merging the parts.
     """
+    square_pairs, deepest = pairs
     values = list(merges)
     merge = [how.alias(out) for out, how in merges.items()]
     levels = F.array(
         *[
             F.struct(F.lit(level).alias("level"), _square(level, splits).alias("square"))
-            for level in range(len(splits) + 1)
+            for level in range(deepest + 1)
         ]
     )
     placed = points.select(*_CELL, "lat", "lon", *values, F.explode(levels).alias("at")).select(
@@ -160,7 +170,7 @@ def _fold(
     )
     key = [*_CELL, "level", "square"]
 
-    whole = pairs.filter("verdict = 'whole'")
+    whole = square_pairs.filter("verdict = 'whole'")
     of_square = placed.groupBy(*key).agg(*merge).withColumnRenamed("square", "b")
     handed = (
         whole.join(of_square, [*_CELL, "level", "b"])
@@ -170,7 +180,7 @@ def _fold(
     from_squares = join_hot(placed.drop(*values), handed, key, _POINT).select(*_CELL, "lat", "lon", *values)
 
     # squares too full to compare are in no such pair: their points go before the joins
-    compared = pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
+    compared = square_pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
     taking_part = compared.select(*_CELL, "level", F.col("a").alias("square")).distinct()
     comparable = join_hot(placed, taking_part, key, _POINT, "left_semi")
     at = unit_vector(F.col("lat"), F.col("lon"))
@@ -202,9 +212,9 @@ def _fold(
 
 def _prepared(
     df: DataFrame, row_id: str, lat: str, lon: str, max_km: float, digits: int, splits: Sequence[int], few_pairs: int
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[DataFrame, tuple[DataFrame, int]]:
     points = settle(_points(df, row_id, lat, lon, digits, splits))
-    return points, settle(_square_pairs(points, max_km, splits, few_pairs))
+    return points, _square_pairs(points, max_km, splits, few_pairs)
 
 
 def _on_rows(df: DataFrame, per_point: DataFrame, row_id: str, lat: str, lon: str) -> DataFrame:
