@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import nan_to_null
 from ..operators.lookups import attach, first_match, the_only
 from ..operators.reshape import pivot_years
+from ..schema import fixed_table
 from . import fixed_values as fixed
 
 
@@ -20,8 +21,8 @@ def layout(spark: SparkSession) -> DataFrame:
         for code in codes
     ]
     rows = [(i, *line) for i, line in enumerate(lines)]
-    return spark.createDataFrame(
-        rows, "ord int, section string, section_label string, component string, indicator_code string"
+    return fixed_table(
+        spark, rows, "ord int, section string, section_label string, component string, indicator_code string"
     )
 
 

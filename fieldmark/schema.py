@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,6 +56,13 @@ VALUE = _schema(
 SOURCED_VALUE = T.StructType(VALUE.fields + [T.StructField("data_source", _S, True)])
 
 
+def fixed_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A small table of fixed rows, part of the plan itself, so that Spark knows its size."""
+    kinds = T.StructType.fromDDL(schema)
+    table = pa.Table.from_pylist([dict(zip(kinds.names, row)) for row in rows])
+    return spark.createDataFrame(table, schema=kinds)
+
+
 def name(column: str) -> Column:
     """A column by its exact name, whatever signs the name holds."""
     return F.col("`" + column.replace("`", "``") + "`")

@@ -14,7 +14,7 @@ from fieldmark.operators.spec import compute
 from fieldmark.plans import fixed_values as fixed
 from fieldmark.plans.catalogue import DEFINITIONS, SURVEYS
 from fieldmark.plans.indicators import Projects, combine_indicators, history_facts, join_metadata
-from fieldmark.schema import FACT, union_aligned
+from fieldmark.schema import FACT, fixed_table, union_aligned
 
 from .registry import query, table
 
@@ -442,8 +442,8 @@ _META_VALUES = ", ".join("(" + ", ".join(_quoted(v) for v in row) + ")" for row
     FROM lineitem LEFT JOIN meta ON l_returnflag = code_old""",
 )
 def metadata_left_join(spark, sf):
-    meta = spark.createDataFrame(
-        list(_META), "code_old string, code_new string, designation string, unit string, note string"
+    meta = fixed_table(
+        spark, _META, "code_old string, code_new string, designation string, unit string, note string"
     )
     lines = table(spark, sf, "lineitem").select(
         F.col("l_returnflag").alias("indicator_code"),

@@ -16,6 +16,7 @@ from fieldmark.plans.framework import (
     targets_sheet_2026,
 )
 from fieldmark.plans.report import target_vs_result, wide_report
+from fieldmark.schema import fixed_table
 
 from .registry import query, table
 from .texts import label_sql
@@ -86,7 +87,7 @@ META_SQL = (
 
 
 def metadata(spark):
-    return spark.createDataFrame(list(_META), ", ".join(f"{c} string" for c in _META_NAMES))
+    return fixed_table(spark, _META, ", ".join(f"{c} string" for c in _META_NAMES))
 
 
 def _grid(spark, sf, source, cells):
@@ -348,7 +349,7 @@ report AS (SELECT *, CASE WHEN target <> 0 THEN round(value / target, 3) END AS
 
 
 def _report(spark, sf):
-    meta = spark.createDataFrame(list(_LABELS), "code string, designation string")
+    meta = fixed_table(spark, _LABELS, "code string, designation string")
     return target_vs_result(report_targets(spark, sf), report_values(spark, sf), meta, "new")
 
 

@@ -20,6 +20,7 @@ from fieldmark.operators.resolve import MetadataColumns, main_items, match_names
 from fieldmark.plans import fixed_values as fixed
 from fieldmark.plans.framework import scaled_result
 from fieldmark.plans.report import in_unit
+from fieldmark.schema import fixed_table
 
 from .registry import query, table
 
@@ -95,7 +96,7 @@ _META_VALUES = ", ".join("(" + ", ".join(_quoted(v) for v in row) + ")" for row
     FROM names n LEFT JOIN (SELECT * FROM items WHERE NOT starts_with(clean, 'dont ')) i ON n.clean = i.clean""",
 )
 def name_match_codes(spark, sf):
-    meta = spark.createDataFrame(list(_META), ", ".join(f"{c} string" for c in _META_NAMES))
+    meta = fixed_table(spark, _META, ", ".join(f"{c} string" for c in _META_NAMES))
     items = main_items(meta, MetadataColumns("designation", "code"))
     names = table(spark, sf, "part").select("p_partkey", "p_name")
     return match_names(names, items, "p_name", _OVERRIDES)
