@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,19 +15,20 @@ from ..plans.indicators import history_facts
 from ..schema import null_empty_structs
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+def parquet_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None where there is nothing at the path."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
 
 
 def survey_tables(spark: SparkSession, folder: str, names: Sequence[str] = fixed.SURVEYS) -> dict[str, DataFrame]:
     """The survey tables of a folder, one Parquet table each; absent ones are left out."""
-    return {
-        n: spark.read.parquet(f"{folder}/{n}.parquet")
-        for n in names
-        if _exists(spark, f"{folder}/{n}.parquet")
-    }
+    found = {n: parquet_if_there(spark, f"{folder}/{n}.parquet") for n in names}
+    return {n: df for n, df in found.items() if df is not None}
 
 
 def csv_text(spark: SparkSession, path: str) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators.fingerprint import fingerprint
 from ..plans.surveys import point_table
 from ..session import settle
-from .readers import _exists
+from .readers import parquet_if_there
 
 log = logging.getLogger(__name__)
 
@@ -63,8 +63,9 @@ def publish_if_changed(df: DataFrame, folder: str, version: str | None = None) -
     stored = settle(df)
     now = fingerprint(stored)
     marks = f"{folder}/_versions"
-    if _exists(spark, marks):
-        latest = spark.read.parquet(marks).orderBy("version", ascending=False).limit(1)
+    published = parquet_if_there(spark, marks)
+    if published is not None:
+        latest = published.orderBy("version", ascending=False).limit(1)
         if not latest.join(now, ["n_rows", "content"]).isEmpty():
             return None
     version = version or datetime.now().strftime("%Y%m%d_%H%M%S")
