@@ -38,3 +38,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.round("score", 6).alias("score"),
     )
+
+
+@query("op1_ngram_jaccard_join")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set and the component it links into."""
+    from .ngram_join import jaccard_components
+
+    return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
