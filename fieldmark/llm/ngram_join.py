@@ -27,8 +27,9 @@ from pyspark.sql import functions as F
 
 from fieldmark.session import settle
 
+from .bits import Chosen, bit, wanted_bits
 from .components import components
-from .words import mix, parts, windows, words_of
+from .words import groups, mix, parts, windows, words_of
 
 _U = np.uint64
 #: log2 of the buckets of the histogram that orders shingles.
@@ -37,8 +38,6 @@ BUCKET_BITS = 17
 PARITY_WORDS = 8
 #: Rows of a posting list that one block holds; longer lists are cut.
 BLOCK = 2048
-#: log2 of the bits that tell which documents' whole sets are wanted: a filter of fixed size, exact after a join.
-WANTED_BITS = 23
 #: Pairs bounded at once.
 PAIRS = 1 << 18
 
@@ -119,29 +118,6 @@ def _describe(words: int, percent: int, level: np.ndarray) -> Callable:
     return describe
 
 
-def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
-    """Batches of sorted rows, recut so that no group of equal keys spans two of them."""
-    held: pa.Table | None = None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        last = [batch.column(k)[-1] for k in keys]
-        cut = batch.num_rows
-        same = np.ones(batch.num_rows, bool)
-        for k, v in zip(keys, last, strict=True):
-            same &= batch.column(k).to_numpy(zero_copy_only=False) == v.as_py()
-        if not same.all():
-            cut = int(np.flatnonzero(~same)[-1]) + 1
-            whole = table.slice(0, cut) if held is None else pa.concat_tables([held, table.slice(0, cut)])
-            held = table.slice(cut)
-            yield whole.combine_chunks().to_batches()[0]
-        else:
-            held = table if held is None else pa.concat_tables([held, table])
-    if held is not None:
-        yield held.combine_chunks().to_batches()[0]
-
-
 def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, row, least possible difference) of pairs of a block that sizes and parity bits allow."""
     col = {c: batch.column(c).to_numpy() for c in ("token", "i", "j", "k", "n", "component")}
@@ -172,7 +148,7 @@ def _partners(percent: int, closest: bool) -> Callable:
     """Pairs of each block that may reach the threshold: all, or each document's closest."""
 
     def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in _groups(batches, ["token", "i", "j"]):
+        for batch in groups(batches, ["token", "i", "j"]):
             ids = batch.column("id").to_numpy()
             a, b, d = (np.zeros(0, np.int64) for _ in range(3))
             for x, y, apart in _close_pairs(batch, percent):
@@ -197,11 +173,11 @@ def _partners(percent: int, closest: bool) -> Callable:
 
 def _whole_sets(words: int, wanted: bytes) -> Callable:
     """Whole sets of the documents whose bit is set."""
-    bits = np.unpackbits(np.frombuffer(wanted, np.uint8), bitorder="little").astype(bool)
+    chosen = Chosen(wanted)
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            picked = batch.filter(pa.array(bits[batch.column("bit").to_numpy()]))
+            picked = batch.filter(pa.array(chosen(batch.column("bit"))))
             if picked.num_rows:
                 sets = [grams.tobytes() for _, grams in _shingle_sets(picked, words)]
                 yield pa.RecordBatch.from_arrays([picked.column("id"), _binary(sets)], ["id", "grams"])
@@ -223,24 +199,6 @@ def _linked(percent: int) -> Callable:
     return linked
 
 
-def _bit(column: str) -> F.Column:
-    return F.shiftrightunsigned(F.xxhash64(column), 64 - WANTED_BITS)
-
-
-def _wanted(ids: DataFrame) -> bytes:
-    """A bit for each hash of an id: 2 ** WANTED_BITS bits, whatever the number of ids."""
-    one_based = _bit("id") + 1
-    maps = (
-        ids.select(F.bitmap_bucket_number(one_based).alias("part"), F.bitmap_bit_position(one_based).alias("place"))
-        .groupBy("part")
-        .agg(F.bitmap_construct_agg("place").alias("bits"))
-    )
-    out = bytearray((1 << WANTED_BITS) // 8)
-    for row in maps.collect():  # at most 2 ** WANTED_BITS / 32768 rows of 4 KB
-        out[4096 * (row["part"] - 1) : 4096 * row["part"]] = bytes(row["bits"])
-    return bytes(out)
-
-
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 3, percent: int = 90) -> DataFrame:
     """(id, n_shingles, component_id) for every row of ``docs``.
 
@@ -283,9 +241,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     nearest = settle(offers.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near")).select("a", F.col("near.b").alias("b")))
     # every document with a partner stands in column a
     wanted = nearest.select(F.col("a").alias("id"))
-    bits = _wanted(wanted)
+    bits = wanted_bits(wanted)
     whole = settle(
-        docs.where("id is not null").withColumn("bit", _bit("id").cast("int")).mapInArrow(_whole_sets(words, bits), "id bigint, grams binary")
+        docs.where("id is not null").withColumn("bit", bit("id")).mapInArrow(_whole_sets(words, bits), "id bigint, grams binary")
         .join(wanted, "id", "left_semi")
     )
     found = settle(verified(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))

@@ -46,3 +46,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .ngram_join import jaccard_components
 
     return jaccard_components(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that no earlier document's run of 50 covers."""
+    from .substring_dedup import remove_repeats
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return remove_repeats(docs, words=50).select("row.doc_id", "n_words", "n_removed", "kept_sha256")

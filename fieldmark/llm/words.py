@@ -163,3 +163,26 @@ def parts(batch: pa.RecordBatch, column: str, most: int = PART) -> Iterator[pa.R
         total += size
     if begin < len(sizes):
         yield batch.slice(begin)
+
+
+def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
+    """Batches of sorted rows, recut so that no group of equal keys spans two of them."""
+    held: pa.Table | None = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        table = pa.Table.from_batches([batch])
+        last = [batch.column(k)[-1] for k in keys]
+        cut = batch.num_rows
+        same = np.ones(batch.num_rows, bool)
+        for k, v in zip(keys, last, strict=True):
+            same &= batch.column(k).to_numpy(zero_copy_only=False) == v.as_py()
+        if not same.all():
+            cut = int(np.flatnonzero(~same)[-1]) + 1
+            whole = table.slice(0, cut) if held is None else pa.concat_tables([held, table.slice(0, cut)])
+            held = table.slice(cut)
+            yield whole.combine_chunks().to_batches()[0]
+        else:
+            held = table if held is None else pa.concat_tables([held, table])
+    if held is not None:
+        yield held.combine_chunks().to_batches()[0]
