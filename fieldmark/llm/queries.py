@@ -55,3 +55,18 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return remove_repeats(docs, words=50).select("row.doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def tokenizer_path(name: str) -> str:
+    """Where the file of a public tokenizer lies."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op10_packing")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's ids in sequences of at most 2048."""
+    from .packing import packed_pieces
+
+    return packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))

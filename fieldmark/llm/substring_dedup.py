@@ -33,7 +33,7 @@ from .words import Words, groups, parts, windows, words_of
 
 _U = np.uint64
 #: Shards of the hash space for each shuffle partition.
-SHARDS_EACH = 8
+SHARDS_EACH = 2
 
 
 def shard_bits(docs: DataFrame) -> int:
