@@ -70,3 +70,11 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import packed_pieces
 
     return packed_pieces(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
+@query("op9_bpe_automaton")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's ids, and of the text decoded from them."""
+    from .bpe_automaton import coded_digests
+
+    return coded_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))

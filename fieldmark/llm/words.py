@@ -68,12 +68,13 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Words:
-    """Words of consecutive texts: byte spans into ``data``; text i has words first[i] to first[i + 1]."""
+    """Words of consecutive texts: byte spans into ``data``; text i has words first[i] to first[i + 1], bytes from bounds[i]."""
 
     data: np.ndarray
     start: np.ndarray
     end: np.ndarray
     first: np.ndarray
+    bounds: np.ndarray
 
     @property
     def counts(self) -> np.ndarray:
@@ -123,7 +124,7 @@ def words_of(texts: pa.Array) -> Words:
     bounds = bounds - bounds[0]
     if not len(raw):
         none = np.zeros(0, np.int64)
-        return Words(raw, none, none, np.zeros(n + 1, np.int64))
+        return Words(raw, none, none, np.zeros(n + 1, np.int64), bounds)
     inside = ~_SPACE[raw]
     before = np.empty(len(raw), bool)
     before[0], before[1:] = False, inside[:-1]
@@ -133,7 +134,7 @@ def words_of(texts: pa.Array) -> Words:
     after[-1], after[:-1] = False, inside[1:]
     after[bounds[1:][bounds[1:] > 0] - 1] = False
     end = np.flatnonzero(inside & ~after) + 1
-    return Words(raw, start, end, np.searchsorted(start, bounds))
+    return Words(raw, start, end, np.searchsorted(start, bounds), bounds)
 
 
 def windows(hashes: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
