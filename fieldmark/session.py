@@ -43,7 +43,7 @@ def session(app: str = "fieldmark", local_cpus: int | None = None, **extra: str)
     return builder.getOrCreate()
 
 
-def _shared_folder(spark: SparkSession) -> str:
+def shared_folder(spark: SparkSession) -> str:
     """Where results are stored between steps: the folder the cluster names for checkpoints."""
     context = spark.sparkContext
     shared = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -66,6 +66,6 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType == T.NullType()}
     stored = df.withColumns(untyped) if untyped else df
-    path = f"{_shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
     stored.write.parquet(path)
     return spark.read.schema(stored.schema).parquet(path)
