@@ -78,3 +78,17 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .bpe_automaton import coded_digests
 
     return coded_digests(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@query("op7_warc")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written to archives and read back through their index."""
+    from uuid import uuid4
+
+    from fieldmark.session import shared_folder
+
+    from .warc import read_records, write_archives
+
+    folder = f"{shared_folder(spark).rstrip('/')}/warc-{uuid4().hex}"
+    index = write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
