@@ -92,3 +92,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{shared_folder(spark).rstrip('/')}/warc-{uuid4().hex}"
     index = write_archives(table(spark, sf_dir, "pages"), folder)
     return read_records(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op2_vector_sharding")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's shard of 16, sizes near equal, and its slot there."""
+    from .sharding import shards
+
+    placed = shards(table(spark, sf_dir, "documents"), 16)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
