@@ -101,3 +101,11 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     placed = shards(table(spark, sf_dir, "documents"), 16)
     return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op4_embedding_near_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector, within its label."""
+    from .near_vectors import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)

@@ -26,15 +26,17 @@ FINE = 64
 #: Groups that one bucket packs, about.
 BUCKET = 20_000
 _SIZES = ("bytes", "tokens", "rows")
+#: What an even share of each counts: bytes first, as they make the law.
+WEIGHTS = np.array([32.0, 4.0, 1.0])
 
 
 def place(sizes: np.ndarray, residual: np.ndarray, totals: np.ndarray) -> np.ndarray:
     """The shard of each group, in the order given.  ``residual`` (shards x dimensions) is used up.
 
-    Sizes count as shares of ``totals``.  Where nothing is left anywhere, the shard that
+    Sizes count as weighted shares of ``totals``.  Where nothing is left anywhere, the shard that
     is least overfull has the highest product, so ties and overflow need no rule.
     """
-    scale = 1.0 / np.maximum(totals, 1)
+    scale = WEIGHTS / np.maximum(totals, 1)
     left, items = residual * scale, sizes * scale
     out = np.empty(len(items), np.int64)
     for i, item in enumerate(items):
