@@ -109,3 +109,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .near_vectors import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"), 0.98)
+
+
+@query("op5_html_extraction")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from .html_text import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
