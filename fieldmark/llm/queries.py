@@ -117,3 +117,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .html_text import main_text
 
     return main_text(table(spark, sf_dir, "pages"))
+
+
+@query("op3_pseudo_likelihood")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's masked pseudo-likelihood under a network trained on all documents."""
+    from .pseudo_likelihood import pseudo_likelihood
+
+    return pseudo_likelihood(table(spark, sf_dir, "documents"))
