@@ -9,6 +9,8 @@ of all shingles with a fixed number of buckets).  A block is the posting list of
 column; a longer list is cut and its pieces meet pairwise.  In a block the overlap of
 every pair is bounded from above by parity bits of both sets, and pairs whose bound is
 too low are dropped there, so a large group of near copies makes no table of its pairs.
+Pairs that are left meet a second bound, by parity bits in number with their shingles,
+and then whole sets, which are made only for documents of pairs still open.
 
 Two passes give the components without forming every link.  First each document
 offers its closest partner of a block; the offers are counted exactly, shingle by
@@ -34,8 +36,8 @@ from .words import groups, mix, parts, windows, words_of
 _U = np.uint64
 #: log2 of the buckets of the histogram that orders shingles.
 BUCKET_BITS = 17
-#: Parity bits of a set, in words of 64.
-PARITY_WORDS = 8
+#: Parity bits of a set that travel with its shingles, in words of 64; bits per shingle of the second bound.
+PARITY_WORDS, WIDE = 8, 2
 #: Rows of a posting list that one block holds; longer lists are cut.
 BLOCK = 2048
 #: Pairs bounded at once.
@@ -118,10 +120,30 @@ def _describe(words: int, percent: int, level: np.ndarray) -> Callable:
     return describe
 
 
+def _folded(parity: bytes, size: int) -> np.ndarray:
+    """Parity bits of a set over fewer places; both sizes are powers of two."""
+    return np.bitwise_xor.reduce(np.frombuffer(parity, np.uint8).reshape(-1, size), axis=0)
+
+
+def _apart(parity: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Least possible difference of the sets of rows x and y, by the bits both have."""
+    sizes = np.fromiter(map(len, parity), np.int64, len(parity))
+    common, out = np.minimum(sizes[x], sizes[y]), np.empty(len(x), np.int64)
+    for size in np.unique(common).tolist():
+        at = np.flatnonzero(common == size)
+        rows, back = np.unique(np.concatenate([x[at], y[at]]), return_inverse=True)
+        bits = np.stack([_folded(parity[r], size) for r in rows.tolist()]).view(_U)
+        one, two = back[: len(at)], back[len(at) :]
+        step = max(1, (1 << 24) // size)
+        for k in range(0, len(at), step):
+            out[at[k : k + step]] = np.bitwise_count(bits[one[k : k + step]] ^ bits[two[k : k + step]]).sum(axis=1, dtype=np.int64)
+    return out
+
+
 def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, row, least possible difference) of pairs of a block that sizes and parity bits allow."""
     col = {c: batch.column(c).to_numpy() for c in ("token", "i", "j", "k", "n", "component")}
-    bits = np.frombuffer(b"".join(batch.column("parity").to_pylist()), np.uint64).reshape(-1, PARITY_WORDS)
+    parity = batch.column("parity").to_pylist()
     n = len(col["token"])
     new = np.ones(n, bool)
     new[1:] = (col["token"][1:] != col["token"][:-1]) | (col["i"][1:] != col["i"][:-1]) | (col["j"][1:] != col["j"][:-1])
@@ -138,7 +160,7 @@ def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarr
         ok = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & (col["component"][x] != col["component"][y])
         ok &= (col["i"][x] == col["j"][x]) | (col["k"][x] != col["k"][y])
         x, y = x[ok], y[ok]
-        apart = np.bitwise_count(bits[x] ^ bits[y]).sum(axis=1, dtype=np.int64)
+        apart = _apart(parity, x, y)
         ok = (100 + percent) * apart <= (100 - percent) * (col["n"][x] + col["n"][y])
         yield x[ok], y[ok], apart[ok]
         row = upto
@@ -171,18 +193,46 @@ def _partners(percent: int, closest: bool) -> Callable:
     return partners
 
 
-def _whole_sets(words: int, wanted: bytes) -> Callable:
-    """Whole sets of the documents whose bit is set."""
+def _wide_parity(grams: np.ndarray) -> bytes:
+    """Parity bits, a power of two in number."""
+    width = 64 * PARITY_WORDS << max(0, (WIDE * len(grams) // (64 * PARITY_WORDS)).bit_length())
+    bits = np.bincount((grams & _U(width - 1)).astype(np.int64), minlength=width) & 1
+    return np.packbits(bits.astype(np.uint8)).tobytes()
+
+
+def _picked_rows(words: int, wanted: bytes, wide: bool) -> Callable:
+    """Parity bits, or the whole sets, of the documents whose bit is set."""
     chosen = Chosen(wanted)
 
-    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             picked = batch.filter(pa.array(chosen(batch.column("bit"))))
             if picked.num_rows:
-                sets = [grams.tobytes() for _, grams in _shingle_sets(picked, words)]
-                yield pa.RecordBatch.from_arrays([picked.column("id"), _binary(sets)], ["id", "grams"])
+                sets = [grams for _, grams in _shingle_sets(picked, words)]
+                shown = [_wide_parity(g) if wide else g.tobytes() for g in sets]
+                # about a bit for two shingles, for blocks
+                short = [_folded(b, max(8 * PARITY_WORDS, len(b) // 8)).tobytes() if wide else None for b in shown]
+                yield pa.RecordBatch.from_arrays(
+                    [picked.column("id"), pa.array(map(len, sets), pa.int64()), _binary(shown), _binary(short)], ["id", "n", "grams", "parity"]
+                )
+
+    return rows
 
-    return whole
+
+def _plausible(percent: int) -> Callable:
+    """Pairs whose parity bits allow the threshold; the wider bits are folded onto the others."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = batch.column("n").to_numpy() + batch.column("m").to_numpy()
+            apart = np.empty(batch.num_rows, np.int64)
+            for i, (one, two) in enumerate(zip(batch.column("one"), batch.column("two"), strict=True)):
+                x, y = one.as_buffer(), two.as_buffer()
+                size = min(len(x), len(y))
+                apart[i] = np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum(dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array((100 + percent) * apart <= (100 - percent) * both))
+
+    return rows
 
 
 def _linked(percent: int) -> Callable:
@@ -220,7 +270,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = settle(postings.join(lists, "token"))
     parity = settle(reps.select("id", "n", "f1", "f2", "parity").join(shared.select("id").distinct(), "id", "left_semi"))
 
-    def block_pairs(rows: DataFrame, closest: bool) -> DataFrame:
+    def block_pairs(rows: DataFrame, parity: DataFrame, closest: bool) -> DataFrame:
         """``rows``: id, n, token, m, component."""
         pieces = F.ceil(F.col("m") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), pieces).cast("int")
@@ -232,26 +282,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         keys = ["token", "i", "j"]
         return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_partners(percent, closest), "a bigint, b bigint, d bigint")
 
+    def picked(ids: DataFrame, wide: bool) -> DataFrame:
+        placed = docs.where("id is not null").withColumn("bit", bit("id"))
+        return settle(placed.mapInArrow(_picked_rows(words, wanted_bits(ids), wide), "id bigint, n bigint, grams binary, parity binary").join(ids, "id", "left_semi"))
+
+    def paired(pairs: DataFrame, kept: DataFrame) -> DataFrame:
+        one = kept.select(F.col("id").alias("a"), "n", F.col("grams").alias("one"))
+        two = kept.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("grams").alias("two"))
+        return pairs.join(one, "a").join(two, "b")
+
     def verified(pairs: DataFrame) -> DataFrame:
-        one = whole.select(F.col("id").alias("a"), F.col("grams").alias("one"))
-        two = whole.select(F.col("id").alias("b"), F.col("grams").alias("two"))
-        return pairs.join(one, "a").join(two, "b").mapInArrow(_linked(percent), "a bigint, b bigint")
+        pairs = settle(paired(pairs, sketches).mapInArrow(_plausible(percent), "a bigint, b bigint"))
+        ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
+        return paired(pairs, picked(ends, wide=False)).select("a", "b", "one", "two").mapInArrow(_linked(percent), "a bigint, b bigint")
 
-    offers = block_pairs(shared.withColumn("component", F.col("id")), closest=True)
+    offers = block_pairs(shared.withColumn("component", F.col("id")), parity, closest=True)
     nearest = settle(offers.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near")).select("a", F.col("near.b").alias("b")))
     # every document with a partner stands in column a
-    wanted = nearest.select(F.col("a").alias("id"))
-    bits = wanted_bits(wanted)
-    whole = settle(
-        docs.where("id is not null").withColumn("bit", bit("id")).mapInArrow(_whole_sets(words, bits), "id bigint, grams binary")
-        .join(wanted, "id", "left_semi")
-    )
+    sketches = picked(nearest.select(F.col("a").alias("id")), wide=True)
     found = settle(verified(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
     merged = components(found)
 
-    named = shared.join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
+    near = shared.join(sketches.select("id").distinct(), "id", "left_semi")
+    named = near.join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
     open_lists = named.groupBy("token").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("token")
-    rest = settle(block_pairs(named.join(open_lists, "token", "left_semi"), closest=False).select("a", "b").distinct())
+    # only documents with a partner so far can have others, and they bring more bits for longer sets
+    rest = settle(block_pairs(named.join(open_lists, "token", "left_semi"), sketches, closest=False).select("a", "b").distinct())
     extra = verified(rest.join(found, ["a", "b"], "left_anti"))
 
     members = sets.where("n > 0 and id is not null").join(classes, ["n", "f1", "f2"]).select("id", "rep").distinct()
