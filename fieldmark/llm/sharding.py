@@ -21,8 +21,9 @@ from fieldmark.session import settle
 
 from .words import groups
 
-#: A group is cut if it holds more than one part in so many of a shard's capacity, in any dimension.
-FINE = 64
+#: A group is placed first if it holds more than one part in FINE of a shard's capacity, in any
+#: dimension, and cut into parts of that size if it holds more than one in CUT.
+FINE, CUT = 64, 4
 #: Groups that one bucket packs, about.
 BUCKET = 20_000
 _SIZES = ("bytes", "tokens", "rows")
@@ -101,7 +102,7 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col
         large |= F.col(c) > most
     # at most 3 * n_shards * FINE groups can be large, whatever the corpus
     parts = F.ceil(F.greatest(*[F.col(c) / F.lit(max(most, 1e-9)) for c, most in zip(_SIZES, limit.tolist(), strict=True)])).cast("int")
-    cut = grouped.where(large & (F.col("rows") > 1)).select("key", F.least(parts, F.col("rows")).cast("int").alias("parts"))
+    cut = grouped.where((parts > FINE // CUT) & (F.col("rows") > 1)).select("key", F.least(parts, F.col("rows")).cast("int").alias("parts"))
     part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id", "text_crc32"), F.col("parts"))).otherwise(0).cast("int")
     dealt = rows.join(F.broadcast(cut), "key", "left").withColumn("part", part).drop("parts")
     items = settle(dealt.groupBy("key", "part").agg(*sums))
