@@ -199,7 +199,8 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
     own = placed.where("lives").withColumns({"block": F.col("home"), "own": F.lit(True)})
     together = own.unionByName(asked).drop("lives", "blocks", "home")
     found = settle(
-        together.repartition(*keys, "block").sortWithinPartitions(*keys, "block", F.desc("own"))
+        # by number: Spark would put blocks together by their bytes, not by their work
+        together.repartition(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys, "block").sortWithinPartitions(*keys, "block", F.desc("own"))
         .mapInArrow(_link_rows(least), "rep bigint, hash bigint, links bigint, other bigint")
     )
     merged = components(found.where("other is not null").select(F.col("rep").alias("a"), F.col("other").alias("b")))

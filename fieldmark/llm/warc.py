@@ -28,7 +28,9 @@ from fieldmark.session import settle
 #: Bytes after which a writer starts another file.
 FILE_BYTES = 256 << 20
 #: Bytes of a file that one group of reads covers, the gap that one read passes over, and its size at most but for a larger record.
-STRETCH, GAP, READ = 32 << 20, 64 << 10, 8 << 20
+STRETCH, GAP, READ = 4 << 20, 64 << 10, 8 << 20
+#: Bytes of records that a task of the reader fetches, about.
+TASK = 8 << 20
 LEVEL = 4
 
 _INDEX = "file string, offset bigint, length bigint, url string, payload_digest string, record_type string, page_id bigint, refers_to bigint"
@@ -201,4 +203,6 @@ def read_records(index: DataFrame, with_payload: bool = False) -> DataFrame:
     """
     schema = _RECORDS + (", payload binary" if with_payload else "")
     picked = index.select("file", F.floor(F.col("offset") / STRETCH).alias("stretch"), "offset", "length")
-    return picked.repartition("file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(_read_rows(with_payload), schema)
+    # tasks follow the bytes to fetch: rows of the index are too small to tell
+    n_tasks = max(1, -(-int(index.agg(F.coalesce(F.sum("length"), F.lit(0)).alias("n")).first()["n"]) // TASK))
+    return picked.repartition(n_tasks, "file", "stretch").sortWithinPartitions("file", "offset").mapInArrow(_read_rows(with_payload), schema)
