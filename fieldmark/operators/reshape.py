@@ -32,9 +32,13 @@ def pivot_years(
 ) -> DataFrame:
     """Long to wide: one column per year and measure, named ``<year>_<measure>``.
 
-    The years are given, so no job has to look for them first.
+    The years are given, so no job has to look for them first; a row of another year, or
+    of none, ends the job, as it would be left out.
     """
-    wide = df.groupBy(*rows).pivot(year, list(years)).agg(*[F.first(m).alias(m) for m in measures])
+    years = list(years)
+    message = F.concat(F.lit("a row of another year: "), F.coalesce(F.col(year).cast("string"), F.lit("none")))
+    known = F.when(F.col(year).isin(*years), F.col(year)).otherwise(F.raise_error(message).cast(df.schema[year].dataType))
+    wide = df.withColumn(year, known).groupBy(*rows).pivot(year, years).agg(*[F.first(m).alias(m) for m in measures])
     if len(measures) == 1:
         for y in years:
             wide = wide.withColumnRenamed(str(y), f"{y}_{measures[0]}")

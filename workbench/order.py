@@ -229,7 +229,7 @@ def unpivot_measures(spark, sf):
 @query(
     "pivot_years",
     """SELECT s_suppkey, """
-    + ", ".join(f'max(CASE WHEN y = {y} THEN qty END) AS "{y}_qty", max(CASE WHEN y = {y} THEN n END) AS "{y}_n"' for y in range(1996, 2002))
+    + ", ".join(f'max(CASE WHEN y = {y} THEN qty END) AS "{y}_qty", max(CASE WHEN y = {y} THEN n END) AS "{y}_n"' for y in range(1995, 2002))
     + """ FROM (SELECT l_suppkey AS s_suppkey, year(l_shipdate) AS y, sum(l_quantity) AS qty, count(*) AS n FROM lineitem GROUP BY ALL)
     GROUP BY 1""",
 )
@@ -239,4 +239,4 @@ def supplier_years(spark, sf):
         .groupBy(F.col("l_suppkey").alias("s_suppkey"), F.year("l_shipdate").alias("year"))
         .agg(F.sum("l_quantity").alias("qty"), F.count(F.lit(1)).alias("n"))
     )
-    return pivot_years(yearly, ["s_suppkey"], "year", range(1996, 2002), ["qty", "n"])
+    return pivot_years(yearly, ["s_suppkey"], "year", range(1995, 2002), ["qty", "n"])
