@@ -66,14 +66,15 @@ def is_among(df: DataFrame, members: DataFrame, column: str, out: str) -> DataFr
     )
 
 
-def every_pair(left: DataFrame, right: DataFrame, spread: int = 16) -> DataFrame:
+def every_pair(left: DataFrame, right: DataFrame, spread: int | None = None) -> DataFrame:
     """Each row of one dimension with each row of another.
 
     The result is wanted whole (a spine), so its size is given; what this avoids
     is one side being shipped to every task.  The right side is cut into
-    ``spread`` parts, the left side is repeated once per part, and the two meet
-    in an equi-join on the part.
+    ``spread`` parts (by default as many as a shuffle has), the left side is
+    repeated once per part, and the two meet in an equi-join on the part.
     """
+    spread = spread or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     parts = left.withColumn("__part", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     cut = right.withColumn("__part", F.pmod(F.xxhash64(*right.columns), F.lit(spread)).cast("int"))
     return parts.join(cut, "__part").drop("__part")
@@ -104,14 +105,21 @@ def join_hot(
     on: Sequence[str],
     spread_by: Sequence[str],
     how: str = "inner",
-    salts: int = 16,
+    rows_per_task: int = 1 << 20,
 ) -> DataFrame:
     """Equi-join for a left side whose keys may be hot and a right side with few rows per key.
 
-    Left rows of one key are spread over ``salts`` tasks by the hash of
-    ``spread_by``, columns that differ within a key; the right side is repeated
-    as often.
+    A count finds the keys with more than ``rows_per_task`` rows on the left and
+    says how many tasks each asks for; their rows are spread by the hash of
+    ``spread_by``, columns that differ within a key, and only their rows on the
+    right are repeated, as often.  Other keys are joined as they are.
     """
-    spread = left.withColumn("__salt", F.pmod(F.xxhash64(*spread_by), F.lit(salts)).cast("int"))
-    repeated = right.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    heat = (
+        left.groupBy(*on)
+        .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("__salts"))
+        .filter("__salts > 1")
+    )
+    salts = F.coalesce("__salts", F.lit(1))
+    spread = left.join(heat, list(on), "left").withColumn("__salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("__salts")
+    repeated = right.join(heat, list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
     return spread.join(repeated, [*on, "__salt"], how).drop("__salt")

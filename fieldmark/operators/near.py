@@ -18,8 +18,13 @@ all of its pairs would be neighbours, so they are not formed:
   squares wholly within reach of each other, the fold over one is handed to the
   other as a single value; two squares wholly out of reach contribute nothing.
   Only the pairs of squares that straddle the limit are cut further, and only
-  what is left of them at the finest grid, or once they hold few points, is
-  compared point by point.
+  what is left of them at the finest grid is compared point by point.  With the
+  default grids such a square is a 256th of a cell wide, some metres, and the
+  squares on the limit of one are about four times as many as its cell is wide
+  in squares: a point meets the points of a thin ring, not of its cell.  Where
+  still more points share a square, a finer last grid (``splits``) thins it.
+
+Joins are left to Spark, whose skew rule splits what a full square makes long.
 
 Bounds come from the outermost points of each square, with a margin well above
 rounding, so the result is that of comparing every pair.
@@ -34,7 +39,6 @@ from pyspark.sql import functions as F
 
 from ..functions.geo import BOX, box_of, boxes_within_km, cell_label, unit_vector, within_km
 from ..session import settle
-from .lookups import join_hot
 
 _CELL = ["cell_lat", "cell_lon"]
 _POINT = ["lat", "lon"]
@@ -42,9 +46,6 @@ _POINT = ["lat", "lon"]
 #: how many parts per axis each finer grid cuts a square into
 SPLITS = (8, 8, 4)
 
-#: pairs of squares with at most this many pairs of points are compared at once
-FEW_PAIRS = 4096
-
 
 def _points(df: DataFrame, row_id: str, lat: str, lon: str, digits: int, splits: Sequence[int]) -> DataFrame:
     """Distinct points with their cell and their position in the finest grid."""
@@ -88,13 +89,12 @@ def _squares(points: DataFrame, level: int, splits: Sequence[int]) -> DataFrame:
     )
 
 
-def _judged(pairs: DataFrame, max_km: float, level: int, finest: bool, few_pairs: int) -> DataFrame:
+def _judged(pairs: DataFrame, max_km: float, level: int, finest: bool) -> DataFrame:
     """What to do with each pair of squares ``a`` and ``b``."""
     whole, any_near = boxes_within_km(
         {side: F.col(f"a.{side}") for side in BOX}, {side: F.col(f"b.{side}") for side in BOX}, max_km
     )
-    few = F.lit(True) if finest else (F.col("a.n") * F.col("b.n") <= few_pairs)
-    verdict = F.when(whole, "whole").when(~any_near, "none").when(few, "points").otherwise("cut")
+    verdict = F.when(whole, "whole").when(~any_near, "none").otherwise("points" if finest else "cut")
     return pairs.select(
         *_CELL,
         F.lit(level).alias("level"),
@@ -113,9 +113,7 @@ def _tasks(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
 
-def _square_pairs(
-    points: DataFrame, max_km: float, splits: Sequence[int], few_pairs: int
-) -> tuple[DataFrame, int]:
+def _square_pairs(points: DataFrame, max_km: float, splits: Sequence[int]) -> tuple[DataFrame, int]:
     """Ordered pairs of squares within reach (``whole``) or to compare (``points``), and the finest grid used.
 
     The parts of a square are at most the square of its split, so they travel as
@@ -124,7 +122,7 @@ def _square_pairs(
     """
     box = F.struct("square", *BOX, "n")
     cells = _squares(points, 0, splits).select(*_CELL, box.alias("a"), box.alias("b"))
-    judged = settle(_judged(cells, max_km, 0, not splits, few_pairs))
+    judged = settle(_judged(cells, max_km, 0, not splits))
     done, deepest = judged, 0
     for level in range(1, len(splits) + 1):
         cut = judged.filter("verdict = 'cut'")
@@ -134,12 +132,12 @@ def _square_pairs(
         cut = (
             cut.join(parts.withColumnsRenamed({"parent": "a", "parts": "parts_a"}), [*_CELL, "a"])
             .join(parts.withColumnsRenamed({"parent": "b", "parts": "parts_b"}), [*_CELL, "b"])
-            .repartition(_tasks(points), *_CELL, "a", "b")
+            .repartition(_tasks(points))
         )
         pairs = cut.select(*_CELL, F.explode("parts_a").alias("a"), "parts_b").select(
             *_CELL, "a", F.explode("parts_b").alias("b")
         )
-        judged = settle(_judged(pairs, max_km, level, level == len(splits), few_pairs))
+        judged = settle(_judged(pairs, max_km, level, level == len(splits)))
         done, deepest = done.unionByName(judged), level
     return done.filter("verdict != 'cut'"), deepest
 
@@ -177,12 +175,12 @@ def _fold(
         .groupBy(*_CELL, "level", F.col("a").alias("square"))
         .agg(*merge)
     )
-    from_squares = join_hot(placed.drop(*values), handed, key, _POINT).select(*_CELL, "lat", "lon", *values)
+    from_squares = placed.drop(*values).join(handed, key).select(*_CELL, "lat", "lon", *values)
 
-    # squares too full to compare are in no such pair: their points go before the joins
+    # squares in no such pair: their points go before the joins
     compared = square_pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
     taking_part = compared.select(*_CELL, "level", F.col("a").alias("square")).distinct()
-    comparable = join_hot(placed, taking_part, key, _POINT, "left_semi")
+    comparable = placed.join(taking_part, key, "left_semi")
     at = unit_vector(F.col("lat"), F.col("lon"))
     here = comparable.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon", at.alias("at"))
     there = comparable.select(
@@ -199,10 +197,8 @@ def _fold(
     )
     itself = (F.col("lat") == F.col("lat_b")) & (F.col("lon") == F.col("lon_b"))
     meet = [*_CELL, "level", "a"]
-    tasks = _tasks(points)
     from_points = (
-        compared.repartition(tasks, *meet)
-        .join(here.repartition(tasks, *meet), meet)
+        compared.join(here, meet)
         .join(there, [*_CELL, "level", "b"])
         .filter(near | itself)
         .select(*_CELL, "lat", "lon", *values)
@@ -211,17 +207,17 @@ def _fold(
 
 
 def _prepared(
-    df: DataFrame, row_id: str, lat: str, lon: str, max_km: float, digits: int, splits: Sequence[int], few_pairs: int
+    df: DataFrame, row_id: str, lat: str, lon: str, max_km: float, digits: int, splits: Sequence[int]
 ) -> tuple[DataFrame, tuple[DataFrame, int]]:
     points = settle(_points(df, row_id, lat, lon, digits, splits))
-    return points, _square_pairs(points, max_km, splits, few_pairs)
+    return points, _square_pairs(points, max_km, splits)
 
 
 def _on_rows(df: DataFrame, per_point: DataFrame, row_id: str, lat: str, lon: str) -> DataFrame:
     """The columns computed per point, on the rows of the table."""
     keyed = df.withColumns({"lat__": F.col(lat).cast("double"), "lon__": F.col(lon).cast("double")})
     side = per_point.withColumnsRenamed({"lat": "lat__", "lon": "lon__"}).drop(*_CELL)
-    return join_hot(keyed, side, ["lat__", "lon__"], [row_id], "left").drop("lat__", "lon__")
+    return keyed.join(side, ["lat__", "lon__"], "left").drop("lat__", "lon__")
 
 
 def neighbour_counts(
@@ -233,10 +229,9 @@ def neighbour_counts(
     out: str = "n_neighbours",
     digits: int = 2,
     splits: Sequence[int] = SPLITS,
-    few_pairs: int = FEW_PAIRS,
 ) -> DataFrame:
     """How many other rows of its cell lie within ``max_km`` of each row."""
-    points, pairs = _prepared(df, row_id, lat, lon, max_km, digits, splits, few_pairs)
+    points, pairs = _prepared(df, row_id, lat, lon, max_km, digits, splits)
     counted = _fold(points, pairs, {"n_rows": F.sum("n_rows")}, max_km, splits)
     joined = _on_rows(df, counted, row_id, lat, lon)
     return joined.withColumn(out, F.coalesce(F.col("n_rows") - 1, F.lit(0))).select(*df.columns, out)
@@ -252,14 +247,13 @@ def near_duplicate_ids(
     cell: str | None = "column_localite",
     digits: int = 2,
     splits: Sequence[int] = SPLITS,
-    few_pairs: int = FEW_PAIRS,
 ) -> DataFrame:
     """Adds the common id of near duplicates, and the name of the rounded cell.
 
     ``row_id`` is any unique, orderable column; rows without a full point keep
     their own.
     """
-    points, pairs = _prepared(df, row_id, lat, lon, max_km, digits, splits, few_pairs)
+    points, pairs = _prepared(df, row_id, lat, lon, max_km, digits, splits)
 
     # fold 1: smallest id, and what identifies the set of members
     marked = points.withColumns(
@@ -282,10 +276,10 @@ def near_duplicate_ids(
     pos = hoods.groupBy(*same_set).agg(F.min("first_id").alias("pos"))
 
     # fold 2: the member whose neighbourhood comes last decides; pos names its neighbourhood
-    placed = join_hot(hoods, pos, same_set, _POINT).select(*_CELL, "lat", "lon", "ix", "iy", "pos")
+    placed = hoods.join(pos, same_set).select(*_CELL, "lat", "lon", "ix", "iy", "pos")
     last = _fold(placed, pairs, {"pos": F.max("pos")}, max_km, splits)
     lowest = pos.select("pos", F.col("lowest").alias("__common"))
-    ids = join_hot(last, lowest, ["pos"], _POINT).select(*_CELL, "lat", "lon", "__common")
+    ids = last.join(lowest, ["pos"]).select(*_CELL, "lat", "lon", "__common")
 
     joined = _on_rows(df, ids, row_id, lat, lon).withColumn(out, F.coalesce("__common", F.col(row_id)))
     if cell:

@@ -30,11 +30,11 @@ def by_brute_force(data, limit):
 
 
 @pytest.mark.parametrize(
-    ("n", "cells", "few", "splits", "limit"),
-    [(250, 2, 4096, (8, 8), 1.0), (250, 2, 1, (2, 2), 1.0), (300, 2, 4, (4, 4), 0.5), (150, 3, 0, (8, 8), 0.3)],
+    ("n", "cells", "splits", "limit"),
+    [(250, 2, (8, 8), 1.0), (250, 2, (2, 2), 1.0), (300, 2, (4, 4), 0.5), (150, 3, (8, 8), 0.3), (100, 1, (), 0.5)],
 )
-def test_equals_brute_force(spark, n, cells, few, splits, limit):
-    r = random.Random(n + few)
+def test_equals_brute_force(spark, n, cells, splits, limit):
+    r = random.Random(n + len(splits))
     data = []
     for i in range(n):
         lat = 14.0 + 0.01 * r.randrange(cells) + r.uniform(-0.0049, 0.0049)
@@ -44,9 +44,9 @@ def test_equals_brute_force(spark, n, cells, few, splits, limit):
         data.append((i, lat, lon))
     df = spark.createDataFrame([*data, (n, None, 1.0)], "id long, lat double, lon double")
     want, counts = by_brute_force(data, limit)
-    got = near_duplicate_ids(df, "id", "lat", "lon", limit, splits=splits, few_pairs=few)
+    got = near_duplicate_ids(df, "id", "lat", "lon", limit, splits=splits)
     assert {x["id"]: x["infrastructure_id"] for x in got.collect()} == {**want, n: n}
-    counted = neighbour_counts(df, "id", "lat", "lon", limit, splits=splits, few_pairs=few)
+    counted = neighbour_counts(df, "id", "lat", "lon", limit, splits=splits)
     assert {x["id"]: x["n_neighbours"] for x in counted.collect()} == {**counts, n: 0}
 
 
