@@ -2,19 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from ..schema import name
+
+
+def row_text(df: DataFrame) -> Column:
+    """A row as text that tells names, types, values and nulls apart; columns by name."""
+
+    def value(field: T.StructField) -> Column:
+        column = name(field.name)
+        if isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+            text = F.to_json(column, {"ignoreNullFields": "false"})
+        elif isinstance(field.dataType, T.BinaryType):
+            text = F.hex(column)
+        else:
+            text = column.cast("string")
+        # a value is told from null by its length in front, and from the next column's by it too
+        shown = F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("-"))
+        return F.concat(F.lit(f"{field.name}={field.dataType.simpleString()}="), shown)
+
+    return F.concat_ws(";", *[value(f) for f in sorted(df.schema.fields, key=lambda f: f.name)])
+
+
+def _number(digest: Column, start: int) -> Column:
+    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(20,0)")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
-    """One row: number of rows and the sum of their hashes, by name of column.
+    """One row: number of rows, the sum of their hashes, and the columns with their types.
 
-    A sum, so that equal rows do not cancel; as a decimal, so that it cannot
-    overflow.  Partial sums are all that is shuffled.
+    A sum, so that equal rows do not cancel; as decimals, so that it cannot
+    overflow.  Partial sums are all that is shuffled.  Both halves of each row's
+    MD5 are summed, 60 bits of either.
     """
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in sorted(df.columns)]
-    row_hash = F.xxhash64(*columns).cast("decimal(28,0)")
-    return df.select(row_hash.alias("h")).agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.coalesce(F.sum("h"), F.lit(0)).cast("decimal(38,0)").cast("string").alias("content"),
+    digest = F.md5(row_text(df))
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("decimal(38,0)").cast("string")
+    columns = ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in sorted(df.schema.fields, key=lambda f: f.name))
+    return df.select(_number(digest, 1).alias("h"), _number(digest, 17).alias("i")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.concat(total("h"), F.lit("-"), total("i")).alias("content"), F.lit(columns).alias("columns")
     )

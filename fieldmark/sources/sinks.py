@@ -4,12 +4,14 @@ from __future__ import annotations
 
 import logging
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import datetime, timezone
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fingerprint import fingerprint
+from ..plans import fixed_values as fixed
 from ..plans.surveys import point_table
 from ..session import settle
 from .readers import parquet_if_there
@@ -42,11 +44,21 @@ def replace_tables(df: DataFrame, tables: list[str], jdbc: dict[str, str] | None
 
 
 def publish_survey(sites: DataFrame, snapshots: DataFrame, survey: str, jdbc: dict[str, str] | None = None) -> None:
-    """Sites with a point, and the yearly snapshots, as tables of the survey's name."""
-    replace_table(point_table(sites), survey, jdbc)
+    """Sites with a point, and the yearly snapshots, as tables of the survey's name.
+
+    The two surveys that report on countries have no points: all of their rows go.
+    """
+    on_countries = survey in (fixed.COUNTRY_SURVEY, fixed.REGIONAL_SURVEY)
+    replace_table(sites if on_countries else point_table(sites), survey, jdbc)
     replace_table(snapshots, f"{survey}_snapshots", jdbc)
 
 
+def publish_surveys(tables: dict[str, tuple[DataFrame, DataFrame]], jdbc: dict[str, str] | None = None) -> None:
+    """Sites and snapshots of every survey, by its name."""
+    for survey, (sites, snapshots) in tables.items():
+        publish_survey(sites, snapshots, survey, jdbc)
+
+
 def mirror_tables(spark: SparkSession, old_of_new: dict[str, str]) -> None:
     """Copy tables under the names they used to have."""
     for new, old in old_of_new.items():
@@ -56,8 +68,9 @@ def mirror_tables(spark: SparkSession, old_of_new: dict[str, str]) -> None:
 def publish_if_changed(df: DataFrame, folder: str, version: str | None = None) -> str | None:
     """Write a new version of a table unless the last one holds the same rows.
 
-    Returns the version written, or None.  Each version's fingerprint is kept
-    beside it; only the newest is compared.  The fingerprint is one row.
+    Returns the version written, or None.  A version's fingerprint, one row, is
+    written after its table: a table without one is a version that did not come
+    about.  Only the newest is compared.  Names are by UTC time and unique.
     """
     spark = df.sparkSession
     stored = settle(df)
@@ -66,9 +79,9 @@ def publish_if_changed(df: DataFrame, folder: str, version: str | None = None) -
     published = parquet_if_there(spark, marks)
     if published is not None:
         latest = published.orderBy("version", ascending=False).limit(1)
-        if not latest.join(now, ["n_rows", "content"]).isEmpty():
+        if not latest.join(now, ["n_rows", "content", "columns"]).isEmpty():
             return None
-    version = version or datetime.now().strftime("%Y%m%d_%H%M%S")
+    version = version or f"{datetime.now(timezone.utc):%Y%m%d_%H%M%S_%f}_{uuid4().hex[:8]}"
     write_parquet(stored, f"{folder}/version={version}")
     now.withColumn("version", F.lit(version)).write.mode("append").parquet(marks)
     return version
