@@ -25,7 +25,9 @@ TOP_PLACE = "Régional"
 KINDS = ("sum", "ratio", "mean", "all")
 
 _RANKED = T.StructType(
-    VALUE.fields + [T.StructField(c, T.IntegerType(), True) for c in ("stage", "rank", "kind_rank")]
+    VALUE.fields
+    + [T.StructField(c, T.IntegerType(), True) for c in ("stage", "rank", "kind_rank")]
+    + [T.StructField("line", T.LongType(), True)]
 )
 
 _ATTRIBUTES = ("indicator_code", "indicator_name", "unit", "date", "project", "indicator_changed")
@@ -96,10 +98,10 @@ def aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _ranked(df: DataFrame, stage: int, rank: Column, kind: Column) -> DataFrame:
+def _ranked(df: DataFrame, stage: int, rank: Column, kind: Column, line: Column | None = None) -> DataFrame:
     """The value columns, and the place of each row among its competitors."""
     return align(
-        df.withColumns({"stage": F.lit(stage), "rank": rank, "kind_rank": kind}), _RANKED
+        df.withColumns({"stage": F.lit(stage), "rank": rank, "kind_rank": kind, "line": F.lit(None) if line is None else line}), _RANKED
     )
 
 
@@ -108,7 +110,7 @@ _UNIQUE = ("indicator_code", "date", "level", "country", "region")
 
 def _first_reported(df: DataFrame) -> DataFrame:
     tie = [F.col(c) for c in ("indicator_name", "unit", "project", "value", "numerator", "denominator")]
-    return keep_first(df, _UNIQUE, [F.col("stage"), F.col("rank"), F.col("kind_rank"), *tie])
+    return keep_first(df, _UNIQUE, [F.col("stage"), F.col("rank"), F.col("line").isNull(), F.col("line"), F.col("kind_rank"), *tie])
 
 
 def rollup(
@@ -126,11 +128,13 @@ def rollup(
 
     The steps after the first run on aggregated rows, which are few.  ``df`` is
     read once per step: hand in a stored table, or settle it first.  ``src_rank``,
-    if there, says which of two reported values comes first.
+    if there, says which of two reported values comes first, and ``src_line`` which
+    of two from one source: the earlier submission or line.
     """
     top = max(s.target for s in steps)
     rank = F.col("src_rank") if "src_rank" in df.columns else F.lit(0)
-    everything = _ranked(df.filter(F.col("level") <= top), 0, rank, F.lit(0))
+    line = F.col("src_line") if "src_line" in df.columns else None
+    everything = _ranked(df.filter(F.col("level") <= top), 0, rank, F.lit(0), line)
     kinds = F.array(*[F.lit(k) for k in KINDS])
     for stage, step in enumerate(steps, start=1):
         if step.source > top:

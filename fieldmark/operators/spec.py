@@ -64,6 +64,10 @@ class Survey:
     places: dict[str, Expr] = field(default_factory=dict)
 
 
+#: the number of a submission, which grows as submissions come in
+ROW_ID = "_id"
+
+
 def _entry(spec: Indicator, survey: Survey, f: Fields) -> Column:
     none = F.lit(None).cast("double")
     entry = F.struct(
@@ -92,10 +96,11 @@ def survey_facts(df: DataFrame, survey: Survey, specs: Sequence[Indicator], proj
         _place(df, survey.places[p](f), p) if p in survey.places else F.lit(None).cast("string").alias(p)
         for p in PLACE_COLUMNS
     ]
-    facts = df.select(*places, F.explode(F.array(*[_entry(s, survey, f) for s in present])).alias("e"))
-    facts = facts.filter(F.col("e").isNotNull()).select("e.*", *PLACE_COLUMNS)
+    line = F.col(ROW_ID).try_cast("long") if ROW_ID in df.columns else F.lit(None).cast("long")
+    facts = df.select(*places, line.alias("__line"), F.explode(F.array(*[_entry(s, survey, f) for s in present])).alias("e"))
+    facts = facts.filter(F.col("e").isNotNull()).select("e.*", "__line", *PLACE_COLUMNS)
     facts = facts.withColumns(
-        {"level": F.lit(survey.level), "project": F.lit(project), "src_rank": F.lit(rank)}
+        {"level": F.lit(survey.level), "project": F.lit(project), "src_rank": F.lit(rank), "src_line": F.col("__line")}
     )
     return align(facts, FACT)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.lookup import lookup, member_of, relabel
+from ..functions.lookup import member_of, relabel
 from ..functions.numeric import floor_bucket
 from ..functions.text import (
     contains_any_case,
@@ -189,7 +189,3 @@ def framework_tables(
     rows_2025 = settle(assign_codes(results_sheet_2025(grid_2025), metadata, sheet_of_2025=True))
     rows_2026 = assign_codes(targets_sheet_2026(grid_2026), metadata, sheet_of_2025=False)
     return results_table(rows_2025, project), combined_targets(rows_2025, rows_2026)
-
-
-def country_of_code(code: Column) -> Column:
-    return lookup(code, fixed.COUNTRY_OF_CODE, code)

@@ -32,8 +32,10 @@ class Projects:
 def history_facts(raw: DataFrame, project: str) -> DataFrame:
     """Values of the previous project: ``Code, année, Pays, valeur`` to facts.
 
-    Values of the codes that are percentages become shares.
+    Values of the codes that are percentages become shares.  ``line``, if there, is
+    the order of the file.
     """
+    line = F.col("line").cast("long") if "line" in raw.columns else F.lit(None).cast("long")
     value = F.col("valeur").cast("double")
     return raw.select(
         F.col("Code").alias("indicator_code"),
@@ -42,6 +44,7 @@ def history_facts(raw: DataFrame, project: str) -> DataFrame:
         relabel(F.col("Pays"), fixed.COUNTRY_OF_CODE).alias("country"),
         F.lit(project).alias("project"),
         F.when(F.col("Code").isin(*fixed.HISTORY_PERCENT_CODES), value / 100).otherwise(value).alias("value"),
+        line.alias("src_line"),
     )
 
 
@@ -146,7 +149,7 @@ def indicator_table(
     """
     facts = combine_indicators(tables, history, projects, definitions)
     valued = join_metadata(facts, metadata_projection(metadata))
-    stored = settle(valued.select(*VALUE.names, "src_rank"))
+    stored = settle(valued.select(*VALUE.names, "src_rank", "src_line"))
     rolled = settle(rollup(stored, top_place=fixed.TOP_PLACE))
     published = complete_values(rolled, official, projects)
     return published.orderBy("indicator_code", "country", "region", "year")

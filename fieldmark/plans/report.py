@@ -73,12 +73,12 @@ def target_vs_result(
     indicators: DataFrame,
     metadata: DataFrame,
     current_suffix: str,
-    file_order: list[str] | None = None,
+    file_order: tuple[str, ...] = ("line",),
 ) -> DataFrame:
     """The long report: target, value and attainment per line, country and year.
 
-    The unit of a code is that of its first target by ``file_order`` (default:
-    all columns).  A place and year found twice ends the job.
+    The unit of a code is that of its first target by ``file_order``, columns
+    that give the targets their order.  A place and year found twice ends the job.
     """
     cumulated = f"cumulative_value_{current_suffix}"
     values = indicators.filter(F.col("level") <= 2).select(
@@ -88,7 +88,7 @@ def target_vs_result(
         nan_to_null(F.col("value")).alias("value"),
         nan_to_null(F.col(cumulated)).alias("cumulated"),
     )
-    units = first_match(targets, ["Code"], file_order or [c for c in targets.columns if c != "Code"])
+    units = first_match(targets, ["Code"], file_order)
     code = F.col("indicator_code")
 
     out = spine(layout(targets.sparkSession))

@@ -34,6 +34,7 @@ FACT = _schema(
     ("value", _D),
     ("project", _S),
     ("src_rank", _I),
+    ("src_line", T.LongType()),
 )
 
 #: a fact with its metadata; ``date`` is now a year

@@ -31,24 +31,33 @@ def survey_tables(spark: SparkSession, folder: str, names: Sequence[str] = fixed
     return {n: df for n, df in found.items() if df is not None}
 
 
-def csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """A CSV file with a header, every column as text; a missing file is an error."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+def csv_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """A CSV file with a header, every column as text; a missing file is an error.
+
+    ``line_breaks`` is for files with line breaks inside cells, which one task must
+    read as a whole; other files are read in pieces.
+    """
+    return spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').csv(path)
+
+
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """``csv_text`` of one file, with ``line`` in the order of the file: one task reads it."""
+    return csv_text(spark, path, line_breaks=True).withColumn("line", F.monotonically_increasing_id())
 
 
 def history(spark: SparkSession, path: str, project: str) -> DataFrame:
-    """The history file, as facts of the previous project."""
-    return history_facts(csv_text(spark, path), project)
+    """The history file, as facts of the previous project, in the order of its lines."""
+    return history_facts(numbered_lines(spark, path), project)
 
 
-def indicator_metadata(spark: SparkSession, path: str) -> DataFrame:
+def indicator_metadata(spark: SparkSession, path: str, line_breaks: bool = True) -> DataFrame:
     """The indicator metadata file: codes, names, units and notes, old and new."""
-    return csv_text(spark, path)
+    return csv_text(spark, path, line_breaks)
 
 
 def report_targets(spark: SparkSession, path: str) -> DataFrame:
-    """The targets file of the report, with year and value as numbers."""
-    return csv_text(spark, path).withColumns(
+    """The targets file of the report, with year and value as numbers and ``line``, its order."""
+    return numbered_lines(spark, path).withColumns(
         {"année": F.col("année").cast("int"), "valeur": F.col("valeur").try_cast("double")}
     )
 

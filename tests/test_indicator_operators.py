@@ -92,6 +92,19 @@ def test_history_comes_before_surveys(spark):
     assert values(rollup(ranked))[("C", 2022, 2, "A", None)] == 2.0
 
 
+def test_the_first_report_of_a_source_wins(spark):
+    df = table(
+        spark,
+        ("C", "count", 2022, 2, "A", None, v(50.0)),
+        ("C", "count", 2022, 2, "A", None, v(20.0)),
+        ("C", "count", 2022, 2, "A", None, v(10.0)),
+    )
+    from pyspark.sql import functions as F
+
+    line = F.when(F.col("value") == 50, 7).when(F.col("value") == 20, 9).cast("long")
+    assert values(rollup(df.withColumn("src_line", line)))[("C", 2022, 2, "A", None)] == 50.0
+
+
 def test_gap_fill_golden(spark):
     df = table(
         spark,

@@ -2,8 +2,10 @@ import json
 
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 
 from fieldmark.operators.fingerprint import fingerprint
+from fieldmark.operators.reshape import pivot_years
 from fieldmark.plans import fixed_values as fixed
 from fieldmark.plans.report import layout, spine, target_vs_result, wide_report
 from fieldmark.schema import FACT, null_empty_structs, union_aligned
@@ -18,7 +20,7 @@ def report_inputs(spark, extra_value=()):
             ("IR-3", "NE", 2022, 0.0, "Milliers d’ha"), ("IRI-2", "BF", 2024, 3.0, "Nombre"), ("Reg Int 1", "REGIONAL", 2022, 2.0, "Nombre"),
         ],
         "Code string, Pays string, `année` int, valeur double, unite string",
-    )
+    ).withColumn("line", F.monotonically_increasing_id())
     values = spark.createDataFrame(
         [
             ("IR-1", "Burkina-Faso", 2022, 2, 0.25, float("nan")), ("IR-2", "Mali", 2023, 2, 1e6, 3e6), ("IR-3", "Niger", 2022, 2, 5000.0, None),
@@ -60,6 +62,43 @@ def test_fingerprint(spark):
     assert fingerprint(one.filter("false")).first().n_rows == 0
 
 
+def test_fingerprint_tells_nulls_names_and_types_apart(spark):
+    def of(rows, schema):
+        r = fingerprint(spark.createDataFrame(rows, schema)).first()
+        return r.content, r.columns
+
+    told = [
+        of([(1.0, None)], "numerator double, denominator double"), of([(None, 1.0)], "numerator double, denominator double"),
+        of([(1, 2)], "a int, b int"), of([(1, 2)], "aa int, bb int"), of([(1, 2)], "a long, b int"), of([("1", 2)], "a string, b int"),
+        of([], "a int"), of([], "b int"), of([(["x", None],)], "a array<string>"), of([(["x"],)], "a array<string>"), of([(None,)], "a array<string>"),
+        of([("-", "x")], "a string, b string"), of([(None, "x")], "a string, b string"), of([("1:x;b", "")], "a string, b string"),
+    ]
+    assert len(set(told)) == len(told)
+
+
+def test_unit_is_that_of_the_first_line(spark):
+    targets, *rest = report_inputs(spark)
+    own = [("IRI-2", "ML", 2026, 3.0, "Pourcentage", -2), ("IRI-2", "NE", 2026, 3.0, "Nombre", -1)]
+    more = targets.union(spark.createDataFrame(own, targets.schema))
+    units = {r.unit for r in target_vs_result(more, *rest, "new").collect() if r.indicator_code == "IRI-2"}
+    assert units == {"Pourcentage"}
+
+
+def test_a_year_that_is_not_listed_ends_the_job(spark):
+    df = spark.createDataFrame([("a", 2020, 1), ("a", 2021, 2)], "k string, year int, n int")
+    assert pivot_years(df, ["k"], "year", [2020, 2021], ["n"]).first().asDict() == {"k": "a", "2020_n": 1, "2021_n": 2}
+    with pytest.raises(Exception, match="another year: 2021"):
+        pivot_years(df, ["k"], "year", [2020], ["n"]).collect()
+
+
+def test_versions_without_a_mark_do_not_count(spark, tmp_path):
+    df = spark.createDataFrame([(1,)], "x int")
+    one = sinks.publish_if_changed(df, str(tmp_path))
+    df.write.parquet(f"{tmp_path}/version=99999999_crashed")
+    two = sinks.publish_if_changed(df.union(df), str(tmp_path))
+    assert one and two and one < two and sinks.publish_if_changed(df.union(df), str(tmp_path)) is None
+
+
 def test_publish_only_if_changed(spark, tmp_path):
     folder = str(tmp_path / "t")
     df = spark.createDataFrame([(1,), (2,)], "x int")
@@ -85,6 +124,12 @@ def test_publish_survey(spark):
     assert (spark.table("site_survey").count(), spark.table("site_survey_snapshots").count()) == (1, 2)
 
 
+def test_country_surveys_keep_all_rows(spark):
+    rows = spark.createDataFrame([(1, None), (2, None)], "id int, _geolocation string")
+    sinks.publish_surveys({fixed.COUNTRY_SURVEY: (rows, rows), fixed.REGIONAL_SURVEY: (rows, rows)})
+    assert [spark.table(s).count() for s in (fixed.COUNTRY_SURVEY, fixed.REGIONAL_SURVEY)] == [2, 2]
+
+
 def test_csv_readers(spark, tmp_path):
     history = tmp_path / "history.csv"
     history.write_text("année,Code,Pays,valeur\n2020,IR-1,BF,50\n2021,IRI-2,REGIONAL,3\n2021,IRI-2,ZZ,\n", "utf-8")

@@ -399,7 +399,7 @@ FROM (SELECT {', '.join(f'{f} AS "{c}"' for c, f in _HISTORY.items())} FROM line
 
 @query("history_values", HISTORY_SQL)
 def history_values(spark, sf):
-    return history_facts(history_view(spark, sf), "old")
+    return history_facts(history_view(spark, sf), "old").drop("src_line")
 
 
 @query(

@@ -216,3 +216,27 @@ WITH {SITES_SQL}, {REPORTED_SQL},
 def rollup_without_double_count(spark, sf):
     facts = site_facts(spark, sf, ("Q", "S", "T", "F")).unionByName(reported_rows(spark, sf))
     return shown(rollup(facts, dedup_each_level=True))
+
+
+_REPORTED = "SELECT 'I-' || l_returnflag AS indicator_code, year(l_shipdate) AS date, l_quantity AS value, l_linenumber % 2 AS src_rank, l_orderkey * 10 + l_linenumber AS src_line FROM lineitem"
+
+
+@query(
+    "reported_first_row",
+    f"""SELECT indicator_code, CAST(date AS INTEGER) AS date, CAST(value AS DOUBLE) AS value FROM (
+        SELECT *, row_number() OVER (PARTITION BY indicator_code, date ORDER BY src_rank, src_line) AS n FROM ({_REPORTED})) WHERE n = 1""",
+)
+def reported_first_row(spark, sf):
+    """Of several reports by the same place and year the first by source, then submission, counts."""
+    rows = table(spark, sf, "lineitem").select(
+        F.concat(F.lit("I-"), "l_returnflag").alias("indicator_code"),
+        F.lit("count").alias("unit"),
+        F.year("l_shipdate").alias("date"),
+        F.lit(1).alias("level"),
+        F.lit("Régional").alias("country"),
+        F.col("l_quantity").cast("double").alias("value"),
+        (F.col("l_linenumber") % 2).cast("int").alias("src_rank"),
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("long").alias("src_line"),
+    )
+    absent = {f.name: F.lit(None).cast(f.dataType) for f in VALUE.fields if f.name not in rows.columns}
+    return rollup(rows.withColumns(absent)).select("indicator_code", "date", "value")

@@ -271,7 +271,9 @@ def targets_combine(spark, sf):
 # --- the report ----------------------------------------------------------------------
 
 _REPORT_CODE = "CASE l_linenumber WHEN 1 THEN 'IR-1' WHEN 2 THEN 'IR-2' WHEN 3 THEN 'IRI-5' WHEN 4 THEN 'Reg Int 1' WHEN 5 THEN 'IRI-18' WHEN 6 THEN 'IRI-7' ELSE 'ZZZ' END"
-_REPORT_UNIT = "CASE l_linenumber WHEN 1 THEN 'Pourcentage' WHEN 2 THEN 'Nombre (MILLIONS)' WHEN 3 THEN 'hectares (milliers)' WHEN 5 THEN NULL ELSE 'Nombre' END"
+_REPORT_UNIT = "CASE l_linenumber WHEN 1 THEN 'Pourcentage' WHEN 2 THEN (CASE WHEN l_suppkey % 7 = 0 THEN 'Nombre (MILLIONS)' ELSE 'Nombre' END) WHEN 3 THEN 'hectares (milliers)' WHEN 5 THEN NULL ELSE 'Nombre' END"
+# the order of the lines: later years first, and of a year a unit that is not the smallest
+_LINE = "(2030 - (year(l_shipdate) + 26)) * 10 + (l_suppkey % 7) * 3 % 7"
 _VALUE_CODE = "CASE o_orderpriority WHEN '1-URGENT' THEN 'IR-1' WHEN '2-HIGH' THEN 'IR-2' WHEN '3-MEDIUM' THEN 'IRI-5' WHEN '5-LOW' THEN 'Reg Int 1' ELSE 'IRI-18' END"
 _CODES = [k for _, k in fixed.REPORT_COUNTRIES]
 _NAMES = [c for c, _ in fixed.REPORT_COUNTRIES]
@@ -290,6 +292,7 @@ def report_targets(spark, sf):
             F.expr(_nth("l_suppkey", _CODES)).alias("Pays"),
             (F.year("l_shipdate") + 26).alias("année"),
             F.expr(_REPORT_UNIT).alias("unite"),
+            F.expr(_LINE).alias("line"),
         )
         .agg(F.sum(F.when(F.year("l_shipdate") != 1998, qty).otherwise(0.0)).alias("valeur"))
     )
@@ -329,7 +332,7 @@ layout(ord, section, section_label, component, indicator_code) AS (VALUES {", ".
 lands(country_ord, country, country_code) AS (VALUES {", ".join(
     f"({i}, {_quoted(c)}, {_quoted(k)})" for i, (c, k) in enumerate(fixed.REPORT_COUNTRIES))}),
 labels(code, label) AS (VALUES {", ".join(f"({_quoted(a)}, {_quoted(b)})" for a, b in _LABELS)}),
-targets AS (SELECT {_REPORT_CODE} AS code, {_nth("l_suppkey", _CODES)} AS pays, year(l_shipdate) + 26 AS y, {_REPORT_UNIT} AS unite,
+targets AS (SELECT {_REPORT_CODE} AS code, {_nth("l_suppkey", _CODES)} AS pays, year(l_shipdate) + 26 AS y, {_REPORT_UNIT} AS unite, {_LINE} AS line,
             sum(CASE WHEN l_returnflag = 'A' AND year(l_shipdate) <> 1998 THEN l_quantity ELSE 0 END) AS valeur FROM lineitem GROUP BY ALL),
 vals AS (SELECT {_VALUE_CODE} AS code, {_nth("o_custkey", _NAMES)} AS country, year(o_orderdate) + 26 AS y, sum(floor(o_totalprice)) AS value
          FROM orders GROUP BY ALL),
@@ -338,7 +341,7 @@ spine AS (SELECT *, CAST(unnest(generate_series(2022, 2027)) AS INTEGER) AS year
 raw AS (SELECT s.*, l.label, u.unite AS unit, t.valeur AS target,
           CASE WHEN s.indicator_code NOT LIKE 'Reg%' AND s.country <> 'Régional' AND s.year NOT IN (2023, 2024) THEN v.value * 2 ELSE v.value END AS value
         FROM spine s LEFT JOIN labels l ON l.code = s.indicator_code
-        LEFT JOIN (SELECT code, min(unite) AS unite FROM targets GROUP BY code) u ON u.code = s.indicator_code
+        LEFT JOIN (SELECT code, arg_min(unite, line) AS unite FROM targets GROUP BY code) u ON u.code = s.indicator_code
         LEFT JOIN targets t ON t.code = s.indicator_code AND t.pays = s.country_code AND t.y = s.year
         LEFT JOIN vals v ON v.code = s.indicator_code AND v.country = s.country AND v.y = s.year),
 scaled AS (SELECT * REPLACE (
@@ -416,7 +419,24 @@ def upload_manifest(spark, sf):
 # --- fingerprints ----------------------------------------------------------------------
 
 
-@query("publish_fingerprint")
+_PRINTED = {
+    "l_comment": ("string", "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag || l_linestatus END"),
+    "l_linenumber": ("int", "CAST(l_linenumber AS INT)"),
+    "l_orderkey": ("bigint", "CAST(l_orderkey AS BIGINT)"),
+    "l_partkey": ("bigint", "CASE WHEN l_linenumber % 3 = 1 THEN NULL ELSE CAST(l_partkey AS BIGINT) END"),
+}
+_ROW_TEXT = " || ';' || ".join(
+    f"'{c}={kind}=' || coalesce(length(CAST({sql} AS VARCHAR)) || ':' || CAST({sql} AS VARCHAR), '-')" for c, (kind, sql) in _PRINTED.items()
+)
+
+
+@query(
+    "publish_fingerprint",
+    f"""WITH d AS (SELECT md5({_ROW_TEXT}) AS d FROM lineitem),
+    h AS (SELECT CAST(CAST('0x' || substr(d, 1, 15) AS BIGINT) AS HUGEINT) AS h, CAST(CAST('0x' || substr(d, 17, 15) AS BIGINT) AS HUGEINT) AS i FROM d)
+    SELECT count(*) AS n_rows, CAST(sum(h) AS VARCHAR) || '-' || CAST(sum(i) AS VARCHAR) AS content,
+           '{",".join(f"{c}:{kind}" for c, (kind, _) in _PRINTED.items())}' AS columns FROM h""",
+)
 def publish_fingerprint(spark, sf):
-    """Rows only: the row hash is Spark's."""
-    return fingerprint(table(spark, sf, "lineitem"))
+    rows = table(spark, sf, "lineitem")
+    return fingerprint(rows.select(*[F.expr(sql).cast(kind).alias(c) for c, (kind, sql) in _PRINTED.items()]))

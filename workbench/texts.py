@@ -248,12 +248,26 @@ def nested_to_json(spark, sf):
     )
 
 
-@query("embeddings_to_json")
+@query(
+    "embeddings_to_json",
+    """SELECT vec_id, label, CAST(len(embedding) AS INTEGER) AS n, CAST(embedding[1] AS DOUBLE) AS first_value, CAST(embedding[-1] AS DOUBLE) AS last_value,
+       CAST(list_min(embedding) AS DOUBLE) AS least_value, CAST(list_max(embedding) AS DOUBLE) AS greatest_value, true AS unchanged FROM embeddings""",
+)
 def embeddings_to_json(spark, sf):
-    """Rows only: the engines print floats differently."""
+    """Written as text and read back, as the engines print floats differently."""
     vectors = table(spark, sf, "embeddings")
     kind = vectors.schema["embedding"].dataType
-    return vectors.select("vec_id", "label", to_json_or_null(F.col("embedding"), kind).alias("as_json"))
+    told = vectors.withColumn("text", to_json_or_null(F.col("embedding"), kind)).withColumn("back", F.from_json("text", "array<float>"))
+    return told.select(
+        "vec_id",
+        "label",
+        F.size("back").alias("n"),
+        F.get("back", F.lit(0)).cast("double").alias("first_value"),
+        F.element_at("back", -1).cast("double").alias("last_value"),
+        F.array_min("back").cast("double").alias("least_value"),
+        F.array_max("back").cast("double").alias("greatest_value"),
+        (F.col("back") == F.col("embedding").cast("array<float>")).alias("unchanged"),
+    )
 
 
 @query(
