@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numeric import ieee_div, zero_if_null
-from .ordered import running_sum
 from .override import OFFICIAL
 from .rollup import FLAG_UNIT, RATIO_UNIT, SUM_UNITS
 
@@ -48,18 +47,15 @@ def cumulate(df: DataFrame, previous: str, current: str, official: str = OFFICIA
     is_current = F.col("project") == current
     counted = F.when(way == "count", zero_if_null(value)).otherwise(0.0)
     in_ratio = (way == "ratio") & is_current
-    rows = running_sum(
-        rows,
-        KEY,
-        _ORDER,
-        {
-            "__all": counted,
-            "__current": F.when(is_current, counted),
-            "__num": F.when(in_ratio, F.col("numerator")).cast("double"),
-            "__den": F.when(in_ratio, F.col("denominator")).cast("double"),
-        },
-        block=[F.col("date")],
-    )
+    # a key has a row or two per year, so it is a plain window: nothing can be hot here
+    so_far = Window.partitionBy(*KEY).orderBy(*_ORDER).rowsBetween(Window.unboundedPreceding, 0)
+    summed = {
+        "__all": counted,
+        "__current": F.when(is_current, counted),
+        "__num": F.when(in_ratio, F.col("numerator")).cast("double"),
+        "__den": F.when(in_ratio, F.col("denominator")).cast("double"),
+    }
+    rows = rows.withColumns({out: F.sum(F.coalesce(v, F.lit(0.0))).over(so_far) for out, v in summed.items()})
     fixed = F.col("data_source") == official
     ratio = ieee_div(F.col("__num"), F.col("__den"))
     is_previous = F.coalesce(F.col("project") == previous, F.lit(False))
