@@ -7,17 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .sql import SQL  # noqa: F401
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
 
 
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
+def query(name: str) -> Callable[[Query], Query]:
+    """Register a query; those that SQL can express have it in ``sql.py`` under the same name."""
+
     def register(run: Query) -> Query:
         QUERIES[name] = run
-        if sql:
-            SQL[name] = sql
         return run
 
     return register
