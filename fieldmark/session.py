@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,17 +58,36 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_FOLDERS: set[str] = set()
+
+
+def _stored_steps(spark: SparkSession) -> str:
+    """This application's folder for stored steps, removed when its driver ends."""
+    context = spark.sparkContext
+    folder = f"{shared_folder(spark).rstrip('/')}/settled-{context.applicationId}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        path, conf = context._jvm.org.apache.hadoop.fs.Path(folder), context._jsc.hadoopConfiguration()
+
+        def remove() -> None:
+            with contextlib.suppress(Py4JError, OSError):  # the JVM may have gone before
+                path.getFileSystem(conf).delete(path, True)
+
+        atexit.register(remove)
+    return folder
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read it from there.
 
     For a result that several branches of a plan read and that is dear to
     compute.  The table outlives its executors, later steps read only the columns
-    they need, and its size on disk tells Spark how to join it.  Tables stay until
-    the folder is cleaned, as checkpoints do.
+    they need, and its size on disk tells Spark how to join it.  The tables of an
+    application are removed when its driver ends.
     """
     spark = df.sparkSession
     untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType == T.NullType()}
     stored = df.withColumns(untyped) if untyped else df
-    path = f"{shared_folder(spark).rstrip('/')}/settled-{uuid.uuid4().hex}"
+    path = f"{_stored_steps(spark)}/{uuid.uuid4().hex}"
     stored.write.parquet(path)
     return spark.read.schema(stored.schema).parquet(path)
