@@ -33,7 +33,7 @@ _U = np.uint64
 #: Pieces longer than this are walked one by one.
 LONG = 64
 #: Pieces that take a step at once.
-TOGETHER = 50_000
+TOGETHER = 20_000
 
 # How the tokenizer cuts a text before merging.
 PRE_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -250,7 +250,7 @@ def encoded(path: str, found: Words, bounds: np.ndarray) -> tuple[np.ndarray, np
     gap = start - before
     blank = (gap > 0) & (data[np.maximum(start - 1, 0)] == 0x20) if len(start) else np.zeros(0, bool)
 
-    def encode(places: np.ndarray) -> list[np.ndarray]:
+    def encode(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         units, counts = [], []
         for a, b in zip((start[places] - blank[places]).tolist(), end[places].tolist(), strict=True):
             cut = _SPLIT.findall(data[a:b].tobytes().decode())
@@ -259,8 +259,7 @@ def encoded(path: str, found: Words, bounds: np.ndarray) -> tuple[np.ndarray, np
         ids = machine.encode([u.encode() for u in units])
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         edges = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], np.cumsum(counts)])]
-        flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-        return [flat[a:b] for a, b in zip(edges.tolist(), edges[1:].tolist(), strict=False)]
+        return np.concatenate([*ids, np.zeros(0, np.int32)]), np.diff(edges)
 
     ids, count = seen.ids(mix(found.hashes() + blank.astype(_U)), encode)
 

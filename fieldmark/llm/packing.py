@@ -12,6 +12,7 @@ shuffled: each task packs the documents it reads.
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -30,8 +31,10 @@ SENTENCE, INSIDE = 4, 64
 SHORT = 32
 #: Within a stretch without sentence ends longer than ``FAR``, every ``EACH`` tokens may be cut.
 FAR, EACH = 64, 16
+#: Words that the tokenizer gets at once.
+TOGETHER = 4_000
 #: Bytes of text that are packed together at most, but for a longer text.
-STREAM = 1 << 22
+STREAM = 1 << 21
 
 _SENTENCE_END = np.zeros(256, bool)
 _SENTENCE_END[list(b".!?")] = True
@@ -52,13 +55,16 @@ def word_ids(path: str, found: Words) -> tuple[np.ndarray, np.ndarray]:
         _TOKENIZERS[path][0].no_padding()
     tokenizer, remembered = _TOKENIZERS[path]
 
-    def encode(places: np.ndarray) -> list[np.ndarray]:
-        out: list[np.ndarray] = []
-        for begin in range(0, len(places), 20_000):
-            some = places[begin : begin + 20_000]
+    def encode(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        flat, count = array("i"), array("q")
+        for begin in range(0, len(places), TOGETHER):
+            some = places[begin : begin + TOGETHER]
             words = [found.data[a:b].tobytes().decode() for a, b in zip(found.start[some].tolist(), found.end[some].tolist(), strict=True)]
-            out += [np.array(e.ids, np.int32) for e in tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        return out
+            for made in tokenizer.encode_batch_fast(words, add_special_tokens=False):
+                ids = made.ids
+                flat.extend(ids)
+                count.append(len(ids))
+        return np.array(flat, np.int32), np.array(count, np.int64)
 
     return remembered.ids(found.hashes(), encode)
 

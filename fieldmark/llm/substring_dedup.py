@@ -64,12 +64,16 @@ def _owners(bounds: np.ndarray) -> np.ndarray:
 _PROBES = "shard int, piece bigint, n int, ids boolean, packed binary"
 
 
+#: Bytes of text whose probes travel together.
+PIECE = 1 << 22
+
+
 def _probe_rows(block: int, bits: int) -> Callable:
     """Packed probes of each piece of input by shard, and one row that names its documents."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in parts(batch, "text"):
+            for part in parts(batch, "text", PIECE):
                 found = words_of(part.column("text"))
                 hashes, bounds = windows(found.hashes(), found.first, block)
                 if not len(hashes):

@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 #: Bytes whose running sums are held at once.
 SLICE = 1 << 18
 #: Bytes of text that one array of words is made from; one longer text stands alone.
-PART = 1 << 22
+PART = 1 << 20
 
 _U = np.uint64
 _SPACE = np.zeros(256, bool)
