@@ -12,10 +12,11 @@ too low are dropped there, so a large group of near copies makes no table of its
 Pairs that are left meet a second bound, by parity bits in number with their shingles,
 and then whole sets, which are made only for documents of pairs still open.
 
-Two passes give the components without forming every link.  First each document
-offers its closest partner of a block; the offers are counted exactly, shingle by
-shingle, and merged.  Then all remaining pairs between different components are
-counted.  A link left uncounted lies within a component, so none is lost.
+Components come without forming every link.  First each document offers its closest
+partner of a block; the offers are counted exactly, shingle by shingle, and merged, and
+again those of different components.  Then all remaining pairs between different
+components are counted.  A link left uncounted lies within a component, so none is
+lost; how often offers are made only decides how many pairs are left for the end.
 """
 
 from __future__ import annotations
@@ -42,6 +43,8 @@ PARITY_WORDS, WIDE = 8, 2
 BLOCK = 2048
 #: Pairs bounded at once.
 PAIRS = 1 << 18
+#: Further passes in which documents offer their closest partner in another component.
+MERGES = 1
 
 
 def _shingle_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[int, np.ndarray]]:
@@ -296,19 +299,32 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
         return paired(pairs, picked(ends, wide=False)).select("a", "b", "one", "two").mapInArrow(_linked(percent), "a bigint, b bigint")
 
-    offers = block_pairs(shared.withColumn("component", F.col("id")), parity, closest=True)
-    nearest = settle(offers.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near")).select("a", F.col("near.b").alias("b")))
-    # every document with a partner stands in column a
-    sketches = picked(nearest.select(F.col("a").alias("id")), wide=True)
-    found = settle(verified(nearest.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()))
-    merged = components(found)
-
-    near = shared.join(sketches.select("id").distinct(), "id", "left_semi")
-    named = near.join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
-    open_lists = named.groupBy("token").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("token")
-    # only documents with a partner so far can have others, and they bring more bits for longer sets
-    rest = settle(block_pairs(named.join(open_lists, "token", "left_semi"), sketches, closest=False).select("a", "b").distinct())
-    extra = verified(rest.join(found, ["a", "b"], "left_anti"))
+    def closest(rows: DataFrame, by: DataFrame) -> DataFrame:
+        """The closest partner of each document outside its component."""
+        offers = block_pairs(rows, by, closest=True)
+        return settle(offers.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near")).select("a", F.col("near.b").alias("b")))
+
+    def unordered(pairs: DataFrame) -> DataFrame:
+        return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+    def across(merged: DataFrame) -> DataFrame:
+        """Postings of documents with a partner, in lists that hold more than one component."""
+        named = near.join(merged, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        open_lists = named.groupBy("token").agg((F.min("component") != F.max("component")).alias("open")).where("open").select("token")
+        return named.join(open_lists, "token", "left_semi")
+
+    first = closest(shared.withColumn("component", F.col("id")), parity)
+    # every document with a partner stands in column a; only these can have others
+    sketches = picked(first.select(F.col("a").alias("id")), wide=True)
+    near = settle(shared.join(sketches.select("id").distinct(), "id", "left_semi"))
+    tested = settle(unordered(first))
+    found = settle(verified(tested))
+    for _ in range(MERGES):
+        # longer sets bring more bits from here on, so that an offer is nearly always a link
+        pairs = settle(unordered(closest(across(components(found)), sketches)).join(tested, ["a", "b"], "left_anti"))
+        tested, found = settle(tested.union(pairs)), settle(found.union(verified(pairs)))
+    rest = settle(unordered(block_pairs(across(components(found)), sketches, closest=False)))
+    extra = verified(rest.join(tested, ["a", "b"], "left_anti"))
 
     members = sets.where("n > 0 and id is not null").join(classes, ["n", "f1", "f2"]).select("id", "rep").distinct()
     # an id that repeats with unequal texts joins its classes
