@@ -1,34 +1,52 @@
 """LM scoring by masked pseudo-likelihood.
 
 Every word is masked in turn and predicted from the words on both sides; a document's
-score is the sum of the conditional log-probabilities.  Words are hashed to buckets and
-buckets belong to classes: the most frequent have one of their own, the others share
-classes by bands of frequency.  A small network reads the classes on either side of a
-gap and gives a distribution over classes; within a class a word has its share of the
-corpus.
-
-The corpus is gathered as counts over all documents: of buckets, and of (left, masked,
-right) classes.  The second table holds every training example the network can see, so
-it is trained on all of the corpus at a size that classes bound, and then tabulated:
-scoring a document is looking up.
+score is the sum of the conditional log-probabilities.  The prediction has two levels.
+
+*Class.*  Words are hashed to buckets and buckets belong to classes: the most frequent
+have one of their own, the others share classes by bands of frequency.  A small network
+reads the classes on either side of a gap and gives a distribution over classes.  It is
+trained on counts of (left, masked, right) classes over all documents, and tabulated.
+
+*Word within the class.*  How often each word stands at each offset of each neighbour,
+WINDOW words to either side, is counted over all documents, word by word; so is how
+often each class does.  These tables grow with the input.  A word starts from its share
+of the class, and every neighbour, the farthest first, moves it towards what was seen
+beside that neighbour: p := (n(word, offset, neighbour) + m p) / (n(class, offset,
+neighbour) + m).  The gap that is asked for is left out of its own counts, and m is the
+one of STRENGTHS under which all documents together are likeliest.
+
+No table goes to the driver or to every task.  Texts are cut into chunks; a chunk sends
+the distinct keys it needs, with its own counts, to the buckets they hash to, a bucket
+adds up and answers in the same order, and the chunk's texts are scored beside the answers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .words import Words, parts, words_of
+from ..session import settle
+from .words import PART, Words, mix, parts, words_of
 
 _U = np.uint64
 #: log2 of the number of word buckets; classes; buckets with a class of their own; width of the hidden layer.
 BITS, CLASSES, OWN, WIDTH = 16, 64, 40, 48
 #: Steps and rate of training; counts added to every bucket of a class.
 STEPS, RATE, SMOOTH = 400, 0.03, 0.5
+#: Neighbours to either side that the word within its class depends on; how much their counts must outweigh.
+WINDOW, STRENGTHS = 2, (1.0, 8.0, 64.0, 512.0, 4096.0)
+#: Bytes of text whose keys are looked up at once; words of the corpus for each bucket of keys.
+CHUNK, BUCKET = 4 << 20, 1 << 19
+#: Numbers kept for a neighbour: each class at each offset, and how often it stands anywhere.
+CODES = 2 * WINDOW * CLASSES + 1
 
 
 def _buckets(found: Words) -> np.ndarray:
@@ -114,24 +132,161 @@ class WindowNetwork:
         return losses
 
 
-def _score_rows(classes: np.ndarray, table: np.ndarray, inside: np.ndarray) -> Callable:
+def _chunked(size: int) -> Callable:
+    """Rows with the chunk they belong to, of ``size`` bytes or one longer text."""
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            for part in parts(batch, "text"):
-                found = words_of(part.column("text"))
-                total = np.zeros(part.num_rows)
-                if len(found.start):
-                    left, own, right = _gaps(found, classes)
-                    each = table[left * (CLASSES + 1) + right, own].astype(np.float64) + inside[_buckets(found)]
-                    owner = np.repeat(np.arange(part.num_rows), found.counts)
-                    total = np.bincount(owner, each, part.num_rows)
-                yield pa.RecordBatch.from_arrays([part.column("id"), pa.array(found.counts), pa.array(total)], ["id", "n_tokens", "log_likelihood"])
+            for part in parts(batch, "text", min(size, PART)):
+                more = (pc.sum(pc.binary_length(part.column("text"))).as_py() or 0) + 64 * part.num_rows
+                if held and held + more > size:
+                    chunk, held = chunk + 1, 0
+                held += more
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, chunk)), *part.columns], ["chunk", *part.schema.names])
 
     return rows
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, n_tokens, log_likelihood, mean_log_likelihood) of every text, under a network trained on all texts.
+@dataclass
+class Examples:
+    """What a chunk's gaps ask for: sorted distinct keys with their counts in the chunk or, instead, each gap's places among them."""
+
+    words: np.ndarray
+    codes: np.ndarray
+    code_counts: np.ndarray
+    pairs: np.ndarray
+    pair_counts: np.ndarray
+    #: Place of each word's own count among the codes.
+    alone: np.ndarray
+    #: (gaps, their pairs, their codes) of every offset, the farthest first.
+    sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+
+    def cuts(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Where each bucket begins among words, codes and pairs."""
+        edges = np.array([((b << 64) + buckets - 1) // buckets for b in range(buckets)], _U)
+        words = np.append(np.searchsorted(self.words, edges), len(self.words))
+        return words, np.searchsorted(self.codes, words * CODES), np.append(np.searchsorted(self.pairs, edges), len(self.pairs))
+
+
+def _examples(found: Words, classes: np.ndarray, places: bool = False) -> Examples:
+    hashes = found.hashes(lower=True)
+    words, word = np.unique(hashes, return_inverse=True)
+    own = classes[(words >> _U(64 - BITS)).astype(np.int64)][word]
+    owner = np.repeat(np.arange(len(found.counts)), found.counts)
+    codes, pairs, gaps = [word * CODES + CODES - 1], [], []
+    for far in range(WINDOW, 0, -1):
+        a = np.flatnonzero(owner[far:] == owner[:-far])
+        b = a + far
+        pairs.append(mix(hashes[a] * _U(0x9FB21C651E98DF25) + hashes[b] * _U(2 * far + 1)))
+        codes.append(word[b] * CODES + (2 * far - 2) * CLASSES + own[a])
+        codes.append(word[a] * CODES + (2 * far - 1) * CLASSES + own[b])
+        gaps += [a, b]
+    made = [np.unique(np.concatenate(x), return_inverse=places, return_counts=not places) for x in (codes, pairs)]
+    if not places:
+        return Examples(words, *made[0], *made[1], word[:0], [])
+    code_places = np.split(made[0][1], np.cumsum([len(x) for x in codes])[:-1])
+    pair_places = np.split(made[1][1], np.cumsum([len(x) for x in pairs])[:-1])
+    sides = [(gap, pair_places[i // 2], code_places[i + 1]) for i, gap in enumerate(gaps)]
+    return Examples(words, made[0][0], word[:0], made[1][0], word[:0], code_places[0], sides)
+
+
+def _packed(values: np.ndarray, kind: type) -> bytes:
+    """Byte by byte of all values, so that leading zeros lie together, compressed."""
+    raw = values.astype(kind).view(np.uint8).reshape(len(values), -1).T.tobytes()
+    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
+
+
+def _unpacked(packed: bytes, kind: type) -> np.ndarray:
+    raw = pa.decompress(packed[8:], int.from_bytes(packed[:8], "little"), "zstd")
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
+
+
+def _steps(keys: np.ndarray) -> np.ndarray:
+    return np.diff(keys, prepend=keys.dtype.type(0))
+
+
+_ASKED = "bucket int, chunk bigint, words binary, codes binary, code_counts binary, pairs binary, pair_counts binary"
+_ANSWERED = "chunk bigint, bucket int, codes binary, pairs binary"
+
+
+def _asked(classes: np.ndarray, buckets: int) -> Callable:
+    def ask(table: pa.Table) -> pa.Table:
+        found, rows = words_of(_texts(table)), []
+        if len(found.start):
+            made = _examples(found, classes)
+            w, c, p = made.cuts(buckets)
+            for b in np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0)).tolist():
+                words, codes, pairs = slice(w[b], w[b + 1]), slice(c[b], c[b + 1]), slice(p[b], p[b + 1])
+                rows.append((
+                    b, _packed(_steps(made.words[words]), np.uint64), _packed(_steps(made.codes[codes] - w[b] * CODES), np.uint32),
+                    _packed(made.code_counts[codes], np.uint32), _packed(_steps(made.pairs[pairs]), np.uint64), _packed(made.pair_counts[pairs], np.uint32),
+                ))
+        bucket, *blobs = zip(*rows, strict=True) if rows else [()] * 6
+        chunk = [table["chunk"][0].as_py()] * len(rows) if rows else []
+        names = ["bucket", "chunk", "words", "codes", "code_counts", "pairs", "pair_counts"]
+        return pa.Table.from_arrays([pa.array(bucket, pa.int32()), pa.array(chunk, pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], names=names)
+
+    return ask
+
+
+def _added(keys: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    """The sum over equal keys in the place of each, row by row."""
+    back = np.unique(keys, return_inverse=True)[1]
+    total = np.bincount(back, counts) if len(keys) else np.zeros(0)
+    return [_packed(x, np.int64) for x in np.split(total[back].astype(np.int64), ends[:-1])]
+
+
+def _answered(table: pa.Table) -> pa.Table:
+    def column(name: str, kind: type, summed: bool = False) -> list[np.ndarray]:
+        each = [_unpacked(x, kind) for x in table[name].to_pylist()]
+        return [np.cumsum(x, dtype=_U) for x in each] if summed else each
+
+    words, codes, pairs = column("words", np.uint64, True), column("codes", np.uint32, True), column("pairs", np.uint64, True)
+    known = np.unique(np.concatenate(words))
+    full = [np.searchsorted(known, w)[(c // _U(CODES)).astype(np.int64)] * CODES + (c % _U(CODES)).astype(np.int64) for w, c in zip(words, codes, strict=True)]
+    code_sums = _added(np.concatenate(full), np.concatenate(column("code_counts", np.uint32)), np.cumsum([len(x) for x in full]))
+    pair_sums = _added(np.concatenate(pairs), np.concatenate(column("pair_counts", np.uint32)), np.cumsum([len(x) for x in pairs]))
+    arrays = [table["chunk"], table["bucket"], pa.array(code_sums, pa.binary()), pa.array(pair_sums, pa.binary())]
+    return pa.Table.from_arrays(arrays, names=["chunk", "bucket", "codes", "pairs"])
+
+
+def _texts(table: pa.Table) -> pa.Array:
+    return pa.concat_arrays([x.cast(pa.large_string()) for x in table["text"].chunks] or [pa.array([], pa.large_string())])
+
+
+def _scored(classes: np.ndarray, table: np.ndarray, inside: np.ndarray, counts: np.ndarray) -> Callable:
+    """Scores of a chunk's texts under each of STRENGTHS.  ``inside``: log of the buckets' shares of their classes."""
+
+    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        found = words_of(_texts(docs))
+        sums = [np.zeros(docs.num_rows) for _ in STRENGTHS]
+        if len(found.start):
+            made = _examples(found, classes, places=True)
+            answers = answers.sort_by("bucket")
+            seen, together = (np.concatenate([_unpacked(x, np.int64) for x in answers[name].to_pylist()]) for name in ("codes", "pairs"))
+            if len(seen) != len(made.codes) or len(together) != len(made.pairs):
+                raise RuntimeError("the answers are not those of this chunk's keys")
+            left, own, right = _gaps(found, classes)
+            bucket = _buckets(found)
+            share = np.exp(inside[bucket]) * seen[made.alone] / counts[bucket]
+            first = table[left * (CLASSES + 1) + right, own].astype(np.float64)
+            owner = np.repeat(np.arange(docs.num_rows), found.counts)
+            each = [share.copy() for _ in STRENGTHS]
+            for gap, pair, code in made.sides:
+                others, all_others = together[pair] - 1.0, seen[code] - 1.0
+                for p, strength in zip(each, STRENGTHS, strict=True):
+                    p[gap] = (others + strength * p[gap]) / (all_others + strength)
+            sums = [np.bincount(owner, first + np.log(p), docs.num_rows) for p in each]
+        names = ["id", "n_tokens", *[f"s{i}" for i in range(len(STRENGTHS))]]
+        return pa.Table.from_arrays([docs["id"], pa.array(found.counts), *map(pa.array, sums)], names=names)
+
+    return score
+
+
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+    """(id, n_tokens, log_likelihood, mean_log_likelihood) of every text, under a model trained on all texts.
 
     Defined cases.  A text without words, or null, has log_likelihood 0 and a null mean.
     Rows that repeat count and train as often.  Ids may be null.  Words are taken whole,
@@ -139,6 +294,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    rows = settle(rows.mapInArrow(_chunked(chunk), f"chunk bigint, id {kind}, text string"))  # chunks must stay as they are
     counts = _counted(rows, lambda found: np.bincount(_buckets(found), minlength=1 << BITS), 1 << BITS)
     classes = bucket_classes(counts)
     contexts = (CLASSES + 1) ** 2
@@ -152,8 +308,13 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     table = network.forward()[1].astype(np.float32)
     smooth = counts + SMOOTH
     inside = np.log(smooth / np.bincount(classes, smooth, CLASSES)[classes])
-    scored = rows.mapInArrow(_score_rows(classes, table, inside), f"id {kind}, n_tokens bigint, log_likelihood double")
-    mean = F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens"))
-    return scored.select(
-        F.col("id").alias(id_col), "n_tokens", F.round("log_likelihood", 4).alias("log_likelihood"), F.round(mean, 6).alias("mean_log_likelihood")
-    )
+    asked = rows.groupBy("chunk").applyInArrow(_asked(classes, 1 + int(counts.sum()) // bucket), _ASKED)
+    answered = asked.groupBy("bucket").applyInArrow(_answered, _ANSWERED)
+    sums = [f"s{i}" for i in range(len(STRENGTHS))]
+    kinds = ", ".join(f"{s} double" for s in sums)
+    score = _scored(classes, table, inside, counts)
+    scored = settle(rows.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, n_tokens bigint, {kinds}"))
+    totals = scored.agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(s) for s in sums]).first()
+    best = F.col(max(sums, key=lambda s: totals[s]))
+    mean = F.when(F.col("n_tokens") > 0, best / F.col("n_tokens"))
+    return scored.select(F.col("id").alias(id_col), "n_tokens", F.round(best, 4).alias("log_likelihood"), F.round(mean, 6).alias("mean_log_likelihood"))

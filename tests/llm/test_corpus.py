@@ -1,6 +1,7 @@
 """LM scores and the pipeline."""
 
 import random
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -53,6 +54,62 @@ def test_scores_against_a_plain_sum_and_shuffled_texts(spark):
         assert abs(total - got[i].log_likelihood) < 1e-2
 
 
+def test_words_within_a_class_are_told_by_their_neighbours(spark):
+    """A vocabulary far larger than the classes, in many chunks and buckets, against plain counts."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(400):
+        heads = [rng.randrange(600) for _ in range(15)]
+        texts.append([w for h in heads for w in (f"A{h}", f"b{h * 7 % 600}", f"c{h * 11 % 600}")])
+    wrong = [[w if w[0] != "b" else f"b{rng.randrange(600)}" for w in t] for t in texts[:40]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(wrong)] + [(None, "a1"), (None, "alone beside")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    result = L.pseudo_likelihood(docs, chunk=6000, bucket=1500).collect()
+    assert sorted((r.doc_id or -1, r.n_tokens) for r in result) == sorted((i or -1, len(t.split())) for i, t in rows)
+    got = {r.doc_id: r.log_likelihood for r in result if r.doc_id is not None}
+    assert all(got[i] > got[1000 + i] + 10 for i in range(40))
+
+    found = words_of(pa.array([t for _, t in rows]))
+    buckets = L._buckets(found)
+    counts = np.bincount(buckets, minlength=1 << L.BITS)
+    classes = L.bucket_classes(counts)
+    left, own, right = L._gaps(found, classes)
+    examples = np.zeros(((L.CLASSES + 1) ** 2, L.CLASSES))
+    np.add.at(examples, (left * (L.CLASSES + 1) + right, own), 1)
+    network = L.WindowNetwork()
+    network.train(examples)
+    first = network.forward()[1][left * (L.CLASSES + 1) + right, own]
+    smooth = counts + L.SMOOTH
+    share = smooth / np.bincount(classes, smooth, L.CLASSES)[classes]
+    words = [w for _, t in rows for w in t.lower().split()]
+    alone, pairs, dens = Counter(words), Counter(), Counter()
+    offsets = [o for d in range(L.WINDOW, 0, -1) for o in (d, -d)]
+
+    def sides(a, b, k):
+        return [(o, words[k + o]) for o in offsets if a <= k + o < b]
+
+    spans = list(zip(found.first, found.first[1:], strict=False))
+    for a, b in spans:
+        for k in range(a, b):
+            for o, n in sides(a, b, k):
+                pairs[words[k], o, n] += 1
+                dens[own[k], o, n] += 1
+    totals = []
+    for strength in L.STRENGTHS:
+        each = []
+        for a, b in spans:
+            total = 0.0
+            for k in range(a, b):
+                p = share[buckets[k]] * alone[words[k]] / counts[buckets[k]]
+                for o, n in sides(a, b, k):
+                    p = (pairs[words[k], o, n] - 1 + strength * p) / (dens[own[k], o, n] - 1 + strength)
+                total += first[k] + np.log(p)
+            each.append(total)
+        totals.append(each)
+    best = max(totals, key=sum)
+    assert all(abs(total - got[i]) < 1e-2 for (i, _), total in zip(rows, best, strict=True) if i is not None)
+
+
 def test_scores_of_nothing(spark):
     assert L.pseudo_likelihood(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
