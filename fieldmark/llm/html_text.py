@@ -1,8 +1,8 @@
 """HTML extraction by consensus: the pages of a host agree on where their text stands.
 
 Each page scores its containers by the text in their paragraphs, links counted
-against, and votes for the path of its best one: tags and classes from the root down,
-numbers generalised.  Spark counts votes per host, and every page is extracted again
+against, and votes for the path of its best one, or of the article or main element
+around that: tags and classes from the root down, numbers generalised.  Spark counts votes per host, and every page is extracted again
 from the paths that won on its host; a page that has none of them keeps its own best.
 Pages are parsed as browsers do in outline: paragraphs, items and cells that were not
 closed end where they must, stray end tags and unfinished tags are passed over.
@@ -85,9 +85,14 @@ class Page:
         return ">".join(reversed(labels))
 
     def best(self) -> int | None:
-        """The container of highest score; of equal ones the first to open."""
+        """The container of highest score, of equal ones the first to open; the article or main element around it, if there is one."""
         top = max(range(len(self.elements)), key=lambda i: (self.elements[i].score, -i))
-        return top if self.elements[top].score > 0 else None
+        if self.elements[top].score <= 0:
+            return None
+        around = top
+        while around > 0 and self.elements[around].tag not in _WEIGHT:
+            around = self.elements[around].parent
+        return around if around > 0 else top
 
     def text(self, roots: set[int]) -> str:
         """Blocks inside any of the elements, in page order."""

@@ -87,6 +87,20 @@ def test_a_host_agrees(spark):
     assert H.main_text(pages.limit(0)).count() == 0
 
 
+def test_an_article_is_whole_however_deep_its_text_stands(spark):
+    def nested(i, outer):
+        return page(f"<{outer}><h1>Head {i}</h1><div class=wrap><div class=intro><p>{'first ' * 130}</p></div>"
+                    f"<div class=body><p>{'then ' * 400}</p></div></div><aside>Not this</aside></{outer}><div class=more><p>Nor this.</p></div>")
+
+    want = ["Head {}", ("first " * 130).strip(), ("then " * 400).strip()]
+    rows = [(i, f"https://{outer}.org/{i}", nested(i, outer)) for i, outer in enumerate(["article", "main"] * 3)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for r in H.main_text(pages).collect():
+        assert r.text.split("\n") == [w.format(r.page_id) for w in want]
+    for i, _, source in rows:
+        assert H.extract(H.parse(source), []).split("\n") == [w.format(i) for w in want]
+
+
 def test_a_very_long_page():
     source = page("<article>" + "<p>para &amp; graph</p>" * 20000 + "</article>" + "<div>" * 3000)
     assert H.extract(H.parse(source), []).count("\n") == 19999
