@@ -1,7 +1,7 @@
 """Sharding: vector bin packing of documents by bytes, tokens and rows together.
 
 Documents of equal text are a group.  Groups that hold much of a shard are cut into
-parts by a hash of their ids; there are few of them, bounded by the number of shards,
+parts by a hash of their ids and places in the table; there are few of them, bounded by the number of shards,
 and they are placed first.  All others are dealt by hash into buckets, each with its
 share of what the shards can still take, and every bucket is packed by itself: largest
 first, into the shard where the dot product of group and residual capacity is highest.
@@ -90,6 +90,7 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col
             (F.octet_length(text) + 1).cast("long").alias("bytes"),
             F.size(F.array_remove(F.split(blank, " "), "")).cast("long").alias("tokens"),
             F.crc32(text.cast("binary")).alias("text_crc32"),
+            F.monotonically_increasing_id().alias("place"),  # stored with the rest; tells rows of one id apart
         )
     )
     sums = [F.sum("bytes").alias("bytes"), F.sum("tokens").alias("tokens"), F.count("*").alias("rows")]
@@ -103,7 +104,7 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col
     # at most 3 * n_shards * FINE groups can be large, whatever the corpus
     parts = F.ceil(F.greatest(*[F.col(c) / F.lit(max(most, 1e-9)) for c, most in zip(_SIZES, limit.tolist(), strict=True)])).cast("int")
     cut = grouped.where((parts > FINE // CUT) & (F.col("rows") > 1)).select("key", F.least(parts, F.col("rows")).cast("int").alias("parts"))
-    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id", "text_crc32"), F.col("parts"))).otherwise(0).cast("int")
+    part = F.when(F.col("parts") > 1, F.pmod(F.xxhash64("id", "text_crc32", "place"), F.col("parts"))).otherwise(0).cast("int")
     dealt = rows.join(F.broadcast(cut), "key", "left").withColumn("part", part).drop("parts")
     items = settle(dealt.groupBy("key", "part").agg(*sums))
 
@@ -124,7 +125,7 @@ def shards(docs: DataFrame, n_shards: int = 16, id_col: str = "doc_id", text_col
         bucketed.repartition("bucket").sortWithinPartitions("bucket", "key", "part")
         .mapInArrow(_bucket_rows(residual, rest, totals), "key binary, part int, shard int")
     )
-    everywhere = settle(dealt.join(settle(placed.union(placed_first)), ["key", "part"]).drop("key", "part"))
+    everywhere = settle(dealt.join(settle(placed.union(placed_first)), ["key", "part"]).drop("key", "part", "place"))
 
     # slots: rows of a shard are counted by lane, lanes follow each other
     lanes = int(spark.conf.get("spark.sql.shuffle.partitions"))

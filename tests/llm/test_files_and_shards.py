@@ -132,6 +132,13 @@ def test_shards_are_even_and_groups_stay_together(spark, monkeypatch):
     assert len(split) < 0.2 * len(places) and zlib.crc32(b"the same copy") in split
 
 
+def test_shards_are_even_where_one_text_repeats_its_id(spark):
+    rows = [(i, f"text {i} " + "y" * (i * 7 % 97)) for i in range(1000)] + [(7, "one id, one text " * 3)] * 500 + [(None, "no id, one text " * 3)] * 500
+    _, load = sharded(spark, rows, 8)
+    mean = sum(load.values()) / 8
+    assert max(abs(v - mean) for v in load.values()) < 0.02 * mean
+
+
 def test_shard_edges(spark):
     sharded(spark, [(None, None), (None, None), (1, ""), (1, ""), (2, "x" * 100000)], 16)
     assert S.shards(spark.createDataFrame([], "doc_id long, text string")).count() == 0
