@@ -117,7 +117,8 @@ def _hit_rows(bits: int) -> Callable:
         for batch in groups(batches, ["shard"]):
             named = batch.filter(batch.column("ids"))
             if named.num_rows:
-                yield named
+                at = named.schema.get_field_index("packed")  # of a large group it may have wide offsets
+                yield named.set_column(at, "packed", named.column(at).cast(pa.binary()))
             for group in _by(batch.filter(pc.invert(batch.column("ids"))), "shard"):
                 shard, pieces, counts = group.column("shard")[0].as_py(), group.column("piece").to_numpy(), group.column("n").to_numpy()
                 keys, owners, anchors = [], [], []

@@ -166,6 +166,17 @@ def parts(batch: pa.RecordBatch, column: str, most: int = PART) -> Iterator[pa.R
         yield batch.slice(begin)
 
 
+def _in_one(table: pa.Table) -> pa.RecordBatch:
+    """All rows in one batch.  Columns of over 2 GB of bytes, which would be cut, get wide offsets."""
+    made = table.combine_chunks().to_batches()
+    if len(made) > 1:
+        wide = {pa.binary(): pa.large_binary(), pa.string(): pa.large_string()}
+        made = table.cast(pa.schema([f.with_type(wide.get(f.type, f.type)) for f in table.schema])).combine_chunks().to_batches()
+    if len(made) != 1:
+        raise RuntimeError(f"{table.num_rows} rows of one group do not fit one batch")
+    return made[0]
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.RecordBatch]:
     """Batches of sorted rows, recut so that no group of equal keys spans two of them."""
     held: pa.Table | None = None
@@ -182,8 +193,8 @@ def groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Re
             cut = int(np.flatnonzero(~same)[-1]) + 1
             whole = table.slice(0, cut) if held is None else pa.concat_tables([held, table.slice(0, cut)])
             held = table.slice(cut)
-            yield whole.combine_chunks().to_batches()[0]
+            yield _in_one(whole)
         else:
             held = table if held is None else pa.concat_tables([held, table])
     if held is not None:
-        yield held.combine_chunks().to_batches()[0]
+        yield _in_one(held)

@@ -50,3 +50,9 @@ def test_parts_hold_every_row():
     batch = pa.RecordBatch.from_pydict({"text": ["aaaa", None, "b" * 40, "", "c"]})
     assert [p.num_rows for p in W.parts(batch, "text", 8)] == [2, 2, 1] or sum(p.num_rows for p in W.parts(batch, "text", 8)) == 5
     assert np.concatenate([p.column("text").to_pylist() for p in W.parts(batch, "text", 8)]).tolist() == batch.column("text").to_pylist()
+
+
+def test_a_group_of_over_two_gigabytes_keeps_its_rows():
+    one = pa.RecordBatch.from_arrays([pa.array([7] * 4), pa.array([bytes(1 << 22)] * 4, pa.binary())], ["k", "packed"])
+    sizes = [(b.num_rows, set(b.column("k").to_pylist())) for b in W.groups(iter([one] * 130), ["k"])]
+    assert sizes == [(520, {7})]
