@@ -126,3 +126,31 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .pseudo_likelihood import pseudo_likelihood
 
     return pseudo_likelihood(table(spark, sf_dir, "documents"))
+
+
+@query("op11_embedding_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the eight leading components, whitened."""
+    from .whitening import by_component, whiten
+
+    return by_component(whiten(table(spark, sf_dir, "embeddings")))
+
+
+@query("op12_piece_agenda")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document's pieces, and of the text decoded from them."""
+    from .piece_agenda import coded_digests
+
+    return coded_digests(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+@query("op13_fill_in_middle")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its middle moved to the end, as digests."""
+    from .fill_in_middle import fill_in_middle, restored
+
+    moved = restored(fill_in_middle(table(spark, sf_dir, "documents").select("doc_id", "text")))
+    return moved.select(
+        "row.doc_id", "n", "form", F.length("prefix").cast("long").alias("prefix_chars"), F.length("middle").cast("long").alias("middle_chars"),
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"), F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"),
+    )
