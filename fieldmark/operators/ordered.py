@@ -1,19 +1,26 @@
 """Operators on rows in order: running sums, forward fill, previous row, counters.
 
 A plain window gives one task all rows of a key.  Here a key may hold any share
-of the table: its rows are cut into blocks, consecutive in the order, and a
-window only ever sees one block of one key.  What a block needs to know of the
-blocks before it is one row, its *seed*, placed in front of the block's rows:
+of the table, and there may be no key at all: rows are cut into blocks, consecutive
+in the order, and a window only ever sees one block of one key.  What a block needs
+to know of the blocks before it is one row, its *seed*, placed in front of its rows:
 
 1. each block is summarised (a sum, its last row, its last non-null value) by an
    ordinary aggregation, which combines before it shuffles;
-2. a window over these summaries, one row per block, gives every block its seed;
+2. summaries are folded again over ``FAN`` consecutive blocks, so that the top of
+   this tree has one row for ``FAN`` blocks; a window over the top gives each of
+   its nodes what came before, which goes down in front of the node's blocks;
 3. seeds and rows go through one window partitioned by key and block.
 
+So a window sees rows of one block, summaries of one node, or the top.
+
 ``block`` is one or more columns that never decrease along the order within a
-key, for instance a day for rows ordered by time, or ``row_idx div 65536``.
-``order`` must be total within a key, or ties fall either way.  Null keys form
-one group.
+key; the last one is a whole number, such as ``blocks_of(position)`` or an hour, those
+before it, if any, are few.  ``order`` must be total within a key, or ties fall
+either way.  Null keys form one group.
+
+Sums of floating-point values are exact until they are finished (see
+``functions.exact``): the result does not depend on how blocks are cut.
 """
 
 from __future__ import annotations
@@ -24,27 +31,74 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
+from ..functions.exact import is_floating, joined, part_names, parts_of
+
 _SEED = "__seed"
+_HEAD = "__head"
 _BLOCK = "__block"
+_NODE = "__node"
 
 BLOCK_ROWS = 65536
+#: Blocks, or nodes, that one node of the tree folds, as a power of two; one entry for each level.
+FAN = (12,)
 
 
 def blocks_of(position: Column, rows: int = BLOCK_ROWS) -> Column:
-    """Block number of a non-negative integer position."""
+    """Block number of an integer position."""
     return F.floor(position / rows)
 
 
-def _with_block(df: DataFrame, block: Sequence[Column]) -> DataFrame:
-    return df.withColumn(_BLOCK, F.struct(*[b.alias(f"b{i}") for i, b in enumerate(block)]))
+def block_of_time(time: Column, seconds: int) -> Column:
+    """Block number of a date or timestamp: spans of so many seconds."""
+    return F.floor(F.unix_seconds(time.cast("timestamp")) / seconds)
+
 
+def _with_block(df: DataFrame, block: Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    """The rows with their block, and the columns that name it."""
+    heads = {f"{_HEAD}{i}": b for i, b in enumerate(block[:-1])}
+    return df.withColumns({**heads, _BLOCK: block[-1].cast("long")}), [*heads, _BLOCK]
 
-def _seeded(rows: DataFrame, seeds: DataFrame, keys: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
+
+def _last(column: str, order: Column) -> Column:
+    """The last value that is not null."""
+    return F.max_by(column, F.when(F.col(column).isNotNull(), order)).alias(column)
+
+
+def _before(
+    blocks: DataFrame, keys: Sequence[str], at: Sequence[str], sums: Sequence[str], lasts: Sequence[str], fan: Sequence[int] = FAN
+) -> DataFrame:
+    """For every block the sums and the last values over all blocks of its key before it."""
+    heads = [c for c in at if c != _BLOCK]
+    levels = [blocks]
+    for bits in fan:
+        child = F.struct(F.col(_BLOCK))
+        folded = [F.sum(c).alias(c) for c in sums] + [_last(c, child) for c in lasts]
+        nodes = levels[-1].withColumn(_NODE, F.shiftright(_BLOCK, bits)).groupBy(*keys, *heads, _NODE).agg(*folded)
+        levels.append(nodes.withColumnRenamed(_NODE, _BLOCK))
+
+    def earlier(window: WindowSpec) -> dict[str, Column]:
+        frame = window.rowsBetween(Window.unboundedPreceding, -1)
+        return {c: F.sum(c).over(frame) for c in sums} | {c: F.last(c, ignorenulls=True).over(frame) for c in lasts}
+
+    # block numbers have fewer than 62 bits, so all nodes have one root
+    root = F.shiftright(F.col(_BLOCK) + (1 << 61), 62)
+    top = levels[-1].withColumn(_NODE, root)
+    seeds = top.withColumns(earlier(Window.partitionBy(*keys, _NODE).orderBy(*at))).drop(_NODE)
+    for nodes, bits in zip(levels[-2::-1], fan[::-1], strict=True):
+        children = nodes.withColumns({_NODE: F.shiftright(_BLOCK, bits), _SEED: F.lit(1)})
+        parents = seeds.withColumnRenamed(_BLOCK, _NODE).withColumn(_SEED, F.lit(0))
+        both = children.unionByName(parents, allowMissingColumns=True)
+        window = Window.partitionBy(*keys, *heads, _NODE).orderBy(_SEED, _BLOCK)
+        seeds = both.withColumns(earlier(window)).filter(F.col(_SEED) == 1).drop(_NODE, _SEED)
+    return seeds
+
+
+def _seeded(rows: DataFrame, seeds: DataFrame, keys: Sequence[str], at: Sequence[str], order: Sequence[str]) -> tuple[DataFrame, WindowSpec]:
     """Rows with their seed rows in front, and the window over one block of one key."""
     both = rows.withColumn(_SEED, F.lit(1)).unionByName(
         seeds.withColumn(_SEED, F.lit(0)), allowMissingColumns=True
     )
-    window = Window.partitionBy(*keys, _BLOCK).orderBy(_SEED, *order)
+    window = Window.partitionBy(*keys, *at).orderBy(_SEED, *order)
     return both, window
 
 
@@ -53,12 +107,6 @@ def _finish(both: DataFrame, columns: Sequence[str], added: Sequence[str]) -> Da
     return both.filter(F.col(_SEED) == 1).select(*kept, *added)
 
 
-def _earlier(keys: Sequence[str]) -> WindowSpec:
-    return (
-        Window.partitionBy(*keys).orderBy(_BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    )
-
-
 def running_sum(
     df: DataFrame,
     keys: Sequence[str],
@@ -66,17 +114,22 @@ def running_sum(
     sums: dict[str, Column],
     block: Sequence[Column],
 ) -> DataFrame:
-    """Running sums row by row within each key, nulls counting as zero."""
-    rows = _with_block(df, block).withColumns(
-        {f"__{out}": F.coalesce(value, F.lit(0)) for out, value in sums.items()}
-    )
-    totals = rows.groupBy(*keys, _BLOCK).agg(
-        *[F.sum(f"__{out}").alias(f"__{out}") for out in sums]
-    )
-    seeds = totals.withColumns({f"__{out}": F.sum(f"__{out}").over(_earlier(keys)) for out in sums})
-    both, window = _seeded(rows, seeds, keys, order)
+    """Running sums row by row within each key, nulls counting as zero.
+
+    Sums of floating-point values are split into limbs, all others added as they are.
+    """
+    floating = {out: F.coalesce(value, F.lit(0.0)) for out, value in sums.items() if is_floating(df, value)}
+    whole = {f"__{out}": F.coalesce(value, F.lit(0)) for out, value in sums.items() if out not in floating}
+    added = [*whole, *[name for out in floating for name in part_names(out)]]
+    rows, at = _with_block(df, block)
+    plain = {f"__{out}": value.cast("double") for out, value in floating.items()}
+    limbs = {name: F.expr(part) for out in floating for name, part in parts_of(out, f"__{out}").items()}
+    rows = rows.withColumns(whole | plain).withColumns(limbs).drop(*plain)
+    totals = rows.groupBy(*keys, *at).agg(*[F.sum(c).alias(c) for c in added])
+    both, window = _seeded(rows, _before(totals, keys, at, added, []), keys, at, order)
     frame = window.rowsBetween(Window.unboundedPreceding, 0)
-    both = both.withColumns({out: F.sum(f"__{out}").over(frame) for out in sums})
+    made = {out: joined(out) if out in floating else F.col(f"__{out}") for out in sums}
+    both = both.withColumns({c: F.sum(c).over(frame) for c in added}).withColumns(made)
     return _finish(both, df.columns, list(sums))
 
 
@@ -102,21 +155,18 @@ def carry(
     ``previous`` adds columns with a value of the row just before (result: source).
     """
     previous = previous or {}
-    rows = _with_block(df, block).withColumns({f"__{out}": F.col(src) for out, src in previous.items()})
+    rows, at = _with_block(df, block)
+    # a row's value travels in a struct: the last struct is that of the last row, be its value null
+    rows = rows.withColumns({f"__{out}": F.struct(F.col(src).alias("value")) for out, src in previous.items()})
     position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
-    last_seen = [F.max_by(c, F.when(F.col(c).isNotNull(), position)).alias(c) for c in fill]
-    last_row = [F.max_by(F.struct(f"__{out}"), position)[f"__{out}"].alias(f"__{out}") for out in previous]
-    tails = rows.groupBy(*keys, _BLOCK).agg(*last_seen, *last_row)
-    before = Window.partitionBy(*keys).orderBy(_BLOCK)
-    seeds = tails.withColumns(
-        {c: F.last(c, ignorenulls=True).over(_earlier(keys)) for c in fill}
-        | {f"__{out}": F.lag(f"__{out}").over(before) for out in previous}
-    )
-    both, window = _seeded(rows, seeds, keys, order)
+    taken = [f"__{out}" for out in previous]
+    last_row = [F.max_by(c, position).alias(c) for c in taken]
+    tails = rows.groupBy(*keys, *at).agg(*[_last(c, position) for c in fill], *last_row)
+    both, window = _seeded(rows, _before(tails, keys, at, [], [*fill, *taken]), keys, at, order)
     frame = window.rowsBetween(Window.unboundedPreceding, 0)
     both = both.withColumns(
         {c: F.last(c, ignorenulls=True).over(frame) for c in fill}
-        | {out: F.lag(f"__{out}").over(window) for out in previous}
+        | {out: F.lag(f"__{out}").over(window)["value"] for out in previous}
     )
     return both.filter(F.col(_SEED) == 1).select(*df.columns, *[c for c in previous if c not in df.columns])
 

@@ -9,8 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.exact import joined, part_sums
 from ..functions.numeric import ieee_div
 from ..schema import VALUE, align
+from ..session import settle
 from .dedup import keep_first
 
 # Units whose values add up, and the other two that can be rolled up.
@@ -56,11 +58,6 @@ def aggregation_kind(unit: str = "unit") -> Column:
     )
 
 
-def sum_or_zero(value: Column) -> Column:
-    """Sum in which no values at all make zero."""
-    return F.coalesce(F.sum(value), F.lit(0.0))
-
-
 def all_true(value: Column) -> Column:
     """1 where no value is zero, else 0; nulls do not speak against it."""
     return F.coalesce(F.bool_and(value.cast("boolean")), F.lit(True)).cast("double")
@@ -70,29 +67,35 @@ def aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One pass over the rows for all kinds of units.
 
     Adds up ``value``, or numerators and denominators with their quotient, or
-    takes the mean, or the logical and, whichever the row's kind asks for.
+    takes the mean, or the logical and, whichever the row's kind asks for.  No values
+    at all make a sum of zero.  Sums are exact before they are rounded once, so
+    fractions give the same bits in any order.
     """
     kind = F.col("kind")
-    grouped = (
-        df.withColumn("kind", aggregation_kind())
-        .filter(kind.isNotNull())
-        .groupBy(*keys, "kind")
-        .agg(
-            sum_or_zero(F.col("value")).alias("__sum"),
-            sum_or_zero(F.col("numerator")).alias("__num"),
-            sum_or_zero(F.col("denominator")).alias("__den"),
-            F.avg("value").alias("__mean"),
-            all_true(F.col("value")).alias("__all"),
-        )
-    )
+    taken = df.select(
+        *keys,
+        aggregation_kind().alias("kind"),
+        F.expr("cast(value as double) as value"),
+        F.expr("cast(numerator as double) as numerator"),
+        F.expr("cast(denominator as double) as denominator"),
+    ).filter("kind is not null")
+    summed = taken.select(
+        *keys,
+        "kind",
+        "value",
+        F.expr("case when kind = 'ratio' then numerator when kind in ('sum', 'mean') then value end as first"),
+        F.expr("case when kind = 'ratio' then denominator end as second"),
+    ).groupBy(*keys, "kind").agg(*part_sums(["first", "second"]), F.count("value").alias("__n"), all_true(F.col("value")).alias("__all"))
+    grouped = summed.select(*keys, "kind", "__n", "__all", joined("first").alias("first"), joined("second").alias("second"))
+    first, second = F.coalesce("first", F.lit(0.0)), F.coalesce("second", F.lit(0.0))
     return grouped.select(
         *keys,
         "kind",
-        F.when(kind == "ratio", F.col("__num")).alias("numerator"),
-        F.when(kind == "ratio", F.col("__den")).alias("denominator"),
-        F.when(kind == "sum", F.col("__sum"))
-        .when(kind == "ratio", ieee_div(F.col("__num"), F.col("__den")))
-        .when(kind == "mean", F.col("__mean"))
+        F.when(kind == "ratio", first).alias("numerator"),
+        F.when(kind == "ratio", second).alias("denominator"),
+        F.when(kind == "sum", first)
+        .when(kind == "ratio", ieee_div(first, second))
+        .when(kind == "mean", F.try_divide("first", "__n"))
         .otherwise(F.col("__all"))
         .alias("value"),
     )
@@ -126,7 +129,8 @@ def rollup(
     place both reported and rolled up therefore counts twice one level further
     up; ``dedup_each_level`` removes the second before the next step.
 
-    The steps after the first run on aggregated rows, which are few.  ``df`` is
+    What a step makes is stored, so that later steps and the result read it instead of
+    making it again; it has a row for each place and year, which are few.  ``df`` is
     read once per step: hand in a stored table, or settle it first.  ``src_rank``,
     if there, says which of two reported values comes first, and ``src_line`` which
     of two from one source: the earlier submission or line.
@@ -146,5 +150,5 @@ def rollup(
         if not step.places:
             made = made.withColumn("country", F.lit(top_place))
         kind_rank = F.array_position(kinds, F.col("kind"))
-        everything = everything.unionByName(_ranked(made, stage, F.lit(0), kind_rank))
+        everything = everything.unionByName(settle(_ranked(made, stage, F.lit(0), kind_rank)))
     return _first_reported(everything).select(*VALUE.names)

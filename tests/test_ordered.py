@@ -1,8 +1,12 @@
+import math
 import random
+from fractions import Fraction
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from fieldmark.functions import exact
 from fieldmark.operators import ordered
 
 
@@ -70,3 +74,61 @@ def test_empty(spark):
     df = sample(spark).filter("false")
     assert ordered.running_sum(df, ["k"], ["pos"], {"s": F.col("v")}, block()).count() == 0
     assert ordered.forward_fill(df, ["k"], ["pos"], ["t"], block()).count() == 0
+
+
+def exactly(values):
+    """The sum of floats, rounded once."""
+    return float(sum(map(Fraction, values), Fraction(0)))
+
+
+def test_running_sums_of_fractions_are_exact_for_any_blocks(spark):
+    r = random.Random(4)
+    data = [("a" if i % 3 else "b", i, r.choice([-1, 1]) * r.random() * 10 ** r.randint(-9, 12)) for i in range(600)]
+    data[7] = ("a", 7, None)
+    df = spark.createDataFrame(data, "k string, pos long, v double").repartition(5)
+    want, so_far = {}, {"a": [], "b": []}
+    for k, pos, v in data:
+        so_far[k].append(v or 0.0)
+        want[pos] = exactly(so_far[k])
+    for width in (7, 100, 10_000):
+        got = ordered.running_sum(df, ["k"], ["pos"], {"s": F.col("v")}, [F.floor(F.col("pos") / width)])
+        assert {r.pos: r.s for r in got.collect()} == want
+
+
+def test_grouped_sums_of_fractions(spark):
+    r = random.Random(5)
+    values = [r.choice([-1, 1]) * r.random() * 2.0 ** r.randint(-25, 70) for _ in range(3000)] + [1e-40, -1e-40, 0.1, -0.1]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    sums = {exact.sum_exactly(df.repartition(n), [], {"s": F.col("v")}).first().s for n in (1, 3, 8)}
+    assert sums == {exactly(values)}
+    odd = [([float("inf"), 1.0], float("inf")), ([float("-inf")], float("-inf")), ([None], None), ([-0.5, 0.25], -0.25), ([], None)]
+    for given, expected in odd:
+        assert exact.sum_exactly(spark.createDataFrame([(v,) for v in given], "v double"), [], {"s": F.col("v")}).first().s == expected
+    both = exact.sum_exactly(spark.createDataFrame([(float("inf"),), (float("-inf"),)], "v double"), [], {"s": F.col("v")})
+    assert math.isnan(both.first().s)
+    with pytest.raises(Exception, match="OVERFLOW"):
+        exact.sum_exactly(spark.createDataFrame([(1e300,)], "v double"), [], {"s": F.col("v")}).collect()
+
+
+def test_a_tree_of_several_levels(spark):
+    blocks = [(b, b * 3 + 1, f"t{b}" if b % 5 == 0 else None) for b in [*range(-40, 200), 5000, 70_000, 70_001]]
+    df = spark.createDataFrame(blocks, "__block long, s long, t string").repartition(4)
+    total, last, want = None, None, {}
+    for b, s, t in blocks:
+        want[b] = (total, last)
+        total, last = (total or 0) + s, t or last
+    for fan in ((12,), (3,), (2, 2, 2), ()):
+        made = ordered._before(df, [], ["__block"], ["s"], ["t"], fan)
+        assert {r["__block"]: (r.s, r.t) for r in made.collect()} == want
+
+
+def test_no_task_gets_all_summaries(spark):
+    df = sample(spark)
+    plan = ordered.forward_fill(df, [], ["pos"], ["v"], block())._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+
+
+def test_previous_value_may_be_null_across_blocks(spark):
+    df = spark.createDataFrame([(i, "a" if i % 7 == 0 else None) for i in range(60)], "pos long, t string")
+    got = ordered.previous_value(df, [], ["pos"], {"p": "t"}, [F.floor(F.col("pos") / 4)])
+    assert {r.pos: r.p for r in got.collect()} == {i: ("a" if i and (i - 1) % 7 == 0 else None) for i in range(60)}

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldmark.functions.numeric import nan_to_null
 from fieldmark.operators.cumulate import cumulate_counts, cumulate_flags, cumulate_ratios
 from fieldmark.operators.gapfill import gap_fill
-from fieldmark.operators.ordered import running_sum
+from fieldmark.operators.ordered import block_of_time, running_sum
 from fieldmark.operators.override import override
 from fieldmark.operators.rollup import rollup
 from fieldmark.plans.indicators import Projects, complete_values, table_counts
@@ -255,7 +255,7 @@ def period_split_running_sum(spark, sf):
         "all_cents": F.col("cents"),
         "new_cents": F.when(F.year("o_orderdate") > LAST_OLD, F.col("cents")),
     }
-    summed = running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums, [F.to_date("o_orderdate")])
+    summed = running_sum(orders, ["o_custkey"], ["o_orderdate", "o_orderkey"], sums, [block_of_time(F.col("o_orderdate"), 86400)])
     return summed.select("o_orderkey", "o_custkey", "all_cents", "new_cents")
 
 

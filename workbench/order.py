@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from fieldmark.operators.dedup import keep_first, keep_lone_or_marked, latest_per_key, yearly_snapshots
 from fieldmark.operators.lookups import duplicate_keys
-from fieldmark.operators.ordered import change_counter, forward_fill, previous_value, row_index
+from fieldmark.operators.ordered import block_of_time, change_counter, forward_fill, previous_value, row_index, running_sum
 from fieldmark.operators.reshape import pivot_years, unpivot_ordered, year_in_name
 from fieldmark.operators.resolve import number_sub_items
 from fieldmark.plans.framework import block_min_order
@@ -39,7 +39,7 @@ gappy AS (SELECT event_id, user_id, ts, CASE WHEN event_type = 'purchase' THEN v
 )
 def forward_fill_per_user(spark, sf):
     filled = forward_fill(
-        _gappy(spark, sf), ["user_id"], ["ts", "event_id"], ["value", "kind"], [F.date_trunc("hour", "ts")]
+        _gappy(spark, sf), ["user_id"], ["ts", "event_id"], ["value", "kind"], [block_of_time(F.col("ts"), 3600)]
     )
     return filled.select("event_id", "user_id", "value", "kind")
 
@@ -51,7 +51,7 @@ def forward_fill_per_user(spark, sf):
 )
 def forward_fill_whole(spark, sf):
     """No key at all: the minutes of the table are filled side by side."""
-    filled = forward_fill(_gappy(spark, sf), [], ["ts", "event_id"], ["value"], [F.date_trunc("minute", "ts")])
+    filled = forward_fill(_gappy(spark, sf), [], ["ts", "event_id"], ["value"], [block_of_time(F.col("ts"), 60)])
     return filled.select("event_id", "value")
 
 
@@ -61,7 +61,26 @@ def forward_fill_whole(spark, sf):
 )
 def position_in_user(spark, sf):
     rows = events(spark, sf).select("event_id", "user_id", "ts")
-    return row_index(rows, ["user_id"], ["ts", "event_id"], "pos", [F.date_trunc("hour", "ts")]).drop("ts")
+    return row_index(rows, ["user_id"], ["ts", "event_id"], "pos", [block_of_time(F.col("ts"), 3600)]).drop("ts")
+
+
+#: a fraction of 53 bits, as a whole number of 2^-60
+_CHARGE = "l_extendedprice * (1 - l_discount) * (1 + l_tax)"
+_EXACT = "CAST(sum(CAST(charge * 1152921504606846976 AS HUGEINT)) {over} AS DOUBLE) / 1152921504606846976"
+
+
+@query(
+    "running_sum_fractions",
+    f"""WITH l AS (SELECT l_orderkey, l_linenumber, l_suppkey, l_shipdate, {_CHARGE} AS charge FROM lineitem)
+        SELECT l_orderkey, l_linenumber, l_suppkey, {_EXACT.format(over="OVER w")} AS charged FROM l
+        WINDOW w AS (PARTITION BY l_suppkey ORDER BY l_shipdate, l_orderkey, l_linenumber ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
+)
+def running_sum_fractions(spark, sf):
+    """Running sums of fractions per supplier, exact to the last bit; blocks are quarters of 91 days."""
+    order = ["l_shipdate", "l_orderkey", "l_linenumber"]
+    lines = table(spark, sf, "lineitem").select("l_suppkey", *order, F.expr(_CHARGE).alias("charge"))
+    summed = running_sum(lines, ["l_suppkey"], order, {"charged": F.col("charge")}, [block_of_time(F.col("l_shipdate"), 91 * 86400)])
+    return summed.select("l_orderkey", "l_linenumber", "l_suppkey", "charged")
 
 
 @query(
@@ -70,7 +89,7 @@ def position_in_user(spark, sf):
 )
 def previous_row(spark, sf):
     rows = events(spark, sf).select("event_id", "ts", "event_type")
-    stepped = previous_value(rows, [], ["ts", "event_id"], {"before": "event_type"}, [F.date_trunc("minute", "ts")])
+    stepped = previous_value(rows, [], ["ts", "event_id"], {"before": "event_type"}, [block_of_time(F.col("ts"), 60)])
     return stepped.select("event_id", "before")
 
 
@@ -96,7 +115,7 @@ def changes_per_user(spark, sf):
         "event_id", "user_id", "ts", "event_type", (F.col("value") > 20).cast("int").alias("big")
     )
     counted = change_counter(
-        rows, ["user_id"], ["big"], ["ts", "event_id"], "event_type", "n_changes", [F.date_trunc("hour", "ts")]
+        rows, ["user_id"], ["big"], ["ts", "event_id"], "event_type", "n_changes", [block_of_time(F.col("ts"), 3600)]
     )
     return counted.select("event_id", "n_changes")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldmark.operators.rollup import rollup
+from fieldmark.operators.rollup import aggregate, rollup
 from fieldmark.schema import VALUE, align
 
 from .registry import query, table
@@ -240,3 +240,36 @@ def reported_first_row(spark, sf):
     )
     absent = {f.name: F.lit(None).cast(f.dataType) for f in VALUE.fields if f.name not in rows.columns}
     return rollup(rows.withColumns(absent)).select("indicator_code", "date", "value")
+
+
+# --- fractions -----------------------------------------------------------------
+
+#: fractions of 53 bits as whole numbers of 2^-60, which add without error
+_UNIT = "1152921504606846976"
+_PARTS = {"value": "l_extendedprice * (1 - l_discount)", "numerator": "l_extendedprice * l_tax", "denominator": "l_extendedprice / 3"}
+
+
+def _exact_sql(column: str) -> str:
+    return f"CAST(sum(CAST({column} * {_UNIT} AS HUGEINT)) AS DOUBLE) / {_UNIT}"
+
+
+@query(
+    "aggregate_fractions",
+    f"""WITH l AS (SELECT l_returnflag AS indicator_code, {", ".join(f"{how} AS {name}" for name, how in _PARTS.items())}, l_suppkey,
+              CASE l_linestatus WHEN 'O' THEN 'count' ELSE 'percent' END AS unit, l_linenumber % 2 = 0 AS bare FROM lineitem),
+    g AS (SELECT l_suppkey, indicator_code, CASE WHEN unit = 'count' THEN 'sum' WHEN bare THEN 'mean' ELSE 'ratio' END AS kind,
+              {_exact_sql("value")} AS v, count(*) AS n, {_exact_sql("numerator")} AS p, {_exact_sql("denominator")} AS q FROM l GROUP BY ALL)
+    SELECT l_suppkey, indicator_code, kind, CASE WHEN kind = 'ratio' THEN p END AS numerator, CASE WHEN kind = 'ratio' THEN q END AS denominator,
+           CASE kind WHEN 'sum' THEN v WHEN 'mean' THEN v / n ELSE p / q END AS value FROM g""",
+)
+def aggregate_fractions(spark, sf):
+    """Sums, means and ratios of fractions per supplier and flag, equal to the last bit."""
+    with_terms = (F.col("l_linestatus") == "O") | (F.col("l_linenumber") % 2 == 1)
+    lines = table(spark, sf, "lineitem").select(
+        "l_suppkey",
+        F.col("l_returnflag").alias("indicator_code"),
+        F.when(F.col("l_linestatus") == "O", "count").otherwise("percent").alias("unit"),
+        F.expr(_PARTS["value"]).alias("value"),
+        *[F.when(with_terms, F.expr(_PARTS[c])).alias(c) for c in ("numerator", "denominator")],
+    )
+    return aggregate(lines, ["l_suppkey", "indicator_code"])
