@@ -1,47 +1,73 @@
 """One row per key, chosen by an explicit rule.
 
-The choice is an aggregation (``min_by`` on the priority), not a numbered
-window: it combines within each task before the shuffle, so a key with any
-number of copies reaches the final task as a few candidate rows.
+The choice is an aggregation, not a numbered window: it combines within each task
+before the shuffle, so a key with any number of copies reaches the final task as a
+few candidates.  What is aggregated are keys, ranks and the *place* of a row, columns
+that tell it from all others: its id, or its place in the files it is read from
+(``with_places``).  The winners then take their rows, however wide, by one semi-join.
+Without a place the rows themselves are aggregated, which sorts them.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: columns that ``with_places`` adds
+PLACE = ["__file", "__line"]
 
-def keep_first(df: DataFrame, keys: Sequence[str], priority: Sequence[Column]) -> DataFrame:
-    """The row of each key that comes first by ``priority``; nulls come first."""
+
+def with_places(df: DataFrame) -> DataFrame:
+    """Adds the place of each row in the Parquet files it is read from; ``df`` is the table as read, or its columns or rows picked."""
+    return df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__line"))
+
+
+def _picked(df: DataFrame, keys: Sequence[str], choice: Callable[..., Column], rank: Column, place: Sequence[str]) -> DataFrame:
+    """The row of each key of which ``choice`` (min_by, max_by) takes the rank."""
+    if place:
+        # equal ranks go by the place, so the choice is the same in every run
+        at = F.struct(*place)
+        narrow = df.select(*keys, rank.alias("__rank"), at.alias("__at"))
+        won = narrow.groupBy(*keys).agg(choice("__at", F.struct("__rank", "__at")).alias("__won"))
+        won = won.select(*[F.col(f"__won.{p}").alias(f"__won_{p}") for p in place])
+        return df.join(won.hint("shuffle_hash"), [F.col(p) == F.col(f"__won_{p}") for p in place], "left_semi")
     rest = [c for c in df.columns if c not in keys]
-    rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)])
-    chosen = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), rank).alias("__row"))
+    chosen = df.groupBy(*keys).agg(choice(F.struct(*rest), rank).alias("__row"))
     return chosen.select(*keys, "__row.*").select(*df.columns)
 
 
+def keep_first(df: DataFrame, keys: Sequence[str], priority: Sequence[Column], place: Sequence[str] = ()) -> DataFrame:
+    """The row of each key that comes first by ``priority``; nulls come first.
+
+    ``place``: columns that tell a row from all others and are never null.
+    """
+    rank = F.struct(*[p.alias(f"p{i}") for i, p in enumerate(priority)])
+    return _picked(df, keys, F.min_by, rank, place)
+
+
 def latest_per_key(
     df: DataFrame,
     keys: Sequence[str],
     date: str,
     tiebreak: Sequence[str] = (),
     nulls: str = "first",
+    place: Sequence[str] = (),
 ) -> DataFrame:
     """The row of each key with the latest date.
 
     A row without a date counts as the latest with ``nulls="first"`` and as the
     earliest with ``nulls="last"``.  Equal dates go by the larger tiebreak.
+    ``place``: columns that tell a row from all others and are never null.
     """
-    rest = [c for c in df.columns if c not in keys]
     undated = F.col(date).isNull() if nulls == "first" else F.col(date).isNotNull()
     rank = F.struct(undated.alias("u"), F.col(date).alias("d"), *tiebreak)
-    chosen = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), rank).alias("__row"))
-    return chosen.select(*keys, "__row.*").select(*df.columns)
+    return _picked(df, keys, F.max_by, rank, place)
 
 
 def yearly_snapshots(
-    df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (), out: str = "over_year"
+    df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (), out: str = "over_year", place: Sequence[str] = ()
 ) -> DataFrame:
     """For every year of the table, the latest row of each key up to that year.
 
@@ -51,7 +77,7 @@ def yearly_snapshots(
     """
     dated = df.filter(F.col(date).isNotNull()).withColumn(out, F.year(date))
     last_year = dated.agg(F.max(out)).scalar()
-    newest = latest_per_key(dated, [key, out], date, tiebreak)
+    newest = latest_per_key(dated, [key, out], date, tiebreak, place=place)
     following = F.lead(out).over(Window.partitionBy(key).orderBy(out))
     until = F.coalesce(following - 1, last_year)
     return newest.withColumn("__until", until).withColumn(
@@ -62,18 +88,11 @@ def yearly_snapshots(
 def keep_lone_or_marked(df: DataFrame, keys: Sequence[str], marked: Column) -> DataFrame:
     """Rows alone under their key, and marked rows whatever their key holds.
 
-    Marked rows pass as they are.  The others survive only where their key has
-    one row in all, so they are counted by an aggregation that also carries the
-    row; no key's rows are gathered.  Null keys form one group.
+    Marked rows pass as they are.  Of the others those survive whose key has one
+    row in all: keys are counted by hash, and the rows of a lone key come by
+    one semi-join, so rows are neither gathered nor sorted.  Null keys form one group.
     """
-    flagged = df.withColumn("__marked", F.coalesce(marked, F.lit(False)))
-    lone = (
-        flagged.groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("__n"),
-            F.first(F.struct(*flagged.columns)).alias("__row"),
-        )
-        .filter((F.col("__n") == 1) & ~F.col("__row.__marked"))
-        .select("__row.*")
-    )
-    return flagged.filter("__marked").unionByName(lone).drop("__marked")
+    flagged = df.withColumns({"__marked": F.coalesce(marked, F.lit(False)), "__key": F.struct(*keys)})
+    lone = flagged.groupBy(*keys).count().filter("count = 1").select(F.struct(*keys).alias("__lone"))
+    others = flagged.filter(~F.col("__marked")).join(lone.hint("shuffle_hash"), F.col("__key") == F.col("__lone"), "left_semi")
+    return flagged.filter("__marked").unionByName(others).drop("__marked", "__key")

@@ -23,6 +23,9 @@ from ..operators.resolve import MetadataColumns, resolve_codes
 from ..session import settle
 from . import fixed_values as fixed
 
+# Fixed value: columns by which the table of targets is laid out.
+TARGET_ORDER = ("Code", "Pays", "année")
+
 # Fixed value: rows are ordered within blocks of this many.
 ORDER_BLOCK = 100
 
@@ -158,30 +161,31 @@ def results_table(rows: DataFrame, project: str) -> DataFrame:
 
 
 def combined_targets(*sheets: DataFrame) -> DataFrame:
-    """Targets of all sheets, with component, cleaned unit and indicator type."""
+    """Targets of all sheets, with component, cleaned unit and indicator type, in no order: the writer takes ``target_order()``."""
     targets = sheets[0].filter(F.col("value_type") == "target")
     for sheet in sheets[1:]:
         targets = targets.unionByName(sheet.filter(F.col("value_type") == "target"))
     unit = relabel(strip(squeeze(F.col("unit_original"))), fixed.UNIT_LABELS)
     thousands = contains_any_case(F.col("unite"), "millier")
-    return (
-        targets.withColumn("unite", unit)
-        .select(
-            F.col("indicator_code").alias("Code"),
-            F.col("indicator_name").alias("Indicateur_Name"),
-            F.col("country").alias("Pays"),
-            member_of(F.col("indicator_code"), fixed.COMPONENT_CODES).alias("Composante"),
-            F.col("year").alias("année"),
-            F.when(thousands, F.col("value") * 1_000).otherwise(F.col("value")).alias("valeur"),
-            "unite",
-            relabel(F.col("unit_ref"), fixed.INDICATOR_TYPES).alias("indicator_type"),
-            F.lit(False).alias("cumulative values"),
-            "indicator_changed",
-        )
-        .orderBy(*[F.desc_nulls_first(c) for c in ("Code", "Pays", "année")])
+    return targets.withColumn("unite", unit).select(
+        F.col("indicator_code").alias("Code"),
+        F.col("indicator_name").alias("Indicateur_Name"),
+        F.col("country").alias("Pays"),
+        member_of(F.col("indicator_code"), fixed.COMPONENT_CODES).alias("Composante"),
+        F.col("year").alias("année"),
+        F.when(thousands, F.col("value") * 1_000).otherwise(F.col("value")).alias("valeur"),
+        "unite",
+        relabel(F.col("unit_ref"), fixed.INDICATOR_TYPES).alias("indicator_type"),
+        F.lit(False).alias("cumulative values"),
+        "indicator_changed",
     )
 
 
+def target_order() -> list[Column]:
+    """For the writer: each column falling, nulls first."""
+    return [F.desc_nulls_first(c) for c in TARGET_ORDER]
+
+
 def framework_tables(
     grid_2025: DataFrame, grid_2026: DataFrame, metadata: DataFrame, project: str
 ) -> tuple[DataFrame, DataFrame]:

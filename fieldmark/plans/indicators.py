@@ -21,6 +21,10 @@ from . import fixed_values as fixed
 from .catalogue import DEFINITIONS, SURVEYS
 
 
+# Fixed value: the order of the published table.
+PUBLISHED_ORDER = ("indicator_code", "country", "region", "year")
+
+
 @dataclass(frozen=True)
 class Projects:
     """Labels of the previous project, which only left a history, and of the current one."""
@@ -142,7 +146,7 @@ def indicator_table(
     projects: Projects = Projects(),
     definitions: tuple[Indicator, ...] = DEFINITIONS,
 ) -> DataFrame:
-    """The whole job, in the published order.
+    """The whole job; ``PUBLISHED_ORDER`` is how the table is laid out when it is written.
 
     Facts are stored once before the rollup, which reads them per level, and the
     rolled-up table once before the gap fill, which reads it for its dimensions.
@@ -151,8 +155,7 @@ def indicator_table(
     valued = join_metadata(facts, metadata_projection(metadata))
     stored = settle(valued.select(*VALUE.names, "src_rank", "src_line"))
     rolled = settle(rollup(stored, top_place=fixed.TOP_PLACE))
-    published = complete_values(rolled, official, projects)
-    return published.orderBy("indicator_code", "country", "region", "year")
+    return complete_values(rolled, official, projects)
 
 
 def table_counts(df: DataFrame) -> DataFrame:

@@ -59,18 +59,21 @@ def transform_survey(
     """All submissions with the id of their site, and the latest one of each site.
 
     The two surveys that report on countries have no sites: both tables are the
-    standardised one.
+    standardised one.  ``row_id`` is unique and never null.
     """
     standard = standardise(df, survey, picture_prefix)
     if survey in (fixed.COUNTRY_SURVEY, fixed.REGIONAL_SURVEY):
         return standard, standard
-    sites = settle(near_duplicate_ids(standard, row_id, "LATITUDE", "LONGITUDE", max_km))
-    return sites, latest_per_key(sites, ["infrastructure_id"], "DATE", [row_id])
+    # only ids are stored; the wide rows are read where they are written
+    narrow = standard.select(row_id, "LATITUDE", "LONGITUDE")
+    ids = settle(near_duplicate_ids(narrow, row_id, "LATITUDE", "LONGITUDE", max_km).drop("LATITUDE", "LONGITUDE"))
+    sites = standard.join(ids, row_id).select(*standard.columns, *[c for c in ids.columns if c != row_id])
+    return sites, latest_per_key(sites, ["infrastructure_id"], "DATE", [row_id], place=[row_id])
 
 
 def survey_snapshots(sites: DataFrame, row_id: str = "_id") -> DataFrame:
     """For every year, the latest submission of each site up to then."""
-    return yearly_snapshots(sites, "infrastructure_id", "DATE", [row_id])
+    return yearly_snapshots(sites, "infrastructure_id", "DATE", [row_id], place=[row_id])
 
 
 def point_table(sites: DataFrame, column: str = "_geolocation") -> DataFrame:

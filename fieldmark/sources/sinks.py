@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from datetime import datetime, timezone
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.fingerprint import fingerprint
@@ -24,8 +24,12 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) ->
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
 
 
-def replace_table(df: DataFrame, table: str, jdbc: dict[str, str] | None = None) -> None:
-    """Replace a table: of the catalogue, or of a database if its options are given."""
+def replace_table(df: DataFrame, table: str, jdbc: dict[str, str] | None = None, order: Sequence[Column] = ()) -> None:
+    """Replace a table: of the catalogue, or of a database if its options are given.
+
+    With ``order`` it is laid out in that order, which is the last step before it is written.
+    """
+    df = df.orderBy(*order) if order else df
     try:
         if jdbc:
             df.write.format("jdbc").options(**jdbc, dbtable=table).mode("overwrite").save()
@@ -36,11 +40,11 @@ def replace_table(df: DataFrame, table: str, jdbc: dict[str, str] | None = None)
         raise
 
 
-def replace_tables(df: DataFrame, tables: list[str], jdbc: dict[str, str] | None = None) -> None:
+def replace_tables(df: DataFrame, tables: list[str], jdbc: dict[str, str] | None = None, order: Sequence[Column] = ()) -> None:
     """The same rows under several names, computed once."""
     stored = settle(df)
     for table in tables:
-        replace_table(stored, table, jdbc)
+        replace_table(stored, table, jdbc, order)
 
 
 def publish_survey(sites: DataFrame, snapshots: DataFrame, survey: str, jdbc: dict[str, str] | None = None) -> None:

@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import date
 
 from pyspark.sql import functions as F
@@ -49,3 +50,21 @@ def test_keep_lone_or_marked(spark, rows):
     df = spark.createDataFrame(data, "name string, country string, clean string")
     got = rows(dedup.keep_lone_or_marked(df, ["name", "clean"], F.col("country").contains("restruc")), "country")
     assert got == [("MR restruc",), ("NE",), ("SN",)]
+
+
+def test_wide_rows_come_by_their_place(spark, rows, tmp_path):
+    data = [(k, i % 4, i, "x" * 50) for i, k in enumerate(["a", "b", None, "a", "a", None, "c"] * 6)]
+    wide = spark.createDataFrame(data, "k string, d int, i int, t string")
+    wide.repartition(3).write.parquet(str(tmp_path / "wide"))
+    read = spark.read.parquet(str(tmp_path / "wide"))
+    order = [F.col("d"), F.col("i")]
+    first = dedup.keep_first(dedup.with_places(read), ["k"], order, dedup.PLACE).select(*wide.columns)
+    assert rows(first) == rows(dedup.keep_first(wide, ["k"], order)) and first.count() == 4
+    latest = dedup.latest_per_key(read, ["k"], "d", ["i"], place=["i"])
+    assert rows(latest) == rows(dedup.latest_per_key(wide, ["k"], "d", ["i"]))
+    plan = first._jdf.queryExecution().optimizedPlan().toString()
+    aggregates = [line for line in plan.splitlines() if "Aggregate" in line]
+    assert aggregates and not any(re.search(r"\bt#", line) for line in aggregates)
+    # equal ranks: one row of the key, the same each time
+    tied = [dedup.keep_first(dedup.with_places(read), ["k"], [F.lit(0)], dedup.PLACE).select("k", "i") for _ in range(2)]
+    assert rows(tied[0]) == rows(tied[1]) and tied[0].count() == 4

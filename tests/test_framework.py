@@ -1,6 +1,9 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
+from fieldmark.operators import ordered, resolve
 from fieldmark.operators.resolve import number_sub_items
 from fieldmark.plans.framework import (
     assign_codes,
@@ -8,8 +11,10 @@ from fieldmark.plans.framework import (
     framework_tables,
     results_sheet_2025,
     results_table,
+    target_order,
     targets_sheet_2026,
 )
+from fieldmark.sources import sinks
 
 META = "code string, code_v2 string, designation string, designation_v2 string, unite_v2 string, note string"
 
@@ -89,6 +94,34 @@ def test_sub_items_hard_case(spark):
     assert got == ["I-1", "I-11", "I-11", "I-12", None, "I-13", "I-3", "I-31", "I-1", "I-14"]
 
 
+def plain_numbers(rows):
+    """Codes of (sequence, position, name, reference) rows, one after the other."""
+    out, last, previous, counts = {}, {}, {}, {}
+    for s, i, clean, ref in rows:
+        sub = clean.startswith("dont ")
+        if not sub and ref is not None:
+            last[s] = ref
+        parent = last.get(s)
+        if sub and s in previous and clean != previous[s]:
+            counts[s, parent] = counts.get((s, parent), 0) + 1
+        out[s, i] = ref if not sub else None if parent is None else f"{parent}{counts.get((s, parent), 0)}"
+        previous[s] = clean
+    return out
+
+
+@pytest.mark.parametrize("width", [7, 50, 65536])
+def test_sub_items_across_blocks(spark, monkeypatch, width):
+    r, rows = random.Random(1), []
+    for s in ("a", "b", None):
+        for i in range(300):
+            k = r.random()
+            rows.append((s, i, "dont " + r.choice("xyz") if k < 0.6 else r.choice("MNO"), None if k < 0.6 or k > 0.95 else r.choice(["P1", "P2", "P3"])))
+    df = spark.createDataFrame(rows, "s string, p long, clean string, code_ref string").repartition(3)
+    monkeypatch.setattr(resolve, "blocks_of", lambda position: ordered.blocks_of(position, width))
+    got = {(x.s, x.p): x.code_final for x in number_sub_items(df, ["s"], "p").collect()}
+    assert got == plain_numbers(rows)
+
+
 def test_results_are_scaled_by_unit(spark):
     rows = spark.createDataFrame(
         [("a", "Nombre (MILLIONS)", "BF", 2.0), ("b", "milliers", "REGIONAL", 2.0), ("c", "Pourcentage", "XX", 50.0), ("d", None, None, 1.0)],
@@ -116,8 +149,9 @@ def test_targets_of_both_sheets(spark):
     land = got[("IR-3", "TD", 2021)]
     assert (land.valeur, land.unite, land.Composante, land.indicator_type) == (1500.0, "Milliers d’ha (cumulé)", "ODP", "Nombre")
     assert got[("IRI-101", "BF", 2025)].Composante == "3"
-    codes = [r.Code for r in targets.collect()]
-    assert codes == sorted(codes, reverse=True)
+    sinks.replace_table(targets.repartition(3), "targets_laid_out", order=target_order())
+    codes = [r.Code for r in spark.table("targets_laid_out").collect()]
+    assert codes == sorted(codes, reverse=True) and len(codes) == targets.count()
 
 
 def test_several_sheets_do_not_mix(spark):

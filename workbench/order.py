@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from fieldmark.operators.dedup import keep_first, keep_lone_or_marked, latest_per_key, yearly_snapshots
+from fieldmark.operators.dedup import PLACE, keep_first, keep_lone_or_marked, latest_per_key, with_places, yearly_snapshots
 from fieldmark.operators.lookups import duplicate_keys
 from fieldmark.operators.ordered import block_of_time, change_counter, forward_fill, previous_value, row_index, running_sum
 from fieldmark.operators.reshape import pivot_years, unpivot_ordered, year_in_name
@@ -154,11 +154,9 @@ def parent_child_codes(spark, sf):
        WHERE rn = 1""",
 )
 def first_line_of_order(spark, sf):
-    lines = table(spark, sf, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_quantity", "l_extendedprice"
-    )
+    lines = with_places(table(spark, sf, "lineitem"))
     order = ["l_shipdate", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
-    return keep_first(lines, ["l_orderkey"], [F.col(c) for c in order]).select("l_orderkey", "l_partkey", "l_quantity")
+    return keep_first(lines, ["l_orderkey"], [F.col(c) for c in order], PLACE).select("l_orderkey", "l_partkey", "l_quantity")
 
 
 def _dated_orders(spark, sf):
@@ -178,7 +176,7 @@ dated AS (SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus <>
         (PARTITION BY o_custkey ORDER BY day DESC NULLS FIRST, o_orderkey DESC) AS rn FROM dated) WHERE rn = 1""",
 )
 def latest_order(spark, sf):
-    latest = latest_per_key(_dated_orders(spark, sf), ["o_custkey"], "day", ["o_orderkey"])
+    latest = latest_per_key(_dated_orders(spark, sf), ["o_custkey"], "day", ["o_orderkey"], place=["o_orderkey"])
     return latest.select("o_custkey", "o_orderkey", "day", "o_totalprice")
 
 
@@ -188,7 +186,7 @@ def latest_order(spark, sf):
         (PARTITION BY o_custkey ORDER BY day DESC NULLS LAST, o_orderkey DESC) AS rn FROM dated) WHERE rn = 1""",
 )
 def latest_dated_order(spark, sf):
-    latest = latest_per_key(_dated_orders(spark, sf), ["o_custkey"], "day", ["o_orderkey"], nulls="last")
+    latest = latest_per_key(_dated_orders(spark, sf), ["o_custkey"], "day", ["o_orderkey"], nulls="last", place=["o_orderkey"])
     return latest.select("o_custkey", "o_orderkey", "day")
 
 
@@ -199,7 +197,7 @@ def latest_dated_order(spark, sf):
         (PARTITION BY o_custkey, y ORDER BY day DESC, o_orderkey DESC) AS rn FROM dated JOIN years ON year(day) <= y) WHERE rn = 1""",
 )
 def order_snapshots(spark, sf):
-    snapshots = yearly_snapshots(_dated_orders(spark, sf), "o_custkey", "day", ["o_orderkey"])
+    snapshots = yearly_snapshots(_dated_orders(spark, sf), "o_custkey", "day", ["o_orderkey"], place=["o_orderkey"])
     return snapshots.select("o_custkey", "over_year", "o_orderkey", "day")
 
 
