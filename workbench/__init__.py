@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-_MODULES = ("rollups", "flow", "catalogue", "order", "texts", "places", "sheets")
+_MODULES = ("rollups", "flow", "catalogue", "order", "texts", "places", "sheets", "job")
 
 
 def load():

@@ -186,8 +186,27 @@ VIEWS: dict[str, tuple[str, dict[str, str]]] = {
 }
 
 
-def view(spark, sf, survey: str):
+#: answers that the views above lack; with them, every definition has rows
+MORE: dict[str, dict[str, str]] = {
+    "gestion_durable_des_paysages": {
+        "CRDURA56": yes("l_suppkey", 7, 3),
+        "CRDURA58c": "CASE WHEN l_linenumber = 3 THEN NULL ELSE l_quantity * 5 END",
+    },
+    "marches_a_betail": {
+        "IGMB7": "CAST(event_id % 30 AS INT)",
+        "IGMB8": "CASE WHEN user_id % 9 = 0 THEN NULL ELSE CAST(user_id % 7 AS INT) END",
+        "IGMBA": "LIST " + offices("event_id"),
+    },
+}
+
+
+def columns_of(survey: str, whole: bool = False) -> tuple[str, dict[str, str]]:
     source, columns = VIEWS[survey]
+    return source, columns | (MORE.get(survey, {}) if whole else {})
+
+
+def view(spark, sf, survey: str, whole: bool = False):
+    source, columns = columns_of(survey, whole)
     made = []
     for out, formula in columns.items():
         listed = formula.startswith("LIST ")
@@ -196,8 +215,8 @@ def view(spark, sf, survey: str):
     return table(spark, sf, source).select(*made)
 
 
-def view_sql(survey: str) -> str:
-    source, columns = VIEWS[survey]
+def view_sql(survey: str, whole: bool = False) -> str:
+    source, columns = columns_of(survey, whole)
     made = [
         f"string_split({f.removeprefix('LIST ')}, '|') AS \"{out}\"" if f.startswith("LIST ") else f"{f} AS \"{out}\""
         for out, f in columns.items()
@@ -235,13 +254,13 @@ def _no_places(first: int) -> str:
     return "".join(f", CAST(NULL AS VARCHAR) AS {n}" for n in names[first:])
 
 
-def fact_sql(survey, code, value, where, num="NULL", den="NULL", date=None) -> str:
+def fact_sql(survey, code, value, where, num="NULL", den="NULL", date=None, whole=False) -> str:
     where_from = _place_sql(survey)
     if date:
         where_from = where_from.replace("CAST(DATE AS VARCHAR) AS date", f"CAST({date} AS VARCHAR) AS date")
     return (
         f"SELECT '{code}' AS indicator_code, {where_from}, CAST({num} AS DOUBLE) AS numerator, "
-        f"CAST({den} AS DOUBLE) AS denominator, CAST({value} AS DOUBLE) AS value FROM {view_sql(survey)} WHERE {where}"
+        f"CAST({den} AS DOUBLE) AS denominator, CAST({value} AS DOUBLE) AS value FROM {view_sql(survey, whole)} WHERE {where}"
     )
 
 
@@ -277,23 +296,23 @@ REGIONAL_SQL = union(
 )
 
 
-def _office_sql(survey, committee, members, women, held):
+def _office_sql(survey, committee, members, women, held, whole=False):
     flag = (
         f"CASE WHEN {members} > 0 AND {women} >= {members} * 0.15::DOUBLE AND (list_contains({held}, 'Président (e)') "
         f"OR list_contains({held}, 'Sécrétaire (principal-e)') OR list_contains({held}, 'Trésorier (ère)')) THEN 1 ELSE 0 END"
     )
-    return fact_sql(survey, "IRI-16", flag, f"{committee} = 'Oui'", flag, "1")
+    return fact_sql(survey, "IRI-16", flag, f"{committee} = 'Oui'", flag, "1", whole=whole)
+
 
+_AREAS = (
+    "CASE WHEN CRDURA6c <> 0 AND CRDURA7 = 'Oui' AND CRDURA8 = 'Oui' AND CRDURA11 = 'Oui' AND CRDURA9 <> '' THEN CRDURA6c ELSE 0 END"
+    " + CASE WHEN CRDURA26c <> 0 AND CRDURA24 = 'Oui' THEN CRDURA26c ELSE 0 END"
+    " + CASE WHEN CRDURA43c <> 0 AND CRDURA41 = 'Oui' THEN CRDURA43c ELSE 0 END"
+)
+_FOURTH_AREA = " + CASE WHEN CRDURA58c <> 0 AND CRDURA56 = 'Oui' THEN CRDURA58c ELSE 0 END"
 
 LAND_SQL = union(
-    fact_sql(
-        _LAND,
-        "IR-3",
-        "CASE WHEN CRDURA6c <> 0 AND CRDURA7 = 'Oui' AND CRDURA8 = 'Oui' AND CRDURA11 = 'Oui' AND CRDURA9 <> '' THEN CRDURA6c ELSE 0 END"
-        " + CASE WHEN CRDURA26c <> 0 AND CRDURA24 = 'Oui' THEN CRDURA26c ELSE 0 END"
-        " + CASE WHEN CRDURA43c <> 0 AND CRDURA41 = 'Oui' THEN CRDURA43c ELSE 0 END",
-        "true",
-    ),
+    fact_sql(_LAND, "IR-3", _AREAS, "true"),
     fact_sql(_LAND, "IRI-5", "1", "CRDURA11 = 'Oui'", date="CRDURA12"),
     _office_sql(_LAND, "CRDURA11", "CRDURA13", "CRDURA14", "CRDURA17"),
 )
@@ -344,6 +363,20 @@ INCOME_SQL = union(
 )
 
 
+#: all nine surveys, every question answered
+EVERY_SURVEY = tuple(s.key for s in SURVEYS)
+EVERY_SQL = union(
+    COUNTRY_SQL,
+    REGIONAL_SQL,
+    fact_sql(_LAND, "IR-3", _AREAS + _FOURTH_AREA, "true", whole=True),
+    *LAND_SQL.split("\nUNION ALL\n")[1:],
+    SITES_SQL,
+    _office_sql("marches_a_betail", "IGMB5", "IGMB7", "IGMB8", "IGMBA", whole=True),
+    VENTURES_SQL,
+    INCOME_SQL,
+)
+
+
 @query("catalogue_country_survey", COUNTRY_SQL)
 def catalogue_country(spark, sf):
     return facts(spark, sf, _PAYS)
@@ -402,21 +435,23 @@ def history_values(spark, sf):
     return history_facts(history_view(spark, sf), "old").drop("src_line")
 
 
-@query(
-    "facts_with_history",
-    f"""SELECT indicator_code, date, level, country, region, value, project, src_rank FROM (
-    SELECT indicator_code, date, level, country, NULL AS region, value, project, 0 AS src_rank FROM ({HISTORY_SQL})
-    UNION ALL BY NAME
-    SELECT indicator_code, date, level, country, region, value, 'new' AS project, 1 AS src_rank FROM ({COUNTRY_SQL} UNION ALL {SITES_SQL}))""",
-)
+WITH_HISTORY_SQL = f"""
+SELECT indicator_code, date, level, country, NULL AS region, NULL AS numerator, NULL AS denominator, value, project, 0 AS src_rank FROM ({HISTORY_SQL})
+UNION ALL BY NAME
+SELECT indicator_code, date, level, country, region, numerator, denominator, value, 'new' AS project, 1 AS src_rank FROM ({EVERY_SQL})
+"""
+
+
+def every_table(spark, sf):
+    """All nine surveys with all questions."""
+    return {s: view(spark, sf, s, whole=True) for s in EVERY_SURVEY}
+
+
+@query("facts_with_history", WITH_HISTORY_SQL)
 def facts_with_history(spark, sf):
-    surveys = (_PAYS, "unites_veterinaires", "parcs_de_vaccination", "points_d_eau", "marches_a_betail")
-    combined = combine_indicators(
-        {s: view(spark, sf, s) for s in surveys},
-        history_facts(history_view(spark, sf), "old"),
-        Projects("old", "new"),
-    )
-    return combined.select("indicator_code", "date", "level", "country", "region", "value", "project", "src_rank")
+    """Facts of all nine surveys after the history; every definition has rows."""
+    combined = combine_indicators(every_table(spark, sf), history_facts(history_view(spark, sf), "old"), Projects("old", "new"))
+    return combined.select("indicator_code", "date", "level", "country", "region", "numerator", "denominator", "value", "project", "src_rank")
 
 
 #: code, new code, name, unit, note

@@ -419,11 +419,22 @@ def upload_manifest(spark, sf):
 # --- fingerprints ----------------------------------------------------------------------
 
 
+#: every column of lineitem, and a date, a decimal and columns with nulls made from them
 _PRINTED = {
-    "l_comment": ("string", "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag || l_linestatus END"),
-    "l_linenumber": ("int", "CAST(l_linenumber AS INT)"),
-    "l_orderkey": ("bigint", "CAST(l_orderkey AS BIGINT)"),
-    "l_partkey": ("bigint", "CASE WHEN l_linenumber % 3 = 1 THEN NULL ELSE CAST(l_partkey AS BIGINT) END"),
+    "l_discount": ("double", "l_discount"),
+    "l_extendedprice": ("double", "l_extendedprice"),
+    "l_linenumber": ("int", "l_linenumber"),
+    "l_linestatus": ("string", "l_linestatus"),
+    "l_orderkey": ("bigint", "l_orderkey"),
+    "l_partkey": ("bigint", "l_partkey"),
+    "l_quantity": ("double", "l_quantity"),
+    "l_returnflag": ("string", "l_returnflag"),
+    "l_shipdate": ("timestamp_ntz", "l_shipdate"),
+    "l_suppkey": ("bigint", "l_suppkey"),
+    "l_tax": ("double", "l_tax"),
+    "note": ("string", "CASE WHEN l_linenumber % 3 = 0 THEN NULL ELSE l_returnflag || l_linestatus END"),
+    "price": ("decimal(12,2)", "CAST(l_extendedprice AS DECIMAL(12,2))"),
+    "shipped": ("date", "CASE WHEN l_linenumber % 3 = 1 THEN NULL ELSE CAST(l_shipdate AS DATE) END"),
 }
 _ROW_TEXT = " || ';' || ".join(
     f"'{c}={kind}=' || coalesce(length(CAST({sql} AS VARCHAR)) || ':' || CAST({sql} AS VARCHAR), '-')" for c, (kind, sql) in _PRINTED.items()
@@ -438,5 +449,6 @@ _ROW_TEXT = " || ';' || ".join(
            '{",".join(f"{c}:{kind}" for c, (kind, _) in _PRINTED.items())}' AS columns FROM h""",
 )
 def publish_fingerprint(spark, sf):
-    rows = table(spark, sf, "lineitem")
-    return fingerprint(rows.select(*[F.expr(sql).cast(kind).alias(c) for c, (kind, sql) in _PRINTED.items()]))
+    """Of whole rows of lineitem, with more columns so that every kind of value is hashed."""
+    made = {c: F.expr(sql) for c, (_, sql) in _PRINTED.items() if c != sql}
+    return fingerprint(table(spark, sf, "lineitem").withColumns(made))
