@@ -68,6 +68,22 @@ def geo_dedup_ids(spark, sf):
     return ids.select("c_custkey", "site_id")
 
 
+CHAIN_KM = 0.08
+
+
+@query(
+    "geo_components",
+    f"""WITH RECURSIVE {SPOTS_SQL}, {hoods_sql(CHAIN_KM).replace("near AS (", "near AS MATERIALIZED (", 1)},
+    reached(id, other) AS (SELECT i, j FROM near UNION SELECT r.id, n.j FROM reached r JOIN near n ON n.i = r.other)
+    SELECT p.id AS c_custkey, coalesce(min(other), p.id) AS site_id FROM p LEFT JOIN reached USING (id) GROUP BY p.id""",
+)
+def geo_components(spark, sf):
+    """Customers that neighbours of neighbours connect have one id."""
+    spots = customer_spots(spark, sf)
+    ids = near_duplicate_ids(spots, "c_custkey", "lat", "lon", CHAIN_KM, out="site_id", cell=None, mode="components")
+    return ids.select("c_custkey", "site_id")
+
+
 @query(
     "geo_neighbour_counts",
     f"WITH {SPOTS_SQL}, {hoods_sql(RADIUS_KM)} SELECT id AS c_custkey, coalesce(len(g) - 1, 0) AS n_neighbours FROM p LEFT JOIN hood ON i = id",
