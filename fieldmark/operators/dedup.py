@@ -66,6 +66,34 @@ def latest_per_key(
     return _picked(df, keys, F.max_by, rank, place)
 
 
+def yearly_changes(df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (), place: Sequence[str] = ()) -> DataFrame:
+    """Snapshots as intervals: the latest row of each key and year, with the years it holds for.
+
+    ``valid_from`` is its year, ``valid_to`` the year before the key's next such row, or
+    null while there is none.  However many years pass, a key has one row for each
+    year in which it changed.  Rows without a date are in no snapshot.
+    """
+    dated = df.filter(F.col(date).isNotNull()).withColumn("valid_from", F.year(date))
+    newest = latest_per_key(dated, [key, "valid_from"], date, tiebreak, place=place)
+    following = F.lead("valid_from").over(Window.partitionBy(key).orderBy("valid_from"))
+    return newest.withColumn("valid_to", following - 1)
+
+
+def snapshot_of(changes: DataFrame, year: int) -> DataFrame:
+    """The rows that hold in a year; the filter reaches the scan of a stored table."""
+    holds = (F.col("valid_from") <= year) & (F.col("valid_to").isNull() | (F.col("valid_to") >= year))
+    return changes.filter(holds)
+
+
+def snapshots_of(changes: DataFrame, out: str = "over_year") -> DataFrame:
+    """Every year's snapshot, up to the last year in which anything changed: years are laid out here, not in the table."""
+    last_year = changes.agg(F.max("valid_from")).scalar()
+    until = F.coalesce("valid_to", last_year)
+    return changes.withColumn("__until", until).withColumn(
+        out, F.explode(F.sequence(F.col("valid_from"), F.col("__until")))
+    ).drop("__until", "valid_from", "valid_to")
+
+
 def yearly_snapshots(
     df: DataFrame, key: str, date: str, tiebreak: Sequence[str] = (), out: str = "over_year", place: Sequence[str] = ()
 ) -> DataFrame:
@@ -75,14 +103,7 @@ def yearly_snapshots(
     until the key's next such year, and is repeated for the years in between.
     Rows without a date are in no snapshot.
     """
-    dated = df.filter(F.col(date).isNotNull()).withColumn(out, F.year(date))
-    last_year = dated.agg(F.max(out)).scalar()
-    newest = latest_per_key(dated, [key, out], date, tiebreak, place=place)
-    following = F.lead(out).over(Window.partitionBy(key).orderBy(out))
-    until = F.coalesce(following - 1, last_year)
-    return newest.withColumn("__until", until).withColumn(
-        out, F.explode(F.sequence(F.col(out), F.col("__until")))
-    ).drop("__until")
+    return snapshots_of(yearly_changes(df, key, date, tiebreak, place), out)
 
 
 def keep_lone_or_marked(df: DataFrame, keys: Sequence[str], marked: Column) -> DataFrame:

@@ -97,29 +97,3 @@ def all_of(conditions: Sequence[Column]) -> Column:
     for condition in conditions[1:]:
         out = out & condition
     return out
-
-
-def join_hot(
-    left: DataFrame,
-    right: DataFrame,
-    on: Sequence[str],
-    spread_by: Sequence[str],
-    how: str = "inner",
-    rows_per_task: int = 1 << 20,
-) -> DataFrame:
-    """Equi-join for a left side whose keys may be hot and a right side with few rows per key.
-
-    A count finds the keys with more than ``rows_per_task`` rows on the left and
-    says how many tasks each asks for; their rows are spread by the hash of
-    ``spread_by``, columns that differ within a key, and only their rows on the
-    right are repeated, as often.  Other keys are joined as they are.
-    """
-    heat = (
-        left.groupBy(*on)
-        .agg(F.ceil(F.count(F.lit(1)) / rows_per_task).cast("int").alias("__salts"))
-        .filter("__salts > 1")
-    )
-    salts = F.coalesce("__salts", F.lit(1))
-    spread = left.join(heat, list(on), "left").withColumn("__salt", F.pmod(F.xxhash64(*spread_by), salts).cast("int")).drop("__salts")
-    repeated = right.join(heat, list(on), "left").withColumn("__salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("__salts")
-    return spread.join(repeated, [*on, "__salt"], how).drop("__salt")

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from ..functions.geo import wkt_point
 from ..functions.nested import doubles_from_json, point_part, public_url, to_json_or_null
-from ..operators.dedup import latest_per_key, yearly_snapshots
+from ..operators.dedup import latest_per_key, snapshots_of, yearly_changes
 from ..operators.near import near_duplicate_ids
 from ..schema import name
 from ..session import settle
@@ -71,9 +71,14 @@ def transform_survey(
     return sites, latest_per_key(sites, ["infrastructure_id"], "DATE", [row_id], place=[row_id])
 
 
+def survey_changes(sites: DataFrame, row_id: str = "_id") -> DataFrame:
+    """The latest submission of each site and year, with the years it holds for; what to store of snapshots."""
+    return yearly_changes(sites, "infrastructure_id", "DATE", [row_id], place=[row_id])
+
+
 def survey_snapshots(sites: DataFrame, row_id: str = "_id") -> DataFrame:
     """For every year, the latest submission of each site up to then."""
-    return yearly_snapshots(sites, "infrastructure_id", "DATE", [row_id], place=[row_id])
+    return snapshots_of(survey_changes(sites, row_id))
 
 
 def point_table(sites: DataFrame, column: str = "_geolocation") -> DataFrame:

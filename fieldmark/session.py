@@ -77,6 +77,11 @@ def _stored_steps(spark: SparkSession) -> str:
     return folder
 
 
+def scratch(spark: SparkSession) -> str:
+    """A new folder among the stored steps, for what a job writes and reads back; it goes when its driver ends."""
+    return f"{_stored_steps(spark)}/{uuid.uuid4().hex}"
+
+
 def settle(df: DataFrame) -> DataFrame:
     """Write ``df`` once as a table in the shared checkpoint folder and read it from there.
 
@@ -88,6 +93,6 @@ def settle(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     untyped = {f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields if f.dataType == T.NullType()}
     stored = df.withColumns(untyped) if untyped else df
-    path = f"{_stored_steps(spark)}/{uuid.uuid4().hex}"
+    path = scratch(spark)
     stored.write.parquet(path)
     return spark.read.schema(stored.schema).parquet(path)

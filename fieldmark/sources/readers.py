@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.nested import last_segment
+from ..operators.dedup import snapshot_of, snapshots_of
 from ..operators.lookups import any_of
+from ..operators.ordered import blocks_of, forward_fill, running_sum
 from ..plans import fixed_values as fixed
 from ..plans.indicators import history_facts
 from ..schema import null_empty_structs
@@ -40,9 +43,47 @@ def csv_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataF
     return spark.read.option("header", True).option("multiLine", line_breaks).option("escape", '"').csv(path)
 
 
+#: bytes of a file that one block of the line count covers
+_BLOCK_BYTES = 1 << 24
+
+
+def _quotes(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit('"'), F.lit("")))
+
+
+def _header(spark: SparkSession, path: str) -> tuple[list[str], int]:
+    """Names in the first record of a CSV file, and how many lines it takes."""
+    taken: list[str] = []
+    for row in spark.read.text(path).head(100):
+        taken.append(row.value)
+        if sum(line.count('"') for line in taken) % 2 == 0:
+            break
+    record = "\n".join(taken).removeprefix("\ufeff")
+    return next(csv.reader([record + "\n"] if "\n" not in record else record.splitlines(True)), []), len(taken)
+
+
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``csv_text`` of one file, with ``line`` in the order of the file: one task reads it."""
-    return csv_text(spark, path, line_breaks=True).withColumn("line", F.monotonically_increasing_id())
+    """``csv_text`` of one file, with ``line``, where a record begins, in the order of the file.
+
+    The file is read in pieces, line breaks inside cells included.  Lines and quotation
+    marks are counted for each piece and summed over the pieces before it: that numbers the
+    lines and tells which begin inside a cell, and those join the record that they go on.
+    A line break inside a cell becomes a line feed.
+    """
+    names, head = _header(spark, path)
+    at = F.col("_metadata.file_block_start").alias("at")
+    lines = spark.read.text(path).select("value", at, F.monotonically_increasing_id().alias("pos"))
+    counted = running_sum(
+        lines, [], ["at", "pos"], {"line": F.lit(1).cast("long"), "marks": _quotes(F.col("value")).cast("long")}, [blocks_of(F.col("at"), _BLOCK_BYTES)]
+    )
+    inside = (F.col("marks") - _quotes(F.col("value"))) % 2 == 1
+    begun = counted.withColumn("record", F.when(~inside, F.col("line")))
+    placed = forward_fill(begun, [], ["line"], ["record"], [blocks_of(F.col("line"))])
+    record = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("line", "value"))), lambda x: x["value"]), "\n")
+    records = placed.filter((F.col("record") > head) & F.col("record").isNotNull()).groupBy("record").agg(record.alias("text"))
+    schema = ", ".join(f"`{n.replace('`', '``')}` string" for n in names)
+    cells = F.from_csv("text", schema, {"escape": '"', "multiLine": "true"})
+    return records.filter(F.trim("text") != "").select(cells.alias("cells"), F.col("record").alias("line")).select("cells.*", "line")
 
 
 def history(spark: SparkSession, path: str, project: str) -> DataFrame:
@@ -67,6 +108,14 @@ def official_results(spark: SparkSession, path: str, tag: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("data_source", F.lit(tag))
 
 
+def snapshots(spark: SparkSession, path: str, year: int | None = None) -> DataFrame:
+    """Snapshots out of stored changes: those of one year, of which the scan takes only rows that hold then, or all years laid out."""
+    changes = spark.read.parquet(path)
+    if year is None:
+        return snapshots_of(changes)
+    return snapshot_of(changes, year).drop("valid_from", "valid_to").withColumn("over_year", F.lit(year))
+
+
 def cell_grid(spark: SparkSession, path: str, file_format: str = "parquet") -> DataFrame:
     """A sheet as a grid of text cells ``column_1..n`` with ``row_idx`` from 0.
 

@@ -5,6 +5,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from fieldmark.operators import dedup
+from fieldmark.sources import readers, sinks
 
 
 def test_keep_first_nulls_first(spark, rows):
@@ -68,3 +69,18 @@ def test_wide_rows_come_by_their_place(spark, rows, tmp_path):
     # equal ranks: one row of the key, the same each time
     tied = [dedup.keep_first(dedup.with_places(read), ["k"], [F.lit(0)], dedup.PLACE).select("k", "i") for _ in range(2)]
     assert rows(tied[0]) == rows(tied[1]) and tied[0].count() == 4
+
+
+def test_snapshots_as_intervals(spark, rows, tmp_path):
+    data = [("a", date(2001, 1, 1), 1), ("a", date(2001, 5, 1), 2), ("a", date(2004, 1, 1), 3), ("b", date(2003, 1, 1), 4), ("b", None, 5), ("c", date(2020, 1, 1), 6)]
+    df = spark.createDataFrame(data, "id string, d date, i int")
+    changes = dedup.yearly_changes(df, "id", "d", ["i"], place=["i"])
+    assert rows(changes, "id", "i", "valid_from", "valid_to") == [("a", 2, 2001, 2003), ("a", 3, 2004, None), ("b", 4, 2003, None), ("c", 6, 2020, None)]
+    sinks.store_changes(changes, str(tmp_path / "changes"))
+    assert spark.read.parquet(str(tmp_path / "changes")).count() == 4  # however many years there are
+    every = readers.snapshots(spark, str(tmp_path / "changes"))
+    assert rows(every, "id", "over_year", "i") == rows(dedup.yearly_snapshots(df, "id", "d", ["i"]), "id", "over_year", "i") and every.count() == 20 + 18 + 1
+    one = readers.snapshots(spark, str(tmp_path / "changes"), 2003)
+    assert rows(one, "id", "i", "over_year") == [("a", 2, 2003), ("b", 4, 2003)]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "LessThanOrEqual(valid_from,2003)" in plan

@@ -1,10 +1,11 @@
 import json
+import random
 
 import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
-from fieldmark.operators.fingerprint import fingerprint
+from fieldmark.operators.fingerprint import added_up, fingerprint, part_fingerprints
 from fieldmark.operators.reshape import pivot_years
 from fieldmark.plans import fixed_values as fixed
 from fieldmark.plans.report import layout, spine, target_vs_result, wide_report
@@ -187,3 +188,52 @@ def test_union_aligned_and_empty_structs(spark):
     got = {r.indicator_code: (r.date, r.value, r.level, r.region) for r in union_aligned([a, b], FACT).collect()}
     assert got == {"x": ("2024-01-01", 1.0, 2, None), "y": ("2023-01-01", 1.5, None, None)}
     assert null_empty_structs(a).columns == a.columns
+
+
+def test_lines_are_numbered_over_pieces(spark, tmp_path):
+    r = random.Random(3)
+    records = [(str(i), r.choice(["x", 'say ""this""', "two\nlines", "a,b", "", "é\n\nü", 'odd "" one\nmore']), str(i % 7)) for i in range(3000)]
+    text = "no,\"the,\nname\",last\n" + "".join(f'{a},"{b}",{c}\n' + ("\n" if i % 50 == 0 else "") for i, (a, b, c) in enumerate(records))
+    (tmp_path / "f.csv").write_text(text, "utf-8")
+    path = str(tmp_path / "f.csv")
+    want = [tuple(r) for r in readers.csv_text(spark, path, line_breaks=True).collect()]  # one task
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1k")
+    try:
+        pieces = spark.read.text(path).rdd.getNumPartitions()
+        lines = readers.numbered_lines(spark, path)
+        got = sorted(lines.collect(), key=lambda x: x.line)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert pieces > 5 and [tuple(x)[:-1] for x in got] == want and len(want) == 3000
+    assert lines.columns[:3] == ["no", "the,\nname", "last"] and len({x.line for x in got}) == 3000
+
+
+def test_only_changed_parts_are_written(spark, tmp_path, rows):
+    folder = str(tmp_path / "parts")
+    data = [(y, i, f"t{i}") for y in (2001, 2002, 2003, None) for i in range(5)]
+    df = spark.createDataFrame(data, "year int, i int, t string").repartition(3)
+    files = lambda: {str(p) for p in (tmp_path / "parts").rglob("version=*/**/*.parquet")}
+    assert sinks.publish_parts_if_changed(df, folder, ["year"], "v1") == "v1"
+    first = files()
+    assert len(first) == 4 and rows(sinks.published_parts(spark, folder, ["year"]), "year", "i", "t") == sorted(data, key=lambda t: [(v is not None, str(v)) for v in t])
+    assert sinks.publish_parts_if_changed(df.repartition(2), folder, ["year"], "v2") is None and files() == first
+    changed = [(y, i, "new" if (y, i) == (2002, 3) else t) for y, i, t in data]
+    assert sinks.publish_parts_if_changed(spark.createDataFrame(changed, df.schema), folder, ["year"], "v3") == "v3"
+    assert len(files() - first) == 1 and "year=2002" in next(iter(files() - first))
+    got = sinks.published_parts(spark, folder, ["year"])
+    assert sorted(map(tuple, got.select("year", "i", "t").collect()), key=str) == sorted(changed, key=str)
+    # a part goes, another returns to what it was
+    fewer = [t for t in data if t[0] != 2001]
+    assert sinks.publish_parts_if_changed(spark.createDataFrame(fewer, df.schema), folder, ["year"], "v4") == "v4"
+    assert sorted(map(tuple, sinks.published_parts(spark, folder, ["year"]).collect()), key=str) == sorted(map(tuple, spark.createDataFrame(fewer, df.schema).select(*sinks.published_parts(spark, folder, ["year"]).columns).collect()), key=str)
+    assert sinks.published_parts(spark, folder, ["year"], "v1").count() == 20
+    assert sinks.published_parts(spark, str(tmp_path / "none"), ["year"]) is None
+
+
+def test_a_table_is_the_sum_of_its_parts(spark):
+    df = spark.createDataFrame([(i % 3, i, None if i % 2 else "x") for i in range(50)], "p int, i int, t string")
+    assert added_up(part_fingerprints(df, ["p"])).first() == fingerprint(df).first()
+    empty = fingerprint(df.limit(0)).first()
+    assert empty.n_rows == 0 and empty.columns == fingerprint(df).first().columns

@@ -6,7 +6,10 @@ from pyspark.sql import functions as F
 
 from fieldmark.functions.geo import cell_label, haversine_km
 from fieldmark.operators.near import near_duplicate_ids, neighbour_counts
-from fieldmark.plans.surveys import point_table, standardise, survey_snapshots, transform_survey
+from fieldmark.plans.surveys import point_table, standardise, survey_changes, transform_survey
+from fieldmark.session import scratch
+from fieldmark.sources.readers import snapshots
+from fieldmark.sources.sinks import store_changes
 
 from .registry import query, table
 
@@ -186,8 +189,12 @@ def survey_sites(spark, sf):
         (PARTITION BY infrastructure_id, y ORDER BY day DESC, _id DESC) AS rn FROM sites JOIN years ON year(day) <= y) WHERE rn = 1""",
 )
 def snapshots_of_survey(spark, sf):
+    """Stored as intervals and read back: a row for each change, years laid out by the reader."""
     sites, _ = transform_survey(submissions(spark, sf), SURVEY, PREFIX, max_km=RADIUS_KM)
-    return survey_snapshots(sites).select("_id", "infrastructure_id", "over_year")
+    folder = scratch(spark)
+    changes = survey_changes(sites.select("_id", "infrastructure_id", "DATE"))
+    store_changes(changes, folder)
+    return snapshots(spark, folder).select("_id", "infrastructure_id", "over_year")
 
 
 @query(
