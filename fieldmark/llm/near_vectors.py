@@ -18,19 +18,19 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fieldmark.session import settle
 
 from .components import components
 
-#: Vectors that a cell should hold, and the most pivots of all labels together.
-CELL, PIVOTS = 8192, 2048
+#: Vectors that a cell should hold; the fewest pivots of a label, and the most of all labels together.
+CELL, LEAST, PIVOTS = 8192, 4, 2048
 #: Vectors of a cell that one block holds, and the side of the tiles they are compared in.
 BLOCK, TILE = 4096, 1024
 
-_CELLS = "label bigint, dim int, pivot int, lives boolean, rep bigint, hash bigint, n bigint, vec array<float>"
+_CELLS = "label bigint, dim int, pivot int, lives boolean, rep bigint, hash bigint, n bigint, vec array<{kind}>"
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -42,7 +42,7 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def _cell_rows(pivots: dict[tuple[int, int], np.ndarray], least: float) -> Callable:
+def _cell_rows(pivots: dict[tuple[int | None, int], np.ndarray], least: float) -> Callable:
     """Each vector where it lives and where it visits."""
     reach = float(np.sqrt(2 - 2 * least)) * (1 + 1e-9) + 1e-9
 
@@ -53,7 +53,7 @@ def _cell_rows(pivots: dict[tuple[int, int], np.ndarray], least: float) -> Calla
                 at = np.flatnonzero((label == key[0]) & (dim == key[1]))
                 for begin in range(0, len(at), TILE):
                     some = batch.take(pa.array(at[begin : begin + TILE]))
-                    points, centres = _unit(_matrix(some.column("vec"))), pivots.get(key)
+                    points, centres = _unit(_matrix(some.column("vec"))), pivots.get(key, pivots.get((None, key[1])))
                     if centres is None:
                         row, cell, home = np.arange(len(points)), np.zeros(len(points), np.int64), np.zeros(len(points), np.int64)
                     else:
@@ -159,6 +159,36 @@ def _link_rows(least: float) -> Callable:
     return rows
 
 
+def _pivots(classes: DataFrame) -> dict[tuple[int | None, int], np.ndarray]:
+    """Pivots by label and length, vectors of smallest hash: one for ``CELL`` vectors, but ``LEAST`` at least.
+
+    The largest labels have their own, up to ``PIVOTS`` in all; the others, where there are
+    so many labels, share some of the same length, under the label None.  Any vectors
+    do as pivots, so this decides only how cells come out.  Two jobs, whatever the number of labels.
+    """
+    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
+    most = PIVOTS // LEAST
+    told = sizes.orderBy(F.desc("size"), "label", "dim").limit(most).toPandas()  # bounded
+    told["wanted"] = np.maximum(LEAST, -(-told["size"] // CELL))
+    shrink = min(1.0, PIVOTS / max(1, int(told["wanted"].sum())))
+    told["wanted"] = np.maximum(LEAST, (told["wanted"] * shrink).astype(int))
+    if not len(told):
+        return {}
+    # a sample by hash that surely holds as many, of which a window takes the first
+    chosen = classes.sparkSession.createDataFrame(told[["label", "dim", "size", "wanted"]], "label bigint, dim int, size bigint, wanted bigint")
+    luck = F.pmod(F.xxhash64("hash", "rep"), F.lit(1 << 30)) / float(1 << 30)
+    sample = classes.join(F.broadcast(chosen), ["label", "dim"]).where(luck * F.col("size") <= 8 * F.col("wanted"))
+    place = F.row_number().over(Window.partitionBy("label", "dim").orderBy(F.xxhash64("hash"), "rep"))
+    picked = sample.withColumn("place", place).where("place <= wanted").select("label", "dim", "vec").toArrow()  # PIVOTS rows at most, or LEAST a label
+    label, dim = picked["label"].to_numpy(), picked["dim"].to_numpy()
+    pivots: dict[tuple[int | None, int], np.ndarray] = {}
+    for key in sorted(set(zip(label.tolist(), dim.tolist(), strict=True))):
+        own = picked.filter(pa.array((label == key[0]) & (dim == key[1])))
+        pivots[key] = _unit(_matrix(own["vec"].combine_chunks()))
+        pivots.setdefault((None, key[1]), pivots[key][:LEAST])
+    return pivots
+
+
 def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", vec_col: str = "embedding", label_col: str = "label") -> DataFrame:
     """(id, n_links, component_id, kept) of every row.
 
@@ -170,7 +200,9 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
     different lengths do not link.  Rows that repeat an id are one node among components,
     and each counts its own links.  A row with a null id is kept.
     """
-    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast("array<float>").alias("vec"), F.col(label_col).cast("bigint").alias("label"))
+    # single precision stays as it is, anything else is taken in double precision
+    kind = "float" if dict(vectors.dtypes)[vec_col] == "array<float>" else "double"
+    rows = vectors.select(F.col(id_col).cast("bigint").alias("id"), F.col(vec_col).cast(f"array<{kind}>").alias("vec"), F.col(label_col).cast("bigint").alias("label"))
     bad = F.exists("vec", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     fine = F.col("id").isNotNull() & F.col("label").isNotNull() & F.coalesce(~bad & F.exists("vec", lambda x: x != 0), F.lit(False))
     classes = settle(
@@ -178,21 +210,10 @@ def near_vectors(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id"
         .withColumns({"dim": F.size("vec"), "hash": F.xxhash64("label", "vec")})
     )
 
-    # pivots: of each label and length one for CELL vectors, PIVOTS in all at most, those of smallest hash
-    sizes = classes.groupBy("label", "dim").agg(F.count("*").alias("size"))
-    many = sizes.where(F.col("size") > CELL).withColumn("wanted", F.ceil(F.col("size") / CELL))
-    told = many.orderBy(F.desc("size"), "label", "dim").limit(PIVOTS // 2).toPandas()  # bounded
-    shrink = min(1.0, PIVOTS / max(1, int(told["wanted"].sum())))
-    pivots: dict[tuple[int, int], np.ndarray] = {}
-    for label, dim, wanted in zip(told["label"], told["dim"], told["wanted"], strict=True):
-        own = classes.where((F.col("label") == int(label)) & (F.col("dim") == int(dim)))
-        picked = own.orderBy(F.xxhash64("hash"), "rep").limit(max(2, int(wanted * shrink))).select("vec").toArrow()
-        pivots[int(label), int(dim)] = _unit(_matrix(picked["vec"].combine_chunks()))
-
+    pivots = _pivots(classes)
     keys = ["label", "dim", "pivot"]
-    cells = classes.select("label", "dim", "rep", "hash", "n", "vec").mapInArrow(_cell_rows(pivots, least), _CELLS)
-    if pivots:
-        cells = settle(cells)
+    cells = classes.select("label", "dim", "rep", "hash", "n", "vec").mapInArrow(_cell_rows(pivots, least), _CELLS.format(kind=kind))
+    cells = settle(cells)
     blocks = cells.where("lives").groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     placed = cells.join(blocks, keys).withColumn("home", F.pmod(F.col("hash"), F.col("blocks")).cast("int"))
     asked = placed.withColumns({"block": F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)), "own": F.lit(False)})

@@ -118,3 +118,28 @@ def test_vector_edges(spark):
     got = sorted((tuple(r) for r in V.near_vectors(vectors).collect()), key=str)
     assert got == [(4, 1, 4, True), (4, 1, 4, True), (None, 0, None, True)]
     assert V.near_vectors(vectors.limit(0)).count() == 0
+
+
+def test_labels_of_the_given_table_have_several_cells(spark):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = table.where("label is not null").selectExpr("cast(label as bigint) as label", "embedding as vec", "size(embedding) as dim", "vec_id as rep", "1L as n", "xxhash64(label, embedding) as hash")
+    pivots = V._pivots(rows)
+    cells = rows.select("label", "dim", "rep", "hash", "n", "vec").mapInArrow(V._cell_rows(pivots, 0.98), V._CELLS.format(kind="float"))
+    lived = {r.label: r.n for r in cells.where("lives").groupBy("label").agg({"pivot": "approx_count_distinct"}).toDF("label", "n").collect()}
+    assert lived and all(n > 1 for n in lived.values())
+    assert cells.where("lives").count() == rows.count()  # each vector lives in one cell
+
+
+def test_more_labels_than_pivots_and_double_precision(spark, monkeypatch):
+    monkeypatch.setattr(V, "PIVOTS", 8)
+    rng = random.Random(3)
+    data = []
+    for label in range(6):
+        base = [rng.gauss(0, 1) for _ in range(5)]
+        for k in range(6):
+            data.append((len(data), [x + (1e-9 * k if k < 3 else rng.gauss(0, 1)) for x in base], label))
+    table = spark.createDataFrame(data, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in V.near_vectors(table, 0.98).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v, _ in data}
+    want = {i: sum(1 for j, _, m in data if j != i and m == label and float(unit[i] @ unit[j]) >= 0.98) for i, _, label in data}
+    assert got == want
