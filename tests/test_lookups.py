@@ -41,16 +41,6 @@ def test_every_pair(spark, rows):
     assert got.count() == 21 and got.distinct().count() == 21
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
-def test_join_hot_equals_a_plain_join(spark, how):
-    r = random.Random(5)
-    left = spark.createDataFrame([(i, "hot" if r.random() < 0.7 else r.choice("abcz")) for i in range(300)], "i int, k string")
-    right = spark.createDataFrame([("hot", 1), ("a", 2), ("b", 3), ("q", 4)], "k string, v int")
-    got = lookups.join_hot(left, right, ["k"], ["i"], how)
-    want = left.join(right, "k", how)
-    assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
-
-
 def test_sums_are_conserved_up_the_hierarchy(spark):
     r = random.Random(8)
     facts = [
