@@ -1,30 +1,34 @@
 """LM scoring by masked pseudo-likelihood.
 
 Every word is masked in turn and predicted from the words on both sides; a document's
-score is the sum of the conditional log-probabilities.  The prediction has two levels.
-
-*Class.*  Words are hashed to buckets and buckets belong to classes: the most frequent
-have one of their own, the others share classes by bands of frequency.  A small network
-reads the classes on either side of a gap and gives a distribution over classes.  It is
-trained on counts of (left, masked, right) classes over all documents, and tabulated.
-
-*Word within the class.*  How often each word stands at each offset of each neighbour,
-WINDOW words to either side, is counted over all documents, word by word; so is how
-often each class does.  These tables grow with the input.  A word starts from its share
-of the class, and every neighbour, the farthest first, moves it towards what was seen
-beside that neighbour: p := (n(word, offset, neighbour) + m p) / (n(class, offset,
-neighbour) + m).  The gap that is asked for is left out of its own counts, and m is the
-one of STRENGTHS under which all documents together are likeliest.
-
-No table goes to the driver or to every task.  Texts are cut into chunks; a chunk sends
-the distinct keys it needs, with its own counts, to the buckets they hash to, a bucket
-adds up and answers in the same order, and the chunk's texts are scored beside the answers.
+score is the sum of the conditional log-probabilities.
+
+*Network.*  Words are hashed to buckets and buckets belong to classes: the most frequent
+have one of their own, the others share classes by bands of frequency.  A network reads
+two words on either side of a gap, the nearer by their classes, the farther by groups of
+classes, and gives a distribution over classes; times each word's share of its class it
+is one over words.  It is trained on counts of windows over all documents, and tabulated.
+
+*Words beside words.*  How often each word stands at each distance from each other, WINDOW
+words to either side, is counted over all documents; these counts grow with the input.
+Starting from the network's probability p, every neighbour, the farthest first, moves it
+towards what was seen beside that neighbour: p := (n(word, offset, neighbour) + m p) /
+(n(neighbour) + m).  What follows a neighbour, the end of a text included, so has a
+probability of 1 in all.  The gap that is asked for is left out of these counts, and m is
+the one of STRENGTHS under which all documents together are likeliest.
+
+*Counting.*  No table of words goes to the driver or to every task.  Texts are cut into
+chunks, and a chunk sends its distinct keys with their counts up a tree.  On each level a
+node is a range of keys for FAN times as many chunks as one level below: it adds up what
+FAN nodes send it, and sends a FANth of its range to each of FAN nodes above.  So rows and
+bytes of a level are in proportion to the input, a node holds about as much as a chunk
+does, and a word of all chunks comes to a node once for each of its FAN senders.  The top
+knows the sums over all chunks, which come down again the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -37,30 +41,38 @@ from ..session import settle
 from .words import PART, Words, mix, parts, words_of
 
 _U = np.uint64
-#: log2 of the number of word buckets; classes; buckets with a class of their own; width of the hidden layer.
-BITS, CLASSES, OWN, WIDTH = 16, 64, 40, 48
-#: Steps and rate of training; counts added to every bucket of a class.
-STEPS, RATE, SMOOTH = 400, 0.03, 0.5
-#: Neighbours to either side that the word within its class depends on; how much their counts must outweigh.
+#: log2 of the number of word buckets; classes; buckets with a class of their own; groups of classes; width of the hidden layer.
+BITS, CLASSES, OWN, GROUPS, WIDTH = 16, 32, 20, 4, 48
+#: What may stand on either side of a gap, the farther left first.
+SIDES = (GROUPS + 1, CLASSES + 1, CLASSES + 1, GROUPS + 1)
+CONTEXTS = SIDES[0] * SIDES[1] * SIDES[2] * SIDES[3]
+#: Steps and rate of training.
+STEPS, RATE = 300, 0.03
+#: Neighbours to either side whose counts are kept; how much those counts must outweigh.
 WINDOW, STRENGTHS = 2, (1.0, 8.0, 64.0, 512.0, 4096.0)
-#: Bytes of text whose keys are looked up at once; words of the corpus for each bucket of keys.
-CHUNK, BUCKET = 4 << 20, 1 << 19
-#: Numbers kept for a neighbour: each class at each offset, and how often it stands anywhere.
-CODES = 2 * WINDOW * CLASSES + 1
+#: Bytes of text whose keys are looked up at once; log2 of the senders of a node.
+CHUNK, FAN_BITS = 8 << 20, 8
+#: A key has so many bits more than the number of keys of all texts, so that about one in 2^SPARE meets another.
+SPARE = 20
 
 
 def _buckets(found: Words) -> np.ndarray:
     return (found.hashes(lower=True) >> _U(64 - BITS)).astype(np.int64)
 
 
-def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Class left of, at and right of each word; beyond a text's ends stands class CLASSES."""
+def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context and class of each word; beyond a text's ends stands class CLASSES, group GROUPS."""
     own = classes[_buckets(found)].astype(np.int64)
-    left, right = np.append(CLASSES, own[:-1]), np.append(own[1:], CLASSES)
-    some = found.counts > 0
-    left[found.first[:-1][some]] = CLASSES
-    right[found.first[1:][some] - 1] = CLASSES
-    return left, own, right
+    owner = np.repeat(np.arange(len(found.counts)), found.counts)
+    context = np.zeros(len(own), np.int64)
+    for offset, size in zip((-2, -1, 1, 2), SIDES, strict=True):
+        beside = np.full(len(own), size - 1)
+        far = abs(offset)
+        gap, neighbour = (slice(far, None), slice(None, -far)) if offset < 0 else (slice(None, -far), slice(far, None))
+        known = own[neighbour] if far == 1 else own[neighbour] * GROUPS // CLASSES
+        beside[gap] = np.where(owner[gap] == owner[neighbour], known, size - 1)
+        context = context * size + beside
+    return context, own
 
 
 def _counted(docs: DataFrame, count: Callable[[Words], np.ndarray], size: int) -> np.ndarray:
@@ -95,25 +107,25 @@ def bucket_classes(counts: np.ndarray) -> np.ndarray:
 
 
 class WindowNetwork:
-    """Two embeddings, one per side, a hidden layer and a softmax over classes."""
+    """Four embeddings, one per place in the window, a hidden layer and a softmax over classes."""
 
     def __init__(self, seed: int = 0):
         rng = np.random.default_rng(seed)
-        self.weights = [
-            rng.normal(0, 0.3, (CLASSES + 1, WIDTH)), rng.normal(0, 0.3, (CLASSES + 1, WIDTH)), np.zeros(WIDTH),
-            rng.normal(0, 0.1, (WIDTH, CLASSES)), np.zeros(CLASSES),
-        ]
+        places = [rng.normal(0, 0.3, (size, WIDTH)) for size in SIDES]
+        self.weights = [*places, np.zeros(WIDTH), rng.normal(0, 0.1, (WIDTH, CLASSES)), np.zeros(CLASSES)]
 
     def forward(self) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden layer and log-probabilities of every (left, right) context."""
-        left, right, bias, out, base = self.weights
-        hidden = np.tanh(left[:, None, :] + right[None, :, :] + bias).reshape(-1, WIDTH)
+        """Hidden layer and log-probabilities of every context."""
+        *places, bias, out, base = self.weights
+        left = (places[0][:, None] + places[1] + bias).reshape(-1, WIDTH)
+        right = (places[2][:, None] + places[3]).reshape(-1, WIDTH)
+        hidden = np.tanh(left[:, None] + right).reshape(-1, WIDTH)
         logits = hidden @ out + base
         logits -= logits.max(axis=1, keepdims=True)
         return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
     def train(self, counts: np.ndarray, steps: int = STEPS, rate: float = RATE) -> list[float]:
-        """``counts``: of (left, right) contexts x masked classes.  Loss per masked word after each step."""
+        """``counts``: of contexts x masked classes.  Loss per masked word after each step."""
         total = max(counts.sum(), 1.0)
         target, weight = counts / total, counts.sum(axis=1, keepdims=True) / total
         first, second = ([np.zeros_like(w) for w in self.weights] for _ in range(2))
@@ -122,9 +134,10 @@ class WindowNetwork:
             hidden, logs = self.forward()
             losses.append(float(-(target * logs).sum()))
             error = np.exp(logs) * weight - target
-            back = (error @ self.weights[3].T) * (1 - hidden**2)
-            grid = back.reshape(CLASSES + 1, CLASSES + 1, WIDTH)
-            slopes = [grid.sum(axis=1), grid.sum(axis=0), back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
+            back = (error @ self.weights[5].T) * (1 - hidden**2)
+            grid = back.reshape(*SIDES, WIDTH)
+            left, right = grid.sum(axis=(2, 3)), grid.sum(axis=(0, 1))
+            slopes = [left.sum(axis=1), left.sum(axis=0), right.sum(axis=1), right.sum(axis=0), back.sum(axis=0), hidden.T @ error, error.sum(axis=0)]
             for i, slope in enumerate(slopes):
                 first[i] = 0.9 * first[i] + 0.1 * slope
                 second[i] = 0.999 * second[i] + 0.001 * slope**2
@@ -148,47 +161,16 @@ def _chunked(size: int) -> Callable:
     return rows
 
 
-@dataclass
-class Examples:
-    """What a chunk's gaps ask for: sorted distinct keys with their counts in the chunk or, instead, each gap's places among them."""
-
-    words: np.ndarray
-    codes: np.ndarray
-    code_counts: np.ndarray
-    pairs: np.ndarray
-    pair_counts: np.ndarray
-    #: Place of each word's own count among the codes.
-    alone: np.ndarray
-    #: (gaps, their pairs, their codes) of every offset, the farthest first.
-    sides: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
-
-    def cuts(self, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Where each bucket begins among words, codes and pairs."""
-        edges = np.array([((b << 64) + buckets - 1) // buckets for b in range(buckets)], _U)
-        words = np.append(np.searchsorted(self.words, edges), len(self.words))
-        return words, np.searchsorted(self.codes, words * CODES), np.append(np.searchsorted(self.pairs, edges), len(self.pairs))
-
-
-def _examples(found: Words, classes: np.ndarray, places: bool = False) -> Examples:
+def _keys(found: Words, bits: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
+    """A key for each word, then one for each pair of words at each distance, and the words of those pairs."""
     hashes = found.hashes(lower=True)
-    words, word = np.unique(hashes, return_inverse=True)
-    own = classes[(words >> _U(64 - BITS)).astype(np.int64)][word]
     owner = np.repeat(np.arange(len(found.counts)), found.counts)
-    codes, pairs, gaps = [word * CODES + CODES - 1], [], []
+    keys, pairs = [mix(hashes)], []
     for far in range(WINDOW, 0, -1):
         a = np.flatnonzero(owner[far:] == owner[:-far])
-        b = a + far
-        pairs.append(mix(hashes[a] * _U(0x9FB21C651E98DF25) + hashes[b] * _U(2 * far + 1)))
-        codes.append(word[b] * CODES + (2 * far - 2) * CLASSES + own[a])
-        codes.append(word[a] * CODES + (2 * far - 1) * CLASSES + own[b])
-        gaps += [a, b]
-    made = [np.unique(np.concatenate(x), return_inverse=places, return_counts=not places) for x in (codes, pairs)]
-    if not places:
-        return Examples(words, *made[0], *made[1], word[:0], [])
-    code_places = np.split(made[0][1], np.cumsum([len(x) for x in codes])[:-1])
-    pair_places = np.split(made[1][1], np.cumsum([len(x) for x in pairs])[:-1])
-    sides = [(gap, pair_places[i // 2], code_places[i + 1]) for i, gap in enumerate(gaps)]
-    return Examples(words, made[0][0], word[:0], made[1][0], word[:0], code_places[0], sides)
+        pairs.append((a, a + far))
+        keys.append(mix(hashes[a] * _U(0x9FB21C651E98DF25) + hashes[a + far] * _U(2 * far + 1)))
+    return np.concatenate(keys) >> _U(64 - bits), pairs
 
 
 def _packed(values: np.ndarray, kind: type) -> bytes:
@@ -203,116 +185,167 @@ def _unpacked(packed: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(width, -1).T).reshape(-1).view(kind)
 
 
-def _steps(keys: np.ndarray) -> np.ndarray:
-    return np.diff(keys, prepend=keys.dtype.type(0))
+#: ``slot`` and ``range`` name a node, ``sender`` and ``place`` who asks and which part of its sorted keys.
+_ASKED = "slot bigint, range bigint, sender bigint, place int, keys binary, counts binary"
+_ANSWERED = "slot bigint, range bigint, place int, counts binary"
+
 
+def _sent(keys: np.ndarray, counts: np.ndarray, slot: int, sender: int, node: int, fan: int, low: int) -> pa.Table:
+    """Rows for the nodes above: sorted ``keys`` of range ``node`` cut by the ``fan`` bits above the lowest ``low``."""
+    cuts = np.searchsorted(keys, (np.arange(1, 1 << fan, dtype=np.uint64) + _U(node << fan)) << _U(low))
+    cuts = np.concatenate([[0], cuts, [len(keys)]])
+    some = np.flatnonzero(np.diff(cuts)).tolist()
+    blobs = [(_packed(np.diff(keys[cuts[i] : cuts[i + 1]], prepend=_U(0)), np.uint64), _packed(counts[cuts[i] : cuts[i + 1]], np.int64)) for i in some]
+    n = len(some)
+    arrays = [
+        pa.array([slot] * n, pa.int64()), pa.array([(node << fan) + i for i in some], pa.int64()), pa.array([sender] * n, pa.int64()),
+        pa.array(some, pa.int32()), pa.array([k for k, _ in blobs], pa.binary()), pa.array([c for _, c in blobs], pa.binary()),
+    ]
+    return pa.Table.from_arrays(arrays, names=["slot", "range", "sender", "place", "keys", "counts"])
 
-_ASKED = "bucket int, chunk bigint, words binary, codes binary, code_counts binary, pairs binary, pair_counts binary"
-_ANSWERED = "chunk bigint, bucket int, codes binary, pairs binary"
 
+def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys of a node with their sums, and of each row of ``table`` the places of its keys and where they end."""
+    each = [np.cumsum(_unpacked(x, np.uint64), dtype=_U) for x in table["keys"].to_pylist()]
+    keys, back = np.unique(np.concatenate(each), return_inverse=True)
+    sums = np.zeros(len(keys), np.int64)
+    np.add.at(sums, back, np.concatenate([_unpacked(x, np.int64) for x in table["counts"].to_pylist()]))
+    return keys, sums, back, np.cumsum([len(x) for x in each])
+
+
+def _asked(slots: int, bits: int, fan: int) -> Callable:
+    """What a chunk sends to the lowest nodes."""
 
-def _asked(classes: np.ndarray, buckets: int) -> Callable:
     def ask(table: pa.Table) -> pa.Table:
-        found, rows = words_of(_texts(table)), []
-        if len(found.start):
-            made = _examples(found, classes)
-            w, c, p = made.cuts(buckets)
-            for b in np.flatnonzero((np.diff(w) > 0) | (np.diff(p) > 0)).tolist():
-                words, codes, pairs = slice(w[b], w[b + 1]), slice(c[b], c[b + 1]), slice(p[b], p[b + 1])
-                rows.append((
-                    b, _packed(_steps(made.words[words]), np.uint64), _packed(_steps(made.codes[codes] - w[b] * CODES), np.uint32),
-                    _packed(made.code_counts[codes], np.uint32), _packed(_steps(made.pairs[pairs]), np.uint64), _packed(made.pair_counts[pairs], np.uint32),
-                ))
-        bucket, *blobs = zip(*rows, strict=True) if rows else [()] * 6
-        chunk = [table["chunk"][0].as_py()] * len(rows) if rows else []
-        names = ["bucket", "chunk", "words", "codes", "code_counts", "pairs", "pair_counts"]
-        return pa.Table.from_arrays([pa.array(bucket, pa.int32()), pa.array(chunk, pa.int64()), *[pa.array(x, pa.binary()) for x in blobs]], names=names)
+        chunk, found = table["chunk"][0].as_py(), words_of(_texts(table))
+        keys, counts = np.unique(_keys(found, bits)[0], return_counts=True)
+        slot = int(mix(np.array([chunk], _U))[0]) % slots
+        return _sent(keys, counts, slot >> fan, chunk, 0, fan, bits - fan)
 
     return ask
 
 
-def _added(keys: np.ndarray, counts: np.ndarray, ends: np.ndarray) -> list[bytes]:
-    """The sum over equal keys in the place of each, row by row."""
-    back = np.unique(keys, return_inverse=True)[1]
-    total = np.bincount(back, counts) if len(keys) else np.zeros(0)
-    return [_packed(x, np.int64) for x in np.split(total[back].astype(np.int64), ends[:-1])]
+def _passed_up(fan: int, low: int) -> Callable:
+    """What a node sends to the nodes above it, once it has added up its rows."""
+
+    def up(table: pa.Table) -> pa.Table:
+        slot, node = table["slot"][0].as_py(), table["range"][0].as_py()
+        keys, sums, _, _ = _received(table)
+        return _sent(keys, sums, slot >> fan, slot, node, fan, low)
+
+    return up
+
+
+def _told(answers: pa.Table) -> np.ndarray:
+    """Sums of all sorted keys of a sender, from the answers to its parts."""
+    return np.concatenate([_unpacked(x, np.int64) for x in answers.sort_by("place")["counts"].to_pylist()])
+
+
+def _answers(table: pa.Table, fan: int, answers: pa.Table | None = None) -> pa.Table:
+    """For each of a node's senders the sums over all chunks: its own at the top, else those that ``answers`` tell.
+
+    A sender goes by its slot, or its chunk on the lowest level.
+    """
+    keys, sums, back, ends = _received(table)
+    if answers is not None:
+        sums = _told(answers)
+    if len(sums) != len(keys):
+        raise RuntimeError("the answers are not those of this node's keys")
+    blobs = [_packed(x, np.int64) for x in np.split(sums[back], ends[:-1])]
+    arrays = [table["sender"], pc.shift_right(table["range"], fan), table["place"], pa.array(blobs, pa.binary())]
+    return pa.Table.from_arrays(arrays, names=["slot", "range", "place", "counts"])
+
+
+def _top(fan: int) -> Callable:
+    def answer(table: pa.Table) -> pa.Table:
+        return _answers(table, fan)
+
+    return answer
+
+
+def _passed_down(fan: int) -> Callable:
+    def answer(table: pa.Table, answers: pa.Table) -> pa.Table:
+        return _answers(table, fan, answers)
 
+    return answer
 
-def _answered(table: pa.Table) -> pa.Table:
-    def column(name: str, kind: type, summed: bool = False) -> list[np.ndarray]:
-        each = [_unpacked(x, kind) for x in table[name].to_pylist()]
-        return [np.cumsum(x, dtype=_U) for x in each] if summed else each
 
-    words, codes, pairs = column("words", np.uint64, True), column("codes", np.uint32, True), column("pairs", np.uint64, True)
-    known = np.unique(np.concatenate(words))
-    full = [np.searchsorted(known, w)[(c // _U(CODES)).astype(np.int64)] * CODES + (c % _U(CODES)).astype(np.int64) for w, c in zip(words, codes, strict=True)]
-    code_sums = _added(np.concatenate(full), np.concatenate(column("code_counts", np.uint32)), np.cumsum([len(x) for x in full]))
-    pair_sums = _added(np.concatenate(pairs), np.concatenate(column("pair_counts", np.uint32)), np.cumsum([len(x) for x in pairs]))
-    arrays = [table["chunk"], table["bucket"], pa.array(code_sums, pa.binary()), pa.array(pair_sums, pa.binary())]
-    return pa.Table.from_arrays(arrays, names=["chunk", "bucket", "codes", "pairs"])
+def _summed(asked: DataFrame, depth: int, fan: int, bits: int) -> DataFrame:
+    """Answers to all that chunks ask for, by a tree of ``depth`` levels; ``slot`` is the chunk."""
+    levels = [asked]
+    for level in range(1, depth):
+        levels[-1] = settle(levels[-1])  # it is read on the way up and down
+        levels.append(levels[-1].groupBy("slot", "range").applyInArrow(_passed_up(fan, bits - fan * (level + 1)), _ASKED))
+    answers = levels.pop().groupBy("slot", "range").applyInArrow(_top(fan), _ANSWERED)
+    while levels:
+        answers = levels.pop().groupBy("slot", "range").cogroup(answers.groupBy("slot", "range")).applyInArrow(_passed_down(fan), _ANSWERED)
+    return answers
 
 
 def _texts(table: pa.Table) -> pa.Array:
     return pa.concat_arrays([x.cast(pa.large_string()) for x in table["text"].chunks] or [pa.array([], pa.large_string())])
 
 
-def _scored(classes: np.ndarray, table: np.ndarray, inside: np.ndarray, counts: np.ndarray) -> Callable:
-    """Scores of a chunk's texts under each of STRENGTHS.  ``inside``: log of the buckets' shares of their classes."""
+def _scored(classes: np.ndarray, table: np.ndarray, mass: np.ndarray, bits: int) -> Callable:
+    """Scores of a chunk's texts under each of STRENGTHS.  ``mass``: words of each class."""
 
     def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
         found = words_of(_texts(docs))
+        n, owner = len(found.start), np.repeat(np.arange(docs.num_rows), found.counts)
         sums = [np.zeros(docs.num_rows) for _ in STRENGTHS]
-        if len(found.start):
-            made = _examples(found, classes, places=True)
-            answers = answers.sort_by("bucket")
-            seen, together = (np.concatenate([_unpacked(x, np.int64) for x in answers[name].to_pylist()]) for name in ("codes", "pairs"))
-            if len(seen) != len(made.codes) or len(together) != len(made.pairs):
+        if n:
+            keys, pairs = _keys(found, bits)
+            distinct, place = np.unique(keys, return_inverse=True)
+            told = _told(answers)
+            if len(told) != len(distinct):
                 raise RuntimeError("the answers are not those of this chunk's keys")
-            left, own, right = _gaps(found, classes)
-            bucket = _buckets(found)
-            share = np.exp(inside[bucket]) * seen[made.alone] / counts[bucket]
-            first = table[left * (CLASSES + 1) + right, own].astype(np.float64)
-            owner = np.repeat(np.arange(docs.num_rows), found.counts)
-            each = [share.copy() for _ in STRENGTHS]
-            for gap, pair, code in made.sides:
-                others, all_others = together[pair] - 1.0, seen[code] - 1.0
-                for p, strength in zip(each, STRENGTHS, strict=True):
-                    p[gap] = (others + strength * p[gap]) / (all_others + strength)
-            sums = [np.bincount(owner, first + np.log(p), docs.num_rows) for p in each]
+            seen = told[place].astype(np.float64)
+            alone, beside = seen[:n], np.split(seen[n:], np.cumsum([len(a) for a, _ in pairs])[:-1])
+            context, own = _gaps(found, classes)
+            first = np.exp(table[context, own].astype(np.float64)) * alone / mass[own]
+            for total, strength in zip(sums, STRENGTHS, strict=True):
+                p = first.copy()
+                for (a, b), together in zip(pairs, beside, strict=True):
+                    for gap, neighbour in ((b, a), (a, b)):
+                        p[gap] = (together - 1 + strength * p[gap]) / (alone[neighbour] - 1 + strength)
+                total += np.bincount(owner, np.log(p), docs.num_rows)
         names = ["id", "n_tokens", *[f"s{i}" for i in range(len(STRENGTHS))]]
         return pa.Table.from_arrays([docs["id"], pa.array(found.counts), *map(pa.array, sums)], names=names)
 
     return score
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, bucket: int = BUCKET) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, fan: int = FAN_BITS) -> DataFrame:
     """(id, n_tokens, log_likelihood, mean_log_likelihood) of every text, under a model trained on all texts.
 
     Defined cases.  A text without words, or null, has log_likelihood 0 and a null mean.
     Rows that repeat count and train as often.  Ids may be null.  Words are taken whole,
-    A-Z as a-z; the ends of a text are context of their own.
+    A-Z as a-z; the ends of a text are context of their own.  A text longer than a chunk
+    is a chunk by itself.  Other columns are not read.
     """
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = settle(rows.mapInArrow(_chunked(chunk), f"chunk bigint, id {kind}, text string"))  # chunks must stay as they are
     counts = _counted(rows, lambda found: np.bincount(_buckets(found), minlength=1 << BITS), 1 << BITS)
     classes = bucket_classes(counts)
-    contexts = (CLASSES + 1) ** 2
 
-    def triples(found: Words) -> np.ndarray:
-        left, own, right = _gaps(found, classes)
-        return np.bincount((left * (CLASSES + 1) + right) * CLASSES + own, minlength=contexts * CLASSES)
+    def seen(found: Words) -> np.ndarray:
+        context, own = _gaps(found, classes)
+        return np.bincount(context * CLASSES + own, minlength=CONTEXTS * CLASSES)
 
     network = WindowNetwork()
-    network.train(_counted(rows, triples, contexts * CLASSES).reshape(contexts, CLASSES).astype(float))
+    network.train(_counted(rows, seen, CONTEXTS * CLASSES).reshape(CONTEXTS, CLASSES).astype(float))
     table = network.forward()[1].astype(np.float32)
-    smooth = counts + SMOOTH
-    inside = np.log(smooth / np.bincount(classes, smooth, CLASSES)[classes])
-    asked = rows.groupBy("chunk").applyInArrow(_asked(classes, 1 + int(counts.sum()) // bucket), _ASKED)
-    answered = asked.groupBy("bucket").applyInArrow(_answered, _ANSWERED)
+    mass = np.bincount(classes, counts, CLASSES)
+    chunks = rows.select("chunk").distinct().count()
+    depth = max(1, -(-max(chunks - 1, 0).bit_length() // fan))
+    keys = int(counts.sum()) * (1 + WINDOW)
+    bits = min(64, max(keys.bit_length() + SPARE, fan * depth))
+    asked = rows.groupBy("chunk").applyInArrow(_asked(1 << (fan * depth), bits, fan), _ASKED)
+    answered = _summed(asked, depth, fan, bits).withColumnRenamed("slot", "chunk")
     sums = [f"s{i}" for i in range(len(STRENGTHS))]
     kinds = ", ".join(f"{s} double" for s in sums)
-    score = _scored(classes, table, inside, counts)
+    score = _scored(classes, table, mass, bits)
     scored = settle(rows.groupBy("chunk").cogroup(answered.groupBy("chunk")).applyInArrow(score, f"id {kind}, n_tokens bigint, {kinds}"))
     totals = scored.agg(*[F.coalesce(F.sum(s), F.lit(0.0)).alias(s) for s in sums]).first()
     best = F.col(max(sums, key=lambda s: totals[s]))

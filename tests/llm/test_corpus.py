@@ -24,90 +24,84 @@ def language(rng, n):
     return out
 
 
+def plain_scores(texts):
+    """Scores by loops over words: classes and the network are the module's, contexts and counts are not."""
+    lists = [(t or "").lower().split() for t in texts]
+    words = [w for t in lists for w in t]
+    bucket = dict(zip(words, L._buckets(words_of(pa.array([" ".join(words)]))), strict=True))
+    classes = L.bucket_classes(np.bincount([bucket[w] for w in words], minlength=1 << L.BITS))
+    of = {w: int(classes[bucket[w]]) for w in words}
+
+    def context(t, k):
+        out = 0
+        for o, size in zip((-2, -1, 1, 2), L.SIDES, strict=True):
+            there = 0 <= k + o < len(t)
+            c = of[t[k + o]] if there else None
+            out = out * size + (size - 1 if c is None else c if abs(o) == 1 else c * L.GROUPS // L.CLASSES)
+        return out
+
+    examples, mass, alone, pairs = np.zeros((L.CONTEXTS, L.CLASSES)), Counter(), Counter(words), Counter()
+    for t in lists:
+        for k, w in enumerate(t):
+            examples[context(t, k), of[w]] += 1
+            mass[of[w]] += 1
+            pairs.update((w, o, t[k + o]) for o in (-2, -1, 1, 2) if 0 <= k + o < len(t))
+    network = L.WindowNetwork()
+    losses = network.train(examples)
+    table, every = network.forward()[1], []
+    for strength in L.STRENGTHS:
+        each = []
+        for t in lists:
+            total = 0.0
+            for k, w in enumerate(t):
+                p = np.exp(table[context(t, k), of[w]]) * alone[w] / mass[of[w]]
+                for o in (-2, 2, -1, 1):
+                    if 0 <= k + o < len(t):
+                        p = (pairs[w, o, t[k + o]] - 1 + strength * p) / (alone[t[k + o]] - 1 + strength)
+                total += np.log(p)
+            each.append(total)
+        every.append(each)
+    return max(every, key=sum), losses
+
+
 def test_scores_against_a_plain_sum_and_shuffled_texts(spark):
     rng = random.Random(4)
     texts = [language(rng, rng.randint(30, 80)) for _ in range(150)]
     mixed = [rng.sample(t, len(t)) for t in texts[:30]]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(mixed)] + [(2000, None), (2001, " ")]
-    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, k int").repartition(3)
+    docs = spark.createDataFrame([(i, t, 0, "x") for i, t in rows], "doc_id long, text string, chunk int, slot string").repartition(3)
     got = {r.doc_id: r for r in L.pseudo_likelihood(docs).collect()}
     assert (got[2000].n_tokens, got[2000].log_likelihood, got[2000].mean_log_likelihood) == (0, 0.0, None) == tuple(got[2001])[1:]
     # held in order, the same words are far likelier than shuffled
     assert sum(got[i].log_likelihood > got[1000 + i].log_likelihood for i in range(30)) >= 29
-    found = words_of(pa.array([t for _, t in rows]))
-    counts = np.bincount(L._buckets(found), minlength=1 << L.BITS)
-    classes = L.bucket_classes(counts)
-    left, own, right = L._gaps(found, classes)
-    table = np.zeros(((L.CLASSES + 1) ** 2, L.CLASSES))
-    for a, b, c in zip(left, own, right, strict=True):
-        table[a * (L.CLASSES + 1) + c, b] += 1
-    network = L.WindowNetwork()
-    losses = network.train(table)
+    want, losses = plain_scores([t for _, t in rows])
     assert losses[-1] < 0.6 * losses[0]
-    logs = network.forward()[1]
-    smooth = counts + L.SMOOTH
-    for i in (0, 7, 100):
-        total = 0.0
-        for k in range(found.first[i], found.first[i + 1]):
-            bucket = L._buckets(found)[k]
-            total += logs[left[k] * (L.CLASSES + 1) + right[k], own[k]] + np.log(smooth[bucket] / smooth[classes == classes[bucket]].sum())
-        assert abs(total - got[i].log_likelihood) < 1e-2
-
-
-def test_words_within_a_class_are_told_by_their_neighbours(spark):
-    """A vocabulary far larger than the classes, in many chunks and buckets, against plain counts."""
+    assert all(abs(score - got[i].log_likelihood) < 1e-2 for (i, _), score in zip(rows, want, strict=True))
+
+
+def test_words_are_told_by_their_neighbours(spark):
+    """A vocabulary far larger than the classes, a word of all chunks, a text of several chunks, a tree of many levels."""
     rng = random.Random(8)
     texts = []
     for _ in range(400):
         heads = [rng.randrange(600) for _ in range(15)]
-        texts.append([w for h in heads for w in (f"A{h}", f"b{h * 7 % 600}", f"c{h * 11 % 600}")])
+        texts.append([w for h in heads for w in (f"A{h}", f"b{h * 7 % 600}", f"c{h * 11 % 600}")] + ["the"])
     wrong = [[w if w[0] != "b" else f"b{rng.randrange(600)}" for w in t] for t in texts[:40]]
-    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(wrong)] + [(None, "a1"), (None, "alone beside")]
+    long = [w for t in texts[100:200] for w in t]
+    odd = [(None, "a1"), (None, "alone beside"), (7, "a7 b49"), (7, "a7 b49"), (3000, " ".join(long))]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(wrong)] + odd
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    result = L.pseudo_likelihood(docs, chunk=6000, bucket=1500).collect()
+    result = L.pseudo_likelihood(docs, chunk=6000, fan=2).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in result) == sorted((i or -1, len(t.split())) for i, t in rows)
-    got = {r.doc_id: r.log_likelihood for r in result if r.doc_id is not None}
-    assert all(got[i] > got[1000 + i] + 10 for i in range(40))
-
-    found = words_of(pa.array([t for _, t in rows]))
-    buckets = L._buckets(found)
-    counts = np.bincount(buckets, minlength=1 << L.BITS)
-    classes = L.bucket_classes(counts)
-    left, own, right = L._gaps(found, classes)
-    examples = np.zeros(((L.CLASSES + 1) ** 2, L.CLASSES))
-    np.add.at(examples, (left * (L.CLASSES + 1) + right, own), 1)
-    network = L.WindowNetwork()
-    network.train(examples)
-    first = network.forward()[1][left * (L.CLASSES + 1) + right, own]
-    smooth = counts + L.SMOOTH
-    share = smooth / np.bincount(classes, smooth, L.CLASSES)[classes]
-    words = [w for _, t in rows for w in t.lower().split()]
-    alone, pairs, dens = Counter(words), Counter(), Counter()
-    offsets = [o for d in range(L.WINDOW, 0, -1) for o in (d, -d)]
-
-    def sides(a, b, k):
-        return [(o, words[k + o]) for o in offsets if a <= k + o < b]
-
-    spans = list(zip(found.first, found.first[1:], strict=False))
-    for a, b in spans:
-        for k in range(a, b):
-            for o, n in sides(a, b, k):
-                pairs[words[k], o, n] += 1
-                dens[own[k], o, n] += 1
-    totals = []
-    for strength in L.STRENGTHS:
-        each = []
-        for a, b in spans:
-            total = 0.0
-            for k in range(a, b):
-                p = share[buckets[k]] * alone[words[k]] / counts[buckets[k]]
-                for o, n in sides(a, b, k):
-                    p = (pairs[words[k], o, n] - 1 + strength * p) / (dens[own[k], o, n] - 1 + strength)
-                total += first[k] + np.log(p)
-            each.append(total)
-        totals.append(each)
-    best = max(totals, key=sum)
-    assert all(abs(total - got[i]) < 1e-2 for (i, _), total in zip(rows, best, strict=True) if i is not None)
+    assert sorted(r.log_likelihood for r in result if r.doc_id == 7)[1:] == [max(r.log_likelihood for r in result if r.doc_id == 7)] * 2
+    got = {r.doc_id: r.log_likelihood for r in result if r.doc_id not in (None, 7)}
+    assert all(got[i] > got[1000 + i] + 10 for i in range(40) if i != 7)
+    want = plain_scores([t for _, t in rows])[0]
+    assert all(abs(score - got[i]) < 2e-2 for (i, _), score in zip(rows, want, strict=True) if i in got)
+    again = L.pseudo_likelihood(docs).collect()  # one level
+    key = lambda r: (r.doc_id or -1, r.n_tokens, round(r.log_likelihood, 2))
+    assert [key(r)[:2] for r in sorted(again, key=key)] == [key(r)[:2] for r in sorted(result, key=key)]
+    assert all(abs(a.log_likelihood - b.log_likelihood) < 1e-3 for a, b in zip(sorted(again, key=key), sorted(result, key=key), strict=True))
 
 
 def test_scores_of_nothing(spark):
