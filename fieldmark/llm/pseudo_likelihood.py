@@ -75,20 +75,57 @@ def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return context, own
 
 
-def _counted(docs: DataFrame, count: Callable[[Words], np.ndarray], size: int) -> np.ndarray:
+def _stored(rows: list[pa.RecordBatch]) -> bytes:
+    """Ids and texts of a chunk, compressed."""
+    out = pa.BufferOutputStream()
+    with pa.ipc.new_stream(out, rows[0].schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_table(pa.Table.from_batches(rows).combine_chunks())
+    return out.getvalue().to_pybytes()
+
+
+def _documents(stored: pa.Scalar) -> pa.Table:
+    return pa.ipc.open_stream(stored.as_buffer()).read_all()
+
+
+def _chunked(size: int) -> Callable:
+    """A row for each chunk, of ``size`` bytes of text or one longer text."""
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, held, taken = TaskContext.get().partitionId() << 32, 0, []
+
+        def row() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), pa.array([_stored(taken)], pa.binary())], ["chunk", "docs"])
+
+        for batch in batches:
+            for part in parts(batch, "text", min(size, PART)):
+                more = (pc.sum(pc.binary_length(part.column("text"))).as_py() or 0) + 64 * part.num_rows
+                if taken and held + more > size:
+                    yield row()
+                    chunk, held, taken = chunk + 1, 0, []
+                held += more
+                taken.append(part)
+        if taken:
+            yield row()
+
+    return rows
+
+
+def _counted(chunks: DataFrame, count: Callable[[Words], np.ndarray], size: int) -> np.ndarray:
     """Sum over all texts of small vectors of counts, ``size`` long."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size, np.int64)
         for batch in batches:
-            for part in parts(batch, "text"):
-                found = words_of(part.column("text"))
-                if len(found.start):
-                    total += count(found)
+            for stored in batch.column("docs"):
+                for part in _documents(stored).to_batches():
+                    for piece in parts(part, "text"):
+                        found = words_of(piece.column("text"))
+                        if len(found.start):
+                            total += count(found)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["k", "n"])
 
-    counts = docs.select("text").mapInArrow(rows, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # ``size`` rows at most
+    counts = chunks.select("docs").mapInArrow(rows, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).toArrow()  # ``size`` rows at most
     out = np.zeros(size, np.int64)
     out[counts["k"].to_numpy()] = counts["n"].to_numpy()
     return out
@@ -145,22 +182,6 @@ class WindowNetwork:
         return losses
 
 
-def _chunked(size: int) -> Callable:
-    """Rows with the chunk they belong to, of ``size`` bytes or one longer text."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, held = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            for part in parts(batch, "text", min(size, PART)):
-                more = (pc.sum(pc.binary_length(part.column("text"))).as_py() or 0) + 64 * part.num_rows
-                if held and held + more > size:
-                    chunk, held = chunk + 1, 0
-                held += more
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, chunk)), *part.columns], ["chunk", *part.schema.names])
-
-    return rows
-
-
 def _keys(found: Words, bits: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
     """A key for each word, then one for each pair of words at each distance, and the words of those pairs."""
     hashes = found.hashes(lower=True)
@@ -214,13 +235,14 @@ def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.n
 
 
 def _asked(slots: int, bits: int, fan: int) -> Callable:
-    """What a chunk sends to the lowest nodes."""
+    """What chunks send to the lowest nodes."""
 
-    def ask(table: pa.Table) -> pa.Table:
-        chunk, found = table["chunk"][0].as_py(), words_of(_texts(table))
-        keys, counts = np.unique(_keys(found, bits)[0], return_counts=True)
-        slot = int(mix(np.array([chunk], _U))[0]) % slots
-        return _sent(keys, counts, slot >> fan, chunk, 0, fan, bits - fan)
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, stored in zip(batch.column("chunk").to_pylist(), batch.column("docs"), strict=True):
+                keys, counts = np.unique(_keys(words_of(_texts(_documents(stored))), bits)[0], return_counts=True)
+                slot = int(mix(np.array([chunk], _U))[0]) % slots
+                yield from _sent(keys, counts, slot >> fan, chunk, 0, fan, bits - fan).to_batches()
 
     return ask
 
@@ -289,7 +311,8 @@ def _texts(table: pa.Table) -> pa.Array:
 def _scored(classes: np.ndarray, table: np.ndarray, mass: np.ndarray, bits: int) -> Callable:
     """Scores of a chunk's texts under each of STRENGTHS.  ``mass``: words of each class."""
 
-    def score(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = _documents(chunk["docs"][0])
         found = words_of(_texts(docs))
         n, owner = len(found.start), np.repeat(np.arange(docs.num_rows), found.counts)
         sums = [np.zeros(docs.num_rows) for _ in STRENGTHS]
@@ -325,7 +348,7 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     """
     kind = dict(docs.dtypes)[id_col]
     rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    rows = settle(rows.mapInArrow(_chunked(chunk), f"chunk bigint, id {kind}, text string"))  # chunks must stay as they are
+    rows = settle(rows.mapInArrow(_chunked(chunk), "chunk bigint, docs binary"))  # chunks must stay as they are
     counts = _counted(rows, lambda found: np.bincount(_buckets(found), minlength=1 << BITS), 1 << BITS)
     classes = bucket_classes(counts)
 
@@ -337,11 +360,11 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     network.train(_counted(rows, seen, CONTEXTS * CLASSES).reshape(CONTEXTS, CLASSES).astype(float))
     table = network.forward()[1].astype(np.float32)
     mass = np.bincount(classes, counts, CLASSES)
-    chunks = rows.select("chunk").distinct().count()
+    chunks = rows.count()
     depth = max(1, -(-max(chunks - 1, 0).bit_length() // fan))
     keys = int(counts.sum()) * (1 + WINDOW)
     bits = min(64, max(keys.bit_length() + SPARE, fan * depth))
-    asked = rows.groupBy("chunk").applyInArrow(_asked(1 << (fan * depth), bits, fan), _ASKED)
+    asked = rows.mapInArrow(_asked(1 << (fan * depth), bits, fan), _ASKED)
     answered = _summed(asked, depth, fan, bits).withColumnRenamed("slot", "chunk")
     sums = [f"s{i}" for i in range(len(STRENGTHS))]
     kinds = ", ".join(f"{s} double" for s in sums)
