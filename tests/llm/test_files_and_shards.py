@@ -71,6 +71,42 @@ def test_text_of_one_page(source, text):
     assert H.extract(H.parse(source or ""), []) == text
 
 
+@pytest.mark.parametrize("name", ["related-work", "share-prices", "social-history", "header-note", "comment-on-law", "banner-text", "warning"])
+def test_a_word_in_a_name_does_not_decide_alone(name):
+    passage = "This passage belongs to the article and has a sentence or two to say. "
+    kept = page(f"<article><p>Begin.</p><div class='{name}'><p>{passage}</p></div><p>End.</p></article>")
+    assert H.extract(H.parse(kept), []) == f"Begin.\n{passage.strip()}\nEnd."
+    for gone in ("Short.", f"See <a href=x>{passage}</a>"):
+        source = page(f"<article><p>Begin.</p><div class='{name}'><p>{gone}</p></div><p>End.</p></article>")
+        assert H.extract(H.parse(source), []) == "Begin.\nEnd."
+
+
+@pytest.mark.parametrize("name", ["ad", "site-header", "comment-list", "post-comments", "cookie-banner", "sidebar left-2", "notice", "newsletterSignup"])
+def test_names_of_noise_go_however_long(name):
+    source = page(f"<article><p>Begin.</p><div class='{name}'><p>{'Much to read here. ' * 30}</p></div></article>")
+    assert H.extract(H.parse(source), []) == "Begin."
+
+
+def test_captions_headings_and_wrappers_stay():
+    assert H.extract(H.parse(page("<article><p>Seen.</p><figure><img><figcaption>A cat.</figcaption></figure></article>")), []) == "Seen.\nA cat."
+    body = "<div class=a><h1>Head</h1></div><div class=b><p>Intro.</p></div><div class=c><p>" + "word " * 80 + "</p></div>"
+    links = "<div class=d><ul><li><a href=x>One of many other stories of the day</a></li></ul></div>"
+    whole = "Head\nIntro.\n" + ("word " * 80).strip()
+    assert H.extract(H.parse(page(f"<div class=wrap>{body}</div><div class=e><p>beside</p></div>")), []) == whole
+    assert H.extract(H.parse(page(f"<div class=wrap>{body}{links}</div>")), []) == whole.partition("Intro.\n")[2]
+
+
+def test_a_path_needs_a_fair_share_and_ties_go_to_the_first(spark):
+    teaser = page("<div class=t><p>Short teaser.</p></div><article><p>" + "long " * 300 + "</p></article>")
+    assert H.extract(H.parse(teaser), ["html>body>div.t"]) == ("long " * 300).strip()
+    twins = page("<div class=x><p>one text here</p></div><div class=y><p>two text here</p></div>")
+    both = "one text here\ntwo text here"
+    assert H.extract(H.parse(twins), []) == both  # the body opens first
+    rows = [(None, "http://h/1", twins, "p"), (None, "http://h/1", twins, "p"), (1, "http://h/1", twins, "p")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, paths string")
+    assert sorted(map(tuple, H.main_text(pages).collect()), key=str) == sorted([(i, u, both, 27) for i, u, _, _ in rows], key=str)
+
+
 def test_a_host_agrees(spark):
     def story(i, extra=""):
         return page(f"<div class='box-{i}'><div class='text'><p>{'word ' * 40}{i}</p></div></div><div class='extra'><p>{extra}</p></div>")
