@@ -19,11 +19,12 @@ the one of STRENGTHS under which all documents together are likeliest.
 
 *Counting.*  No table of words goes to the driver or to every task.  Texts are cut into
 chunks, and a chunk sends its distinct keys with their counts up a tree.  On each level a
-node is a range of keys for FAN times as many chunks as one level below: it adds up what
-FAN nodes send it, and sends a FANth of its range to each of FAN nodes above.  So rows and
-bytes of a level are in proportion to the input, a node holds about as much as a chunk
-does, and a word of all chunks comes to a node once for each of its FAN senders.  The top
-knows the sums over all chunks, which come down again the same way.
+node is a range of keys, F times narrower and for F times as many chunks as one level
+below: it adds up what F nodes send it, and sends an Fth of its range to each of F nodes
+above.  So rows and bytes of a level are in proportion to the input, a node holds about as
+much as a chunk does, and a word of all chunks comes to a node once for each of its F
+senders.  The top knows the sums over all chunks, which come down again the same way.
+F is the least power of two, up to 2^FAN_BITS, that gives the fewest levels.
 """
 
 from __future__ import annotations
@@ -50,8 +51,8 @@ CONTEXTS = SIDES[0] * SIDES[1] * SIDES[2] * SIDES[3]
 STEPS, RATE = 300, 0.03
 #: Neighbours to either side whose counts are kept; how much those counts must outweigh.
 WINDOW, STRENGTHS = 2, (1.0, 8.0, 64.0, 512.0, 4096.0)
-#: Bytes of text whose keys are looked up at once; log2 of the senders of a node.
-CHUNK, FAN_BITS = 8 << 20, 8
+#: Bytes of text whose keys are looked up at once; log2 of the most senders of a node.
+CHUNK, FAN_BITS = 8 << 20, 12
 #: A key has so many bits more than the number of keys of all texts, so that about one in 2^SPARE meets another.
 SPARE = 20
 
@@ -338,7 +339,7 @@ def _scored(classes: np.ndarray, table: np.ndarray, mass: np.ndarray, bits: int)
     return score
 
 
-def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, fan: int = FAN_BITS) -> DataFrame:
+def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, fan_bits: int = FAN_BITS) -> DataFrame:
     """(id, n_tokens, log_likelihood, mean_log_likelihood) of every text, under a model trained on all texts.
 
     Defined cases.  A text without words, or null, has log_likelihood 0 and a null mean.
@@ -360,8 +361,9 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     network.train(_counted(rows, seen, CONTEXTS * CLASSES).reshape(CONTEXTS, CLASSES).astype(float))
     table = network.forward()[1].astype(np.float32)
     mass = np.bincount(classes, counts, CLASSES)
-    chunks = rows.count()
-    depth = max(1, -(-max(chunks - 1, 0).bit_length() // fan))
+    wide = max(1, (rows.count() - 1).bit_length())  # log2 of the number of chunks
+    depth = -(-wide // fan_bits)
+    fan = -(-wide // depth)
     keys = int(counts.sum()) * (1 + WINDOW)
     bits = min(64, max(keys.bit_length() + SPARE, fan * depth))
     asked = rows.mapInArrow(_asked(1 << (fan * depth), bits, fan), _ASKED)

@@ -91,7 +91,7 @@ def test_words_are_told_by_their_neighbours(spark):
     odd = [(None, "a1"), (None, "alone beside"), (7, "a7 b49"), (7, "a7 b49"), (3000, " ".join(long))]
     rows = [(i, " ".join(t)) for i, t in enumerate(texts)] + [(1000 + i, " ".join(t)) for i, t in enumerate(wrong)] + odd
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    result = L.pseudo_likelihood(docs, chunk=6000, fan=2).collect()
+    result = L.pseudo_likelihood(docs, chunk=6000, fan_bits=2).collect()
     assert sorted((r.doc_id or -1, r.n_tokens) for r in result) == sorted((i or -1, len(t.split())) for i, t in rows)
     assert sorted(r.log_likelihood for r in result if r.doc_id == 7)[1:] == [max(r.log_likelihood for r in result if r.doc_id == 7)] * 2
     got = {r.doc_id: r.log_likelihood for r in result if r.doc_id not in (None, 7)}
