@@ -7,10 +7,13 @@ of the x - ceil(t x) + 1 shingles of each that come first in one common order.
 only those columns are multiplied (rare ones first; the order comes from a histogram
 of all shingles with a fixed number of buckets).  A block is the posting list of one
 column; a longer list is cut and its pieces meet pairwise.  In a block the overlap of
-every pair is bounded from above by parity bits of both sets, and pairs whose bound is
-too low are dropped there, so a large group of near copies makes no table of its pairs.
-Pairs that are left meet a second bound, by parity bits in number with their shingles,
-and then whole sets, which are made only for documents of pairs still open.
+every pair is bounded from above, by the column's places in both sets and by parity bits
+of both, and pairs whose bound is too low are dropped there, so a large group of near
+copies makes no table of its pairs.  Overlaps of the pairs left are accumulated over
+columns, in the block and then over blocks: what two sets share is what was counted up
+to their last common column and at most all that follows it in the shorter rest.  Pairs
+under the bound of their sizes go.  Those still open meet a second bound, by parity bits in number with their shingles,
+and then whole sets, which are made only for documents of such pairs.
 
 Components come without forming every link.  First each document offers its closest
 partner of a block; the offers are counted exactly, shingle by shingle, and merged, and
@@ -145,7 +148,7 @@ def _apart(parity: list[bytes], x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, row, least possible difference) of pairs of a block that sizes and parity bits allow."""
-    col = {c: batch.column(c).to_numpy() for c in ("token", "i", "j", "k", "n", "component")}
+    col = {c: batch.column(c).to_numpy() for c in ("token", "i", "j", "k", "n", "at", "component")}
     parity = batch.column("parity").to_pylist()
     n = len(col["token"])
     new = np.ones(n, bool)
@@ -162,6 +165,9 @@ def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarr
         nx, ny = col["n"][x], col["n"][y]
         ok = (100 * np.minimum(nx, ny) >= percent * np.maximum(nx, ny)) & (col["component"][x] != col["component"][y])
         ok &= (col["i"][x] == col["j"][x]) | (col["k"][x] != col["k"][y])
+        # before the column at most the smaller place, after it at most the shorter rest
+        most = np.minimum(col["at"][x], col["at"][y]) + np.minimum(nx - col["at"][x], ny - col["at"][y])
+        ok &= (100 + percent) * most >= percent * (nx + ny)
         x, y = x[ok], y[ok]
         apart = _apart(parity, x, y)
         ok = (100 + percent) * apart <= (100 - percent) * (col["n"][x] + col["n"][y])
@@ -169,31 +175,47 @@ def _close_pairs(batch: pa.RecordBatch, percent: int) -> Iterator[tuple[np.ndarr
         row = upto
 
 
-def _partners(percent: int, closest: bool) -> Callable:
-    """Pairs of each block that may reach the threshold: all, or each document's closest."""
-
-    def partners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches, ["token", "i", "j"]):
-            ids = batch.column("id").to_numpy()
-            a, b, d = (np.zeros(0, np.int64) for _ in range(3))
-            for x, y, apart in _close_pairs(batch, percent):
-                one, two = ids[x], ids[y]
-                if closest:
-                    a, b, d = np.concatenate([a, one, two]), np.concatenate([b, two, one]), np.concatenate([d, apart, apart])
-                    order = np.lexsort((b, d, a))
-                    a, b, d = a[order], b[order], d[order]
-                    first = np.ones(len(a), bool)
-                    first[1:] = a[1:] != a[:-1]
-                    a, b, d = a[first], b[first], d[first]
-                else:
-                    pairs = np.unique(np.stack([np.minimum(one, two), np.maximum(one, two)]), axis=1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(pairs[0]), pa.array(pairs[1]), pa.array(np.zeros(pairs.shape[1], np.int64))], ["a", "b", "d"]
-                    )
-            if closest:
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d)], ["a", "b", "d"])
-
-    return partners
+def _closest(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Each document's closest partner in each block."""
+    for batch in groups(batches, ["token", "i", "j"]):
+        ids = batch.column("id").to_numpy()
+        a, b, d = (np.zeros(0, np.int64) for _ in range(3))
+        for x, y, apart in _close_pairs(batch, percent):
+            one, two = ids[x], ids[y]
+            a, b, d = np.concatenate([a, one, two]), np.concatenate([b, two, one]), np.concatenate([d, apart, apart])
+            order = np.lexsort((b, d, a))
+            a, b, d = a[order], b[order], d[order]
+            first = np.ones(len(a), bool)
+            first[1:] = a[1:] != a[:-1]
+            a, b, d = a[first], b[first], d[first]
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(d)], ["a", "b", "d"])
+
+
+def _overlaps(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs that may reach the threshold, with the columns of a block that both have.
+
+    ``sets`` tells pairs of unequal sets under one pair of ids apart; ``shared`` counts
+    columns, ``at`` is the place of the last one in a's set, ``room`` the shorter rest
+    after it, ``need`` the overlap of the threshold.
+    """
+    for batch in groups(batches, ["token", "i", "j"]):
+        col = {c: batch.column(c).to_numpy().astype(np.int64) for c in ("id", "n", "at", "name")}
+        for x, y, _ in _close_pairs(batch, percent):
+            turned = col["id"][x] > col["id"][y]
+            x, y = np.where(turned, y, x), np.where(turned, x, y)
+            a, b, sets, at = col["id"][x], col["id"][y], (col["name"][x] << 32) + col["name"][y], col["at"][x]
+            order = np.lexsort((at, sets, b, a))
+            a, b, sets, at, x, y = a[order], b[order], sets[order], at[order], x[order], y[order]
+            new = np.ones(len(a), bool)
+            new[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (sets[1:] != sets[:-1])
+            start = np.flatnonzero(new)
+            shared = np.diff(np.append(start, len(a)))
+            last = start + shared - 1
+            n, m = col["n"][x[last]], col["n"][y[last]]
+            room = np.minimum(n - at[last], m - col["at"][y[last]]) - 1
+            need = -(-percent * (n + m) // (100 + percent))
+            columns = [a[last], b[last], sets[last], shared, at[last], room, need]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "sets", "shared", "at", "room", "need"])
 
 
 def _wide_parity(grams: np.ndarray) -> bytes:
@@ -213,8 +235,9 @@ def _picked_rows(words: int, wanted: bytes, wide: bool) -> Callable:
             if picked.num_rows:
                 sets = [grams for _, grams in _shingle_sets(picked, words)]
                 shown = [_wide_parity(g) if wide else g.tobytes() for g in sets]
-                # about a bit for two shingles, for blocks
-                short = [_folded(b, max(8 * PARITY_WORDS, len(b) // 8)).tobytes() if wide else None for b in shown]
+                # at least a bit for two shingles, for blocks: of unrelated sets half the bits differ, and the threshold
+                # allows (100 - percent) / (100 + percent) of both sizes, which from 80 % on is less
+                short = [_folded(b, max(8 * PARITY_WORDS, len(b) // 4)).tobytes() if wide else None for b in shown]
                 yield pa.RecordBatch.from_arrays(
                     [picked.column("id"), pa.array(map(len, sets), pa.int64()), _binary(shown), _binary(short)], ["id", "n", "grams", "parity"]
                 )
@@ -268,22 +291,22 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     # equal sets are one class, which its smallest id stands for
     classes = settle(sets.where("n > 0 and id is not null").groupBy("n", "f1", "f2").agg(F.min("id").alias("rep")))
     reps = sets.join(classes.select(F.col("rep").alias("id"), "n", "f1", "f2"), ["id", "n", "f1", "f2"], "left_semi")
-    postings = reps.select("id", "n", F.explode("first").alias("token"))
+    postings = reps.select("id", "n", F.shiftright("f1", 32).cast("int").alias("name"), F.posexplode("first").alias("at", "token"))
     lists = postings.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
     shared = settle(postings.join(lists, "token"))
     parity = settle(reps.select("id", "n", "f1", "f2", "parity").join(shared.select("id").distinct(), "id", "left_semi"))
 
-    def block_pairs(rows: DataFrame, parity: DataFrame, closest: bool) -> DataFrame:
-        """``rows``: id, n, token, m, component."""
+    def block_pairs(rows: DataFrame, parity: DataFrame, made: Callable, schema: str) -> DataFrame:
+        """``rows``: id, n, name, at, token, m, component."""
         pieces = F.ceil(F.col("m") / BLOCK).cast("int")
         own = F.pmod(F.xxhash64("id"), pieces).cast("int")
         cells = (
             rows.join(parity.select("id", "n", "parity"), ["id", "n"])
             .withColumns({"k": own, "other": F.explode(F.sequence(F.lit(0), pieces - 1))})
-            .select("token", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), "k", "id", "n", "parity", "component")
+            .select("token", F.least("k", "other").alias("i"), F.greatest("k", "other").alias("j"), "k", "id", "n", "name", "at", "parity", "component")
         )
         keys = ["token", "i", "j"]
-        return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(_partners(percent, closest), "a bigint, b bigint, d bigint")
+        return cells.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(lambda batches: made(batches, percent), schema)
 
     def picked(ids: DataFrame, wide: bool) -> DataFrame:
         placed = docs.where("id is not null").withColumn("bit", bit("id"))
@@ -301,9 +324,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     def closest(rows: DataFrame, by: DataFrame) -> DataFrame:
         """The closest partner of each document outside its component."""
-        offers = block_pairs(rows, by, closest=True)
+        offers = block_pairs(rows, by, _closest, "a bigint, b bigint, d bigint")
         return settle(offers.groupBy("a").agg(F.min(F.struct("d", "b")).alias("near")).select("a", F.col("near.b").alias("b")))
 
+    def accumulated(rows: DataFrame, by: DataFrame) -> DataFrame:
+        """Pairs whose overlap over all columns, with what may follow the last of them, reaches the threshold."""
+        columns = block_pairs(rows, by, _overlaps, "a bigint, b bigint, sets bigint, shared bigint, at bigint, room bigint, need bigint")
+        total = columns.groupBy("a", "b", "sets").agg(
+            F.sum("shared").alias("shared"), F.max(F.struct("at", "room"))["room"].alias("room"), F.min("need").alias("need")
+        )
+        return total.where("shared + room >= need").select("a", "b").distinct()
+
     def unordered(pairs: DataFrame) -> DataFrame:
         return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
@@ -323,7 +354,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         # longer sets bring more bits from here on, so that an offer is nearly always a link
         pairs = settle(unordered(closest(across(components(found)), sketches)).join(tested, ["a", "b"], "left_anti"))
         tested, found = settle(tested.union(pairs)), settle(found.union(verified(pairs)))
-    rest = settle(unordered(block_pairs(across(components(found)), sketches, closest=False)))
+    rest = settle(accumulated(across(components(found)), sketches))
     extra = verified(rest.join(tested, ["a", "b"], "left_anti"))
 
     members = sets.where("n > 0 and id is not null").join(classes, ["n", "f1", "f2"]).select("id", "rep").distinct()

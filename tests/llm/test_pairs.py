@@ -4,6 +4,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from fieldmark.llm import near_vectors as V
@@ -71,6 +72,47 @@ def test_join_against_all_pairs(spark, monkeypatch, words, percent, block):
     assert got == joined(rows, words, percent)
 
 
+def test_overlaps_drop_pairs_under_the_bound_of_their_sizes_and_no_others(monkeypatch):
+    """Sets of numbers, of which the first come first; every pair of them, one or all columns in a block."""
+    rng, percent = random.Random(5), 80
+    sets = [sorted(rng.sample(range(60), 40)) for _ in range(12)]
+    sets += [sorted(set(s[: -rng.randint(1, 6)]) | {60 + rng.randrange(9)}) for s in sets]
+    keep = [len(s) - -(-percent * len(s) // 100) + 1 for s in sets]
+    cells = sorted((t, i, at) for i, s in enumerate(sets) for at, t in enumerate(s[: keep[i]]))
+    schema = {
+        "token": [t for t, _, _ in cells], "i": [0] * len(cells), "j": [0] * len(cells), "k": [0] * len(cells),
+        "id": [i for _, i, _ in cells], "n": [len(sets[i]) for _, i, _ in cells], "name": [i - 9 for _, i, _ in cells],
+        "at": [at for _, _, at in cells], "component": [i for _, i, _ in cells], "parity": [bytes(64)] * len(cells),
+    }
+    whole = pa.RecordBatch.from_pydict(schema)
+    tokens = np.array(schema["token"])
+    single = [whole.filter(pa.array(tokens == t)) for t in np.unique(tokens)]
+    for batches in ([whole], single):
+        total = {}
+        for out in (r for b in batches for o in J._overlaps(iter([b]), percent) for r in o.to_pylist()):
+            shared, last, need = total.get((out["a"], out["b"]), (0, (-1, 0), 0))
+            total[out["a"], out["b"]] = shared + out["shared"], max(last, (out["at"], out["room"])), out["need"]
+        open_pairs = {p for p, (shared, (_, room), need) in total.items() if shared + room >= need}
+        links = {
+            (a, b) for a in range(len(sets)) for b in range(a + 1, len(sets))
+            if 100 * len({*sets[a]} & {*sets[b]}) >= percent * len({*sets[a]} | {*sets[b]})
+        }
+        assert links and links <= open_pairs and len(open_pairs) < len(total)
+
+
+def test_join_of_long_texts(spark):
+    """A text of over 1 MB, its near copy, and others that share a rare shingle by chance."""
+    rng = random.Random(8)
+    long = [f"w{rng.randrange(10**6)}" for _ in range(160_000)]
+    near = [w if k % 100 else "changed" for k, w in enumerate(long)]
+    rows = [(1, " ".join(long)), (2, " ".join(near)), (3, " ".join(near[:1000]))]
+    rows += [(10 + i, " ".join([f"v{rng.randrange(10**6)}" for _ in range(1500)] + long[:9])) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert len(rows[0][1]) > 1 << 20
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.jaccard_components(docs).collect()}
+    assert got == joined(rows, 3, 90)
+
+
 def test_join_edges(spark):
     text, other = " ".join(f"a{i}" for i in range(30)), " ".join(f"b{i}" for i in range(30))
     rows = [(5, text, 1), (5, other, 1), (2, text, 1), (9, other, 1), (None, text, 1), (7, None, 1), (7, None, 1)]
