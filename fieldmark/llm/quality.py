@@ -29,8 +29,10 @@ WINDOW = 8
 BITS = 16
 #: Expected trusted count below which a bucket says little.
 SHRINK = 10.0
+#: Lengths in words of the n-grams: words and pairs of words.
+ORDERS = (1, 2)
 #: Mean log ratio under which a document is rejected.
-LEAST = -0.2
+LEAST = -0.15
 #: Labelled documents that the trusted multinomial is fitted on, at most: those of smallest hash.
 TRUSTED = 16_384
 
@@ -148,7 +150,7 @@ def quality_rules(
     id_col: str = "doc_id",
     text_col: str = "text",
     good: Column | None = None,
-    orders: Sequence[int] = (1,),
+    orders: Sequence[int] = ORDERS,
     min_words: int = 20,
     repeat_percent: int = 30,
     least: float = LEAST,

@@ -1,9 +1,13 @@
+import math
+import random
 import re
+import struct
 from collections import Counter
 
 import pytest
+import xxhash
 
-from fieldmark.llm.quality import quality_rules
+from fieldmark.llm.quality import BITS, LEAST, ORDERS, SHRINK, quality_rules
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -37,6 +41,39 @@ def test_counts_against_plain_python(spark):
         assert not (got[i].kept and got[i].base_failed)
 
 
+def grams(text):
+    """Buckets of all words and pairs, hashed as Spark hashes a string and two longs."""
+    words = [xxhash.xxh64(w.encode(), seed=42).intdigest() for w in WORDS.findall(text or "")]
+    long = lambda h, seed: xxhash.xxh64(struct.pack("<Q", h), seed=seed).intdigest()
+    pairs = [long(b, long(a, 42)) for a, b in zip(words, words[1:])]
+    return [h >> (64 - BITS) for h in words + pairs]
+
+
+def test_score_and_verdict_against_plain_python(spark):
+    assert ORDERS == (1, 2)
+    rng = random.Random(6)
+    good = [" ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(60)) for _ in range(30)]
+    odd = [" ".join(rng.choice("vwxyz") * rng.randint(1, 4) + "#" * rng.randint(0, 1) for _ in range(60)) for _ in range(30)]
+    mixed = [" ".join(a if rng.random() < k / 20 else b for a, b in zip(good[k].split(), odd[k].split())) for k in range(20)]
+    long = " ".join(f"n{rng.randrange(5000)}" for _ in range(200_000))
+    texts = [*good, *odd, *mixed, *TEXTS, long]
+    marks = {i: 1 for i in range(0, 30, 2)} | {i: 0 for i in range(30, 40)}
+    each = [grams(t) for t in texts]
+    raw = Counter(g for e in each for g in e)
+    trusted = Counter(g for i, e in enumerate(each) for g in e if marks.get(i) == 1)
+    share = sum(trusted.values()) / sum(raw.values())
+    want = [sum(math.log((trusted[g] + SHRINK) / (raw[g] * share + SHRINK)) for g in e) / len(e) if e else 0.0 for e in each]
+    some = sorted(want[:80])
+    between = (some[39] + some[40]) / 2  # a threshold that half of the texts reach
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(marks.items()), "doc_id long, quality int")
+    for least, judged in ((LEAST, quality_rules(docs, labels)), (between, quality_rules(docs, labels, least=between))):
+        for row in judged.collect():
+            score = want[row.row.doc_id]
+            assert math.isclose(row.score, score, abs_tol=1e-6) and abs(score - least) > 1e-6
+            assert row.kept == (not row.base_failed and score >= least)
+
+
 @pytest.mark.parametrize("orders", [(1,), (1, 2)])
 def test_junk_goes_and_clean_stays(spark, orders):
     clean = [" ".join(f"word{(7 * i + 3 * k * k) % 97}" for k in range(60 + i)) for i in range(40)]
