@@ -55,16 +55,16 @@ WINDOW, STRENGTHS = 2, (1.0, 8.0, 64.0, 512.0, 4096.0)
 CHUNK, FAN_BITS = 8 << 20, 12
 #: A key has so many bits more than the number of keys of all texts, so that about one in 2^SPARE meets another.
 SPARE = 20
+#: Words of a chunk that are scored at once; one longer text stands alone.
+SLICE = 1 << 17
 
 
 def _buckets(found: Words) -> np.ndarray:
     return (found.hashes(lower=True) >> _U(64 - BITS)).astype(np.int64)
 
 
-def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Context and class of each word; beyond a text's ends stands class CLASSES, group GROUPS."""
-    own = classes[_buckets(found)].astype(np.int64)
-    owner = np.repeat(np.arange(len(found.counts)), found.counts)
+def _contexts(own: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Context of each word; beyond a text's ends stands class CLASSES, group GROUPS."""
     context = np.zeros(len(own), np.int64)
     for offset, size in zip((-2, -1, 1, 2), SIDES, strict=True):
         beside = np.full(len(own), size - 1)
@@ -73,7 +73,13 @@ def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         known = own[neighbour] if far == 1 else own[neighbour] * GROUPS // CLASSES
         beside[gap] = np.where(owner[gap] == owner[neighbour], known, size - 1)
         context = context * size + beside
-    return context, own
+    return context
+
+
+def _gaps(found: Words, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Context and class of each word."""
+    own = classes[_buckets(found)].astype(np.int64)
+    return _contexts(own, np.repeat(np.arange(len(found.counts)), found.counts)), own
 
 
 def _stored(rows: list[pa.RecordBatch]) -> bytes:
@@ -183,16 +189,33 @@ class WindowNetwork:
         return losses
 
 
-def _keys(found: Words, bits: int) -> tuple[np.ndarray, list[tuple[np.ndarray, np.ndarray]]]:
-    """A key for each word, then one for each pair of words at each distance, and the words of those pairs."""
+def _keys(found: Words, bits: int) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """A key for each word, then one for each pair of words at each distance; of those pairs the distance and the places of the first words."""
     hashes = found.hashes(lower=True)
-    owner = np.repeat(np.arange(len(found.counts)), found.counts)
-    keys, pairs = [mix(hashes)], []
-    for far in range(WINDOW, 0, -1):
-        a = np.flatnonzero(owner[far:] == owner[:-far])
-        pairs.append((a, a + far))
-        keys.append(mix(hashes[a] * _U(0x9FB21C651E98DF25) + hashes[a + far] * _U(2 * far + 1)))
-    return np.concatenate(keys) >> _U(64 - bits), pairs
+    owner = np.repeat(np.arange(len(found.counts), dtype=np.int32), found.counts)
+    pairs = [(far, np.flatnonzero(owner[far:] == owner[:-far]).astype(np.int32)) for far in range(WINDOW, 0, -1)]
+    keys = np.empty(len(hashes) + sum(len(a) for _, a in pairs), _U)
+    at = len(hashes)
+    keys[:at] = mix(hashes)
+    for far, a in pairs:
+        keys[at : at + len(a)] = mix(hashes[a] * _U(0x9FB21C651E98DF25) + hashes[a + far] * _U(2 * far + 1))
+        at += len(a)
+    keys >>= _U(64 - bits)
+    return keys, pairs
+
+
+def _news(ordered: np.ndarray) -> np.ndarray:
+    """Which of sorted values differ from the one before."""
+    new = np.ones(len(ordered), bool)
+    np.not_equal(ordered[1:], ordered[:-1], out=new[1:])
+    return new
+
+
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and how often each is there; ``keys`` is sorted where it lies."""
+    keys.sort()
+    first = np.flatnonzero(_news(keys))
+    return keys[first], np.diff(first, append=len(keys))
 
 
 def _packed(values: np.ndarray, kind: type) -> bytes:
@@ -241,7 +264,7 @@ def _asked(slots: int, bits: int, fan: int) -> Callable:
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, stored in zip(batch.column("chunk").to_pylist(), batch.column("docs"), strict=True):
-                keys, counts = np.unique(_keys(words_of(_texts(_documents(stored))), bits)[0], return_counts=True)
+                keys, counts = _distinct(_keys(words_of(_texts(_documents(stored))), bits)[0])
                 slot = int(mix(np.array([chunk], _U))[0]) % slots
                 yield from _sent(keys, counts, slot >> fan, chunk, 0, fan, bits - fan).to_batches()
 
@@ -309,32 +332,57 @@ def _texts(table: pa.Table) -> pa.Array:
     return pa.concat_arrays([x.cast(pa.large_string()) for x in table["text"].chunks] or [pa.array([], pa.large_string())])
 
 
+def _seen(keys: np.ndarray, told: np.ndarray) -> np.ndarray:
+    """The sum that ``told`` has for each key; ``told`` goes by distinct keys, ascending.  Uses ``keys`` up."""
+    order = np.argsort(keys).astype(np.uint32 if len(keys) < 1 << 32 else np.int64)
+    keys[:] = keys[order]
+    new = _news(keys)
+    if len(told) != np.count_nonzero(new):
+        raise RuntimeError("the answers are not those of this chunk's keys")
+    seen, before = keys.view(np.float64), -1  # in the place of the keys, whose order is known
+    for begin in range(0, len(order), SLICE):
+        some = order[begin : begin + SLICE]
+        place = np.cumsum(new[begin : begin + SLICE]) + before
+        seen[some], before = told[place], int(place[-1])
+    return seen
+
+
 def _scored(classes: np.ndarray, table: np.ndarray, mass: np.ndarray, bits: int) -> Callable:
-    """Scores of a chunk's texts under each of STRENGTHS.  ``mass``: words of each class."""
+    """Scores of a chunk's texts under each of STRENGTHS, some texts at a time.  ``mass``: words of each class."""
 
     def score(chunk: pa.Table, answers: pa.Table) -> pa.Table:
         docs = _documents(chunk["docs"][0])
         found = words_of(_texts(docs))
-        n, owner = len(found.start), np.repeat(np.arange(docs.num_rows), found.counts)
-        sums = [np.zeros(docs.num_rows) for _ in STRENGTHS]
+        ids, n, first, counts = docs["id"], len(found.start), found.first, found.counts
+        del docs
+        sums = [np.zeros(len(counts)) for _ in STRENGTHS]
         if n:
+            own = classes[_buckets(found)].astype(np.uint8)
             keys, pairs = _keys(found, bits)
-            distinct, place = np.unique(keys, return_inverse=True)
-            told = _told(answers)
-            if len(told) != len(distinct):
-                raise RuntimeError("the answers are not those of this chunk's keys")
-            seen = told[place].astype(np.float64)
-            alone, beside = seen[:n], np.split(seen[n:], np.cumsum([len(a) for a, _ in pairs])[:-1])
-            context, own = _gaps(found, classes)
-            first = np.exp(table[context, own].astype(np.float64)) * alone / mass[own]
-            for total, strength in zip(sums, STRENGTHS, strict=True):
-                p = first.copy()
-                for (a, b), together in zip(pairs, beside, strict=True):
-                    for gap, neighbour in ((b, a), (a, b)):
-                        p[gap] = (together - 1 + strength * p[gap]) / (alone[neighbour] - 1 + strength)
-                total += np.bincount(owner, np.log(p), docs.num_rows)
+            del found  # from here on words are places
+            seen = _seen(keys, _told(answers))
+            starts = np.cumsum([n, *[len(a) for _, a in pairs]])
+            text = 0
+            while text < len(counts):
+                stop = max(text + 1, int(np.searchsorted(first, first[text] + SLICE, "right")) - 1)
+                low, high = int(first[text]), int(first[stop])
+                owner = np.repeat(np.arange(stop - text), counts[text:stop])
+                context, alone = _contexts(own[low:high].astype(np.int64), owner), seen[low:high]
+                of_class = own[low:high]
+                network = np.exp(table[context, of_class].astype(np.float64)) * alone / mass[of_class]
+                beside = []
+                for start, (far, a) in zip(starts.tolist(), pairs, strict=False):
+                    begin, end = np.searchsorted(a, [low, high]).tolist()
+                    beside.append((far, a[begin:end] - low, seen[start + begin : start + end]))
+                for total, strength in zip(sums, STRENGTHS, strict=True):
+                    p = network.copy()
+                    for far, a, together in beside:
+                        for gap, neighbour in ((a + far, a), (a, a + far)):
+                            p[gap] = (together - 1 + strength * p[gap]) / (alone[neighbour] - 1 + strength)
+                    total[text:stop] = np.bincount(owner, np.log(p), stop - text)
+                text = stop
         names = ["id", "n_tokens", *[f"s{i}" for i in range(len(STRENGTHS))]]
-        return pa.Table.from_arrays([docs["id"], pa.array(found.counts), *map(pa.array, sums)], names=names)
+        return pa.Table.from_arrays([ids, pa.array(counts), *map(pa.array, sums)], names=names)
 
     return score
 

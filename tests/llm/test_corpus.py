@@ -1,6 +1,7 @@
 """LM scores and the pipeline."""
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -148,3 +149,29 @@ def test_pipeline_with_odd_rows(spark):
     none = docs.limit(0)
     for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, none, "/root/testdata/sf0.001").count() == 0, name
+
+
+def test_scores_of_a_chunk_take_little_memory(monkeypatch):
+    rng = random.Random(4)
+    texts = [" ".join(f"w{rng.randrange(40000)}" for _ in range(rng.choice([0, 1, 2, 30, 3000]))) for _ in range(250)]
+    texts += [None, "", "one"]
+    docs = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.string())], ["id", "text"])
+    keys, _ = L._keys(words_of(docs.column("text")), 50)
+    distinct, told = L._distinct(keys.copy())
+    assert told.sum() == len(keys) and distinct.tolist() == sorted(set(keys.tolist()))
+    chunk = pa.table({"chunk": [1], "docs": pa.array([L._stored([docs])], pa.binary())})
+    answers = pa.table({"place": pa.array([0], pa.int32()), "counts": pa.array([L._packed(told, np.int64)], pa.binary())})
+    classes = np.arange(1 << L.BITS) % L.CLASSES
+    table = np.random.default_rng(0).normal(-3, 1, (L.CONTEXTS, L.CLASSES)).astype(np.float32)
+    score = L._scored(classes, table, np.full(L.CLASSES, 1e6), 50)
+    results = []
+    for size in (1 << 40, 1 << 14, 50):
+        monkeypatch.setattr(L, "SLICE", size)
+        tracemalloc.start()
+        results.append(score(chunk, answers))
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        if size == 1 << 14:
+            assert peak < 40 * len(keys)
+    assert results[0].equals(results[1]) and results[0].equals(results[2])
+    assert results[0]["n_tokens"].to_pylist() == [len((t or "").split()) for t in texts]
