@@ -189,50 +189,58 @@ def _fold(
     pairs: tuple[DataFrame, int],
     merges: dict[str, Column],
     max_km: float,
+    made: dict[str, Column] | None = None,
 ) -> DataFrame:
     """For every point, ``merges`` over the points of its neighbourhood (itself included).
 
     ``merges`` are aggregations over the column of their own name, such that
-    merging merged values is merging the parts.
+    merging merged values is merging the parts.  Those that latitude and longitude
+    alone give are in ``made``; they are worked out where points meet.
+
+    The points of a square travel as one list for each square they are compared with, to
+    where that square's points are, so what comes of a point is folded in the one task
+    that has it.
     """
     square_pairs, deepest = pairs
-    values = list(merges)
+    made = made or {}
+    values = [v for v in merges if v not in made]
     merge = [how.alias(out) for out, how in merges.items()]
     placed = _in_squares(points, deepest, values)
     key = [*_CELL, "level", "square"]
 
     whole = square_pairs.filter("verdict = 'whole'")
-    of_square = placed.groupBy(*key).agg(*merge).withColumnRenamed("square", "b")
+    of_square = placed.withColumns(made).groupBy(*key).agg(*merge).withColumnRenamed("square", "b")
     handed = (
         whole.join(of_square, [*_CELL, "level", "b"])
         .groupBy(*_CELL, "level", F.col("a").alias("square"))
         .agg(*merge)
     )
-    from_squares = placed.drop(*values).join(handed, key).select(*_CELL, "lat", "lon", *values)
+    from_squares = placed.drop(*values).join(handed, key).select(*_CELL, "lat", "lon", *merges)
 
     # squares in no such pair: their points go before the joins
     compared = square_pairs.filter("verdict = 'points'").select(*_CELL, "level", "a", "b")
     taking_part = compared.select(*_CELL, "level", F.col("a").alias("square")).distinct()
     comparable = placed.join(taking_part, key, "left_semi")
-    at, at_b = _near()
-    here = comparable.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon", at)
-    there = comparable.select(
+    located = comparable.select(*key, "lat", "lon", unit_vector(F.col("lat"), F.col("lon")).alias("at"), *values)
+    here = located.select(*_CELL, "level", F.col("square").alias("a"), "lat", "lon", "at")
+    point = F.struct("lat", "lon", *[F.col(f"at.{axis}").alias(axis) for axis in "xyz"], *values)
+    lists = located.groupBy(*key).agg(F.collect_list(point).alias("there")).withColumnRenamed("square", "b")
+    met = compared.join(lists, [*_CELL, "level", "b"]).drop("b").join(here.hint("shuffle_hash"), [*_CELL, "level", "a"])
+    both = met.select(*_CELL, "lat", "lon", "at", F.explode("there").alias("b")).select(
         *_CELL,
-        "level",
-        F.col("square").alias("b"),
-        F.col("lat").alias("lat_b"),
-        F.col("lon").alias("lon_b"),
-        at_b,
-        *values,
+        "lat",
+        "lon",
+        "at",
+        F.col("b.lat").alias("lat_b"),
+        F.col("b.lon").alias("lon_b"),
+        F.struct(*[F.col(f"b.{axis}").alias(axis) for axis in "xyz"]).alias("at_b"),
+        *[F.col(f"b.{v}").alias(v) for v in values],
     )
     itself = (F.col("lat") == F.col("lat_b")) & (F.col("lon") == F.col("lon_b"))
-    meet = [*_CELL, "level", "a"]
-    from_points = (
-        compared.join(here, meet)
-        .join(there, [*_CELL, "level", "b"])
-        .filter(_within(max_km) | itself)
-        .select(*_CELL, "lat", "lon", *values)
-    )
+    near = both.filter(_within(max_km) | itself)
+    # made of the other point, before this one takes its name again
+    others = near.withColumnsRenamed({"lat": "lat_a", "lon": "lon_a", "lat_b": "lat", "lon_b": "lon"}).withColumns(made)
+    from_points = others.select(*_CELL, F.col("lat_a").alias("lat"), F.col("lon_a").alias("lon"), *merges)
     return from_squares.unionByName(from_points).groupBy(*_CELL, "lat", "lon").agg(*merge)
 
 
@@ -270,14 +278,12 @@ def neighbour_counts(
 def _common_ids(points: DataFrame, pairs: tuple[DataFrame, int], max_km: float) -> DataFrame:
     """The id of each point by the rule of neighbourhoods, as ``__common``."""
     # fold 1: smallest id, and what identifies the set of members
-    marked = points.withColumns(
-        {
-            "lowest": F.col("first_id"),
-            "mark1": F.xxhash64(F.lit(1), "lat", "lon"),
-            "mark2": F.xxhash64(F.lit(2), "lon", "lat"),
-            "members": F.lit(1).cast("long"),
-        }
-    )
+    marked = points.withColumn("lowest", F.col("first_id"))
+    made = {
+        "mark1": F.xxhash64(F.lit(1), "lat", "lon"),
+        "mark2": F.xxhash64(F.lit(2), "lon", "lat"),
+        "members": F.lit(1).cast("long"),
+    }
     merges = {
         "lowest": F.min("lowest"),
         "mark1": F.bit_xor("mark1"),
@@ -285,7 +291,7 @@ def _common_ids(points: DataFrame, pairs: tuple[DataFrame, int], max_km: float)
         "members": F.sum("members"),
     }
     same_set = [*_CELL, "mark1", "mark2", "members", "lowest"]
-    hoods = _fold(marked, pairs, merges, max_km)
+    hoods = _fold(marked, pairs, merges, max_km, made)
     hoods = settle(hoods.join(points, [*_CELL, "lat", "lon"]))
     pos = hoods.groupBy(*same_set).agg(F.min("first_id").alias("pos"))
 

@@ -2,6 +2,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from fieldmark.operators import near
 from fieldmark.operators.near import near_duplicate_ids, neighbour_counts
@@ -114,3 +115,18 @@ def test_chain_is_one_hop(spark):
     df = spark.createDataFrame([(1, 13.9955, -3.0), (2, 13.9955 + step, -3.0), (3, 13.9955 + 2 * step, -3.0)], "id int, lat double, lon double")
     got = near_duplicate_ids(df, "id", "lat", "lon", 0.6)
     assert {x["id"]: x["infrastructure_id"] for x in got.collect()} == {1: 1, 2: 2, 3: 2}
+
+
+def test_points_travel_as_lists_and_unfold_beside_the_points_they_meet(spark):
+    grid = spark.range(600).selectExpr("id", "14 + id % 20 / 2500D AS lat", "-3 + id % 15 / 2500D AS lon")
+    settled = settle(near._points(grid, "id", "lat", "lon", 2))
+    pairs = near._square_pairs(settled, 0.4, 64)
+    assert pairs[0].filter("verdict = 'points'").count() > 0
+    folded = near._fold(settled, pairs, {"n_rows": F.sum("n_rows"), "points": F.sum("points")}, 0.4, {"points": F.lit(1)})
+    plan = folded._jdf.queryExecution().sparkPlan().toString()
+    assert plan.index("Generate explode(there") < plan.index("ShuffledHashJoin")
+    every = settled.collect()
+    for r in folded.collect():
+        hood = [p for p in every if (p.cell_lat, p.cell_lon) == (r.cell_lat, r.cell_lon) and distance(r.lat, r.lon, p.lat, p.lon) <= 0.4]
+        assert (r.n_rows, r.points) == (sum(p.n_rows for p in hood), len(hood))
+    assert folded.count() == len(every)
