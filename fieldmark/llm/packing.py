@@ -11,10 +11,11 @@ shuffled: each task packs the documents it reads.
 
 from __future__ import annotations
 
+import json
 import zlib
-from array import array
 from collections import deque
 from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .pieces import Remembered
+from .pieces import Remembered, gather
 from .words import Words, parts, words_of
 
 #: Penalties of a cut after a sentence and inside one, in tokens of padding.
@@ -31,8 +32,8 @@ SENTENCE, INSIDE = 4, 64
 SHORT = 32
 #: Within a stretch without sentence ends longer than ``FAR``, every ``EACH`` tokens may be cut.
 FAR, EACH = 64, 16
-#: Words that the tokenizer gets at once.
-TOGETHER = 4_000
+#: Words that the tokenizer gets at once, and in one text; marks that are a piece of their own behind letters.
+TOGETHER, JOINED, MARKS = 8_000, 500, frozenset(".,;:!?")
 #: Bytes of text that are packed together at most, but for a longer text.
 STREAM = 1 << 21
 
@@ -41,6 +42,61 @@ _SENTENCE_END[list(b".!?")] = True
 _TOKENIZERS: dict[str, tuple] = {}
 
 
+def _word_ends(tokenizer: Any) -> np.ndarray | None:
+    """Which ids end a piece of a word, where the model marks that; else nothing."""
+    from tokenizers.pre_tokenizers import ByteLevel
+
+    model = json.loads(tokenizer.to_str())["model"]
+    suffix = model.get("end_of_word_suffix")
+    if model["type"] != "BPE" or not suffix or any(f"{c}{suffix}" not in model["vocab"] for c in ByteLevel.alphabet()):
+        return None
+    ends = np.zeros(tokenizer.get_vocab_size(with_added_tokens=True), bool)
+    ends[[i for token, i in model["vocab"].items() if token.endswith(suffix)]] = True
+    return ends
+
+
+def _least_pieces(word: str) -> int:
+    """1 for letters alone, 2 for letters before one mark; 0 for what is counted by its offsets."""
+    if word.isalpha():
+        return 1
+    return 2 if word[-1] in MARKS and word[:-1].isalpha() else 0
+
+
+def _joined_ids(tokenizer: Any, ends: np.ndarray | None, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of ``words`` in a row, and how many each has; many go in one text, as a call costs more than a word.
+
+    Letters make one piece at least and a mark behind them one more, so where a text has as many
+    pieces as that in all, each word has its own.  Other words are told apart by their offsets.
+    """
+    expected = np.array([_least_pieces(w) if ends is not None else 0 for w in words], np.int64)
+    known, others = np.flatnonzero(expected), [np.flatnonzero(expected == 0)]
+    places, ids, count = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
+
+    def texts(some: np.ndarray) -> tuple[list[np.ndarray], list[str]]:
+        cut = [some[k : k + JOINED] for k in range(0, len(some), JOINED)]
+        return cut, [" ".join([words[i] for i in each.tolist()]) for each in cut]
+
+    cut, joined = texts(known)
+    for some, encoded in zip(cut, tokenizer.encode_batch_fast(joined, add_special_tokens=False), strict=True):
+        made = np.array(encoded.ids, np.int32)
+        last = np.flatnonzero(ends[made]) + 1
+        if len(last) == expected[some].sum() and last[-1] == len(made):
+            places.append(some)
+            ids.append(made)
+            count.append(np.diff(last[np.cumsum(expected[some]) - 1], prepend=0))
+        else:
+            others.append(some)
+    cut, joined = texts(np.concatenate(others))
+    for some, encoded in zip(cut, tokenizer.encode_batch(joined, add_special_tokens=False), strict=True):
+        begins = np.array(encoded.offsets, np.int64).reshape(-1, 2)[:, 0]
+        stops = np.cumsum([len(words[i]) + 1 for i in some.tolist()])
+        places.append(some)
+        ids.append(np.array(encoded.ids, np.int32))
+        count.append(np.bincount(np.searchsorted(stops, begins, "right"), minlength=len(some)))
+    order, sizes = np.argsort(np.concatenate(places)), np.concatenate(count)
+    return gather(np.concatenate(ids), (np.cumsum(sizes) - sizes)[order], sizes[order]), sizes[order]
+
+
 def word_ids(path: str, found: Words) -> tuple[np.ndarray, np.ndarray]:
     """Ids of all words and how many each has, for a tokenizer that drops white space.
 
@@ -50,21 +106,21 @@ def word_ids(path: str, found: Words) -> tuple[np.ndarray, np.ndarray]:
     if path not in _TOKENIZERS:
         from tokenizers import Tokenizer
 
-        _TOKENIZERS[path] = Tokenizer.from_file(path), Remembered()
-        _TOKENIZERS[path][0].no_truncation()
-        _TOKENIZERS[path][0].no_padding()
-    tokenizer, remembered = _TOKENIZERS[path]
+        tokenizer = Tokenizer.from_file(path)
+        tokenizer.no_truncation()
+        tokenizer.no_padding()
+        _TOKENIZERS[path] = tokenizer, _word_ends(tokenizer), Remembered()
+    tokenizer, ends, remembered = _TOKENIZERS[path]
 
     def encode(places: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        flat, count = array("i"), array("q")
+        flat, count = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
         for begin in range(0, len(places), TOGETHER):
             some = places[begin : begin + TOGETHER]
             words = [found.data[a:b].tobytes().decode() for a, b in zip(found.start[some].tolist(), found.end[some].tolist(), strict=True)]
-            for made in tokenizer.encode_batch_fast(words, add_special_tokens=False):
-                ids = made.ids
-                flat.extend(ids)
-                count.append(len(ids))
-        return np.array(flat, np.int32), np.array(count, np.int64)
+            made, sizes = _joined_ids(tokenizer, ends, words)
+            flat.append(made)
+            count.append(sizes)
+        return np.concatenate(flat), np.concatenate(count)
 
     return remembered.ids(found.hashes(), encode)
 

@@ -110,3 +110,33 @@ def test_packing_edges(spark):
     rows = P.packed_pieces(docs, WORDS).collect()
     assert [(r.length, r.doc_tokens) for r in rows] == [(1, 1)] * 3
     assert P.packed_pieces(docs.limit(0), WORDS).count() == 0
+
+
+class Counting:
+    """A tokenizer that counts the texts it is given."""
+
+    def __init__(self, made):
+        self.made, self.texts = made, 0
+
+    def __getattr__(self, name):
+        def call(texts, **options):
+            self.texts += len(texts)
+            return getattr(self.made, name)(texts, **options)
+
+        return call
+
+
+def test_words_are_encoded_many_in_a_text():
+    rng = random.Random(11)
+    words = ["don't", "x<|endoftext|>", "İb", "é", "éa,", "क़a", "日本語.", "12a", "...", "a.b", "　", "q\x85r", "a" * 3000]
+    words += ["".join(rng.choice("abcdefghiéß") for _ in range(rng.randint(1, 9))) + rng.choice(["", "", ",", ".", "'s", "-"]) for _ in range(3000)]
+    rng.shuffle(words)
+    made = tokenizers.Tokenizer.from_file(WORDS)
+    made.no_truncation()
+    counting = Counting(made)
+    ids, count = P._joined_ids(counting, P._word_ends(made), words)
+    wanted = [e.ids for e in made.encode_batch(words, add_special_tokens=False)]
+    assert count.tolist() == [len(w) for w in wanted] and ids.tolist() == [i for w in wanted for i in w]
+    assert counting.texts < len(words) / 100
+    same, sizes = P._joined_ids(made, None, words)  # a model that does not mark where words end
+    assert same.tolist() == ids.tolist() and sizes.tolist() == count.tolist()
