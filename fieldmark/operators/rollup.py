@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.exact import joined, part_sums
+from ..functions.exact import joined, part_names, part_sums
 from ..functions.numeric import ieee_div
 from ..schema import VALUE, align
 from ..session import settle
@@ -58,35 +58,45 @@ def aggregation_kind(unit: str = "unit") -> Column:
     )
 
 
-def all_true(value: Column) -> Column:
-    """1 where no value is zero, else 0; nulls do not speak against it."""
-    return F.coalesce(F.bool_and(value.cast("boolean")), F.lit(True)).cast("double")
-
-
-def aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One pass over the rows for all kinds of units.
-
-    Adds up ``value``, or numerators and denominators with their quotient, or
-    takes the mean, or the logical and, whichever the row's kind asks for.  No values
-    at all make a sum of zero.  Sums are exact before they are rounded once, so
-    fractions give the same bits in any order.
-    """
-    kind = F.col("kind")
+def _terms(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Each row's kind, its value, and the numbers that its kind adds up."""
     taken = df.select(
         *keys,
         aggregation_kind().alias("kind"),
         F.expr("cast(value as double) as value"),
         F.expr("cast(numerator as double) as numerator"),
         F.expr("cast(denominator as double) as denominator"),
-    ).filter("kind is not null")
-    summed = taken.select(
-        *keys,
-        "kind",
-        "value",
+    )
+    return taken.select(
+        "*",
         F.expr("case when kind = 'ratio' then numerator when kind in ('sum', 'mean') then value end as first"),
         F.expr("case when kind = 'ratio' then denominator end as second"),
-    ).groupBy(*keys, "kind").agg(*part_sums(["first", "second"]), F.count("value").alias("__n"), all_true(F.col("value")).alias("__all"))
-    grouped = summed.select(*keys, "kind", "__n", "__all", joined("first").alias("first"), joined("second").alias("second"))
+    )
+
+
+_PARTS = (*part_names("first"), *part_names("second"), "__n", "__all")
+
+
+def _summed(terms: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Rows of a key and kind as ``_PARTS``, which can be added to those of other rows."""
+    return terms.groupBy(*keys, "kind").agg(
+        *part_sums(["first", "second"]),
+        F.count("value").alias("__n"),
+        F.bool_and(F.col("value").cast("boolean")).alias("__all"),
+        *more,
+    )
+
+
+def _added(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``_PARTS`` of finer keys as those of ``keys``."""
+    sums = [F.sum(p).alias(p) for p in _PARTS if p != "__all"]
+    return parts.groupBy(*keys, "kind").agg(*sums, F.bool_and("__all").alias("__all"))
+
+
+def _finished(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The value, numerator and denominator that ``_PARTS`` stand for."""
+    kind = F.col("kind")
+    grouped = parts.select(*keys, "kind", "__n", "__all", joined("first").alias("first"), joined("second").alias("second"))
     first, second = F.coalesce("first", F.lit(0.0)), F.coalesce("second", F.lit(0.0))
     return grouped.select(
         *keys,
@@ -96,11 +106,23 @@ def aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
         F.when(kind == "sum", first)
         .when(kind == "ratio", ieee_div(first, second))
         .when(kind == "mean", F.try_divide("first", "__n"))
-        .otherwise(F.col("__all"))
+        # 1 where no value is zero, else 0; nulls do not speak against it
+        .otherwise(F.coalesce("__all", F.lit(True)).cast("double"))
         .alias("value"),
     )
 
 
+def aggregate(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """One pass over the rows for all kinds of units.
+
+    Adds up ``value``, or numerators and denominators with their quotient, or
+    takes the mean, or the logical and, whichever the row's kind asks for.  No values
+    at all make a sum of zero.  Sums are exact before they are rounded once, so
+    fractions give the same bits in any order.
+    """
+    return _finished(_summed(_terms(df, keys).filter("kind is not null"), keys), keys)
+
+
 def _ranked(df: DataFrame, stage: int, rank: Column, kind: Column, line: Column | None = None) -> DataFrame:
     """The value columns, and the place of each row among its competitors."""
     return align(
@@ -116,6 +138,43 @@ def _first_reported(df: DataFrame) -> DataFrame:
     return keep_first(df, _UNIQUE, [F.col("stage"), F.col("rank"), F.col("line").isNull(), F.col("line"), F.col("kind_rank"), *tie])
 
 
+_GROUP = (*_ATTRIBUTES, "level", "country", "region", "rank")
+
+
+def _grouped(rows: DataFrame) -> DataFrame:
+    """All rows of one place, year, kind and source as one: their ``_PARTS``, and what tells the first of them.
+
+    Only numbers are aggregated, so rows are hashed and never sorted.  ``line`` is the
+    first line and ``value`` the first value, nulls first; ``__terms`` says
+    whether any row has a numerator or denominator.
+    """
+    value, terms = F.col("value"), F.col("numerator").isNotNull() | F.col("denominator").isNotNull()
+    summed = _summed(
+        _terms(rows, [*_GROUP, "line"]),
+        _GROUP,
+        F.min("line").alias("line"),
+        F.min(value).alias("__least"),
+        F.bool_or(value.isNull()).alias("__blank"),
+        F.bool_or(terms).alias("__terms"),
+    )
+    return summed.withColumn("value", F.when(~F.col("__blank"), F.col("__least"))).drop("__least", "__blank")
+
+
+def _first_of_groups(grouped: DataFrame, rows: DataFrame) -> DataFrame:
+    """The rows among which each group's first one is.
+
+    Where a group has neither lines nor terms its row is what the group says.  Of
+    other groups those ``rows`` come that have the first line or, without lines,
+    the first value; ``rows`` are not read if there is no such group.
+    """
+    plain = F.col("line").isNull() & ~F.col("__terms")
+    told = align(grouped.filter(plain).withColumns({"stage": F.lit(0), "kind_rank": F.lit(0)}), _RANKED)
+    key = F.struct(*_GROUP, "kind", "line", F.when(F.col("line").isNull(), F.col("value")).alias("value"))
+    wanted = grouped.filter(~plain).select(key.alias("__wanted"))
+    keyed = rows.withColumn("kind", aggregation_kind()).withColumn("__key", key)
+    return told.unionByName(keyed.join(wanted, F.col("__key") == F.col("__wanted"), "left_semi").drop("kind", "__key"))
+
+
 def rollup(
     df: DataFrame,
     steps: Sequence[Step] = STEPS,
@@ -129,26 +188,38 @@ def rollup(
     place both reported and rolled up therefore counts twice one level further
     up; ``dedup_each_level`` removes the second before the next step.
 
-    What a step makes is stored, so that later steps and the result read it instead of
-    making it again; it has a row for each place and year, which are few.  ``df`` is
-    read once per step: hand in a stored table, or settle it first.  ``src_rank``,
-    if there, says which of two reported values comes first, and ``src_line`` which
-    of two from one source: the earlier submission or line.
+    Rows are first made one for each place, year, kind and source, by hash, and these are
+    stored; the steps and the choice of the reported row go on with them.  ``df`` is
+    read once for that, and its rows up to the top level once more if some have lines or
+    terms: it need not be stored.  ``src_rank``, if there, says which of two reported
+    values comes first, and ``src_line`` which of two from one source: the earlier
+    submission or line.
     """
     top = max(s.target for s in steps)
     rank = F.col("src_rank") if "src_rank" in df.columns else F.lit(0)
     line = F.col("src_line") if "src_line" in df.columns else None
-    everything = _ranked(df.filter(F.col("level") <= top), 0, rank, F.lit(0), line)
+    read = (F.col("level") <= top) | F.col("level").isin(*[s.source for s in steps])
+    rows = _ranked(df.filter(read), 0, rank, F.lit(0), line)
+    grouped = settle(_grouped(rows))
+    up_to_top = F.col("level") <= top
+    everything = _first_of_groups(grouped.filter(up_to_top), rows.filter(up_to_top))
     kinds = F.array(*[F.lit(k) for k in KINDS])
     for stage, step in enumerate(steps, start=1):
-        if step.source > top:
-            source = df.filter(F.col("level") == step.source)
+        keys = [*_ATTRIBUTES, *step.places]
+        at_source = F.col("level") == step.source
+        if dedup_each_level and step.source <= top:
+            made = aggregate(_first_reported(everything.filter(at_source)), keys)
         else:
-            source = everything.filter(F.col("level") == step.source)
-            source = _first_reported(source) if dedup_each_level else source
-        made = aggregate(source, [*_ATTRIBUTES, *step.places]).withColumn("level", F.lit(step.target))
+            parts = grouped.filter(at_source & F.col("kind").isNotNull()).select(*keys, "kind", *_PARTS)
+            if stage > 1:
+                before = _terms(made_before.filter(at_source), keys).filter("kind is not null")
+                parts = parts.unionByName(_summed(before, keys))
+            made = _finished(_added(parts, keys), keys)
+        made = made.withColumn("level", F.lit(step.target))
         if not step.places:
             made = made.withColumn("country", F.lit(top_place))
         kind_rank = F.array_position(kinds, F.col("kind"))
-        everything = everything.unionByName(settle(_ranked(made, stage, F.lit(0), kind_rank)))
+        ranked = settle(_ranked(made, stage, F.lit(0), kind_rank))
+        everything = everything.unionByName(ranked)
+        made_before = ranked if stage == 1 else made_before.unionByName(ranked)
     return _first_reported(everything).select(*VALUE.names)

@@ -127,12 +127,13 @@ def complete_values(
     """Rolled-up values without gaps, under the official figures, cumulated and published.
 
     Official figures come after the gap fill, so they are never rolled up.
-    ``rolled`` is read several times for the dimensions of the gap fill.
+    ``rolled`` is read several times for the dimensions of the gap fill.  The figures
+    are stored, as the override reads them for each of its keys.
     """
     complete = gap_fill(
         rolled, projects.previous, projects.current, first_year, last_previous_year, fixed.TOP_PLACE
     )
-    figures = align(official.drop("date").withColumnRenamed("year", "date"), VALUE)
+    figures = settle(align(official.drop("date").withColumnRenamed("year", "date"), VALUE))
     merged = settle(override(complete, figures))
     cumulated = cumulate(merged, projects.previous, projects.current)
     return publish_projection(cumulated, projects.current)
@@ -148,13 +149,12 @@ def indicator_table(
 ) -> DataFrame:
     """The whole job; ``PUBLISHED_ORDER`` is how the table is laid out when it is written.
 
-    Facts are stored once before the rollup, which reads them per level, and the
-    rolled-up table once before the gap fill, which reads it for its dimensions.
+    Facts are not stored: the rollup reads them once and stores what it makes of
+    them.  The rolled-up table is stored before the gap fill, which reads it for its dimensions.
     """
     facts = combine_indicators(tables, history, projects, definitions)
     valued = join_metadata(facts, metadata_projection(metadata))
-    stored = settle(valued.select(*VALUE.names, "src_rank", "src_line"))
-    rolled = settle(rollup(stored, top_place=fixed.TOP_PLACE))
+    rolled = settle(rollup(valued.select(*VALUE.names, "src_rank", "src_line"), top_place=fixed.TOP_PLACE))
     return complete_values(rolled, official, projects)
 
 

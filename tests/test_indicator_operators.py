@@ -1,4 +1,5 @@
 import math
+import random
 
 import pytest
 
@@ -206,3 +207,52 @@ def test_running_ratios_and_flags(spark):
         ("P", 2021): (None, None), ("P", 2022): (0.5, 0.5), ("P", 2023): (0.5, 0.5), ("P", 2024): (0.25, 0.25),
         ("B", 2022): (1.0, 1.0),
     }
+
+
+def test_rollup_hashes_reported_rows_and_reads_them_once(spark, tmp_path):
+    path = str(tmp_path / "facts")
+    many = [("C", "count", 2022, 2, country, None, v(float(i % 7) if i % 50 else None)) for i in range(200) for country in "AB"]
+    table(spark, *many, ("C", "count", 2022, 6, "A", "r1", v(2.0))).withColumnRenamed("value", "kept_value").write.parquet(path)
+    out = rollup(spark.read.parquet(path).withColumnRenamed("kept_value", "value"))
+    got = values(out)
+    assert got[("C", 2022, 2, "A", None)] is None and got[("C", 2022, 3, "A", "r1")] == 2.0
+    assert got[("C", 2022, 1, "Régional", None)] == 2.0 + 2 * sum(i % 7 for i in range(200) if i % 50)
+    run = out._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert "Final Plan" in run and "kept_value" not in run
+
+
+def test_reported_rows_of_all_kinds_agree_with_loops(spark):
+    rng = random.Random(3)
+
+    def some(choices):
+        return rng.choice([None, *choices])
+
+    rows, facts = [], []
+    for i in range(600):
+        # codes with lines everywhere, in places, and nowhere; with and without numerators and denominators
+        code, unit = f"c{i % 6}", ("count", "percent", "boolean", "other", "percent", None)[i // 6 % 6]
+        line = (rng.randrange(40), some(range(6)), None)[i % 3]
+        terms = (some([1.0, 2.0]), some([0.0, 4.0])) if i % 2 else (None, None)
+        rank, project, country = some([0, 1]), rng.choice("pq"), rng.choice([None, "A"])
+        more = v(some([0.0, 1.0, float("nan")]), *terms, project=project)
+        rows.append((code, unit, 2022, 2, country, None, more))
+        facts.append((f"c{i % 6}", country, rank, line, f"n{code}", unit, project, more["value"], *terms))
+    base = table(spark, *rows)
+    ranks = [(f[2], f[3]) for f in facts]
+    schema = VALUE.jsonValue()
+    schema["fields"] += [{"name": n, "type": t, "nullable": True, "metadata": {}} for n, t in (("src_rank", "integer"), ("src_line", "long"))]
+    df = spark.createDataFrame([tuple(r) + extra for r, extra in zip(base.collect(), ranks)], type(VALUE).fromJson(schema))
+
+    def nulls_first(x):
+        return (x is not None, x != x, 0 if x is None or x != x else x)
+
+    def order(fact):
+        rank, line, *tie = fact[2:]
+        return [nulls_first(rank), line is None, line or 0, *map(nulls_first, tie)]
+
+    for once in (False, True):
+        got = {(r.indicator_code, r.country): r for r in rollup(df, dedup_each_level=once).collect() if r.level == 2}
+        assert len(got) == 12
+        for (code, country), r in got.items():
+            first = min((f for f in facts if f[:2] == (code, country)), key=order)
+            assert str((r.indicator_name, r.unit, r.project, r.value, r.numerator, r.denominator)) == str(first[4:])
